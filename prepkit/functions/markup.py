@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,6 +26,12 @@ def plain(fragment: str | Column) -> Column:
     return F.trim(F.regexp_replace(column(fragment), "<[^>]*>", ""))
 
 
+def matched_label(text: str | Column, labels: Sequence[str]) -> Column:
+    """The first of the labels the text holds, NULL when none."""
+    held = F.filter(F.array(*[F.lit(v) for v in labels]), lambda v: F.contains(column(text), v))
+    return F.get(held, F.lit(0))
+
+
 def lists(html: str | Column, css_class: str | None = None) -> Column:
     """Bodies of the page's ``<ul>`` blocks in order, of one class when given."""
     if css_class is None:

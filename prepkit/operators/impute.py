@@ -101,7 +101,7 @@ def bernoulli_impute(
     df: DataFrame, target: str, chance: Column, key: str | Sequence[str], seed: int = 42
 ) -> DataFrame:
     """Gaps become 1 with the row's chance, else 0; the draw is fixed by the row's key."""
-    drawn = (unit(key, seed) < chance).cast("int").cast(df.schema[target].dataType)
+    drawn = (unit(key, f"impute {seed}") < chance).cast("int").cast(df.schema[target].dataType)
     return df.withColumn(target, F.coalesce(F.col(target), drawn, F.lit(0).cast(df.schema[target].dataType)))
 
 
@@ -116,7 +116,7 @@ def quota_impute(
     open_ = F.col(target).isNull() & F.col(chance).isNotNull()
     kind = df.schema[target].dataType
     quota = F.bround(F.col("n") * F.col(chance), 0)
-    drawn = smallest_marked(df.where(open_), [*by, chance], quota, key, seed, name="_one")
+    drawn = smallest_marked(df.where(open_), [*by, chance], quota, key, f"impute {seed}", name="_one")
     filled = drawn.withColumn(target, F.col("_one").cast("int").cast(kind)).drop("_one")
     return df.where(~open_).unionByName(filled)
 

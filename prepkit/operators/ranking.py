@@ -19,7 +19,7 @@ from prepkit.operators.lookup import bounded
 SLICES = 16_384
 
 
-def _sliced(df: DataFrame, group: Sequence[str], key: Sequence[str], seed: int, slices: int) -> DataFrame:
+def _sliced(df: DataFrame, group: Sequence[str], key: Sequence[str], seed: int | str, slices: int) -> DataFrame:
     # A struct is never NULL itself, so groups holding NULL join and count like any other.
     return df.select(
         "*",
@@ -33,7 +33,7 @@ def _keys(key: str | Sequence[str]) -> list[str]:
 
 
 def hash_rank(
-    df: DataFrame, group: Sequence[str], key: str | Sequence[str], seed: int, name: str = "rank", slices: int = SLICES
+    df: DataFrame, group: Sequence[str], key: str | Sequence[str], seed: int | str, name: str = "rank", slices: int = SLICES
 ) -> DataFrame:
     """Add the 1-based rank of each row in its group's hash order."""
     keys = _keys(key)
@@ -52,7 +52,7 @@ def smallest_marked(
     group: Sequence[str],
     quota: Column,
     key: str | Sequence[str],
-    seed: int,
+    seed: int | str,
     name: str = "picked",
     slices: int = SLICES,
 ) -> DataFrame:

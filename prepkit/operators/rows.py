@@ -135,12 +135,12 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> Da
 
 def sample_fraction(df: DataFrame, fraction: float, key: str | Sequence[str], seed: int = 42) -> DataFrame:
     """About that share of the rows, the same ones on every run."""
-    return df.where(unit(key, seed) < F.lit(fraction))
+    return df.where(unit(key, f"sample {seed}") < F.lit(fraction))
 
 
 def sample_per_group(df: DataFrame, by: Sequence[str], n: int, key: str | Sequence[str], seed: int = 42) -> DataFrame:
     """``n`` rows of each group (all of a smaller one), the same ones on every run."""
-    return smallest_marked(df, by, F.lit(n), key, seed, name="_picked").where("_picked").drop("_picked")
+    return smallest_marked(df, by, F.lit(n), key, f"sample {seed}", name="_picked").where("_picked").drop("_picked")
 
 
 def union_by_name(first: DataFrame, *others: DataFrame) -> DataFrame:

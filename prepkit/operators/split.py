@@ -1,4 +1,9 @@
-"""Reproducible splits and folds."""
+"""Reproducible splits and folds.
+
+Samples, splits, folds and imputations draw under names of their own, so that taking one
+after another with the same seed keeps them independent. Splitting a part again needs
+another seed.
+"""
 
 from __future__ import annotations
 
@@ -16,7 +21,7 @@ def random_split(
 ) -> list[DataFrame]:
     """Disjoint parts of about the given shares; a row's part depends on its key only."""
     total = float(sum(weights))
-    draw = unit(key, seed)
+    draw = unit(key, f"split {seed}")
     parts, start = [], 0.0
     for i, w in enumerate(weights):
         end = start + w / total
@@ -31,7 +36,7 @@ def with_part(
 ) -> DataFrame:
     """Add ``part``: exactly round-half-even(n * fraction) rows of each label are ``test``, the others ``train``."""
     quota = F.bround(F.col("n") * F.lit(float(fraction)), 0)
-    marked = smallest_marked(df, [label], quota, key, seed, name="_test")
+    marked = smallest_marked(df, [label], quota, key, f"split {seed}", name="_test")
     return marked.withColumn(name, F.when(F.col("_test"), "test").otherwise("train")).drop("_test")
 
 
@@ -49,6 +54,6 @@ def with_folds(
 ) -> DataFrame:
     """Add a fold number from 0; with a label, folds differ by at most one row of each label."""
     if label is None:
-        return df.withColumn(name, F.floor(unit(key, seed) * folds).cast("int"))
-    ranked = hash_rank(df, [label], key, seed, name="_rank")
+        return df.withColumn(name, F.floor(unit(key, f"fold {seed}") * folds).cast("int"))
+    ranked = hash_rank(df, [label], key, f"fold {seed}", name="_rank")
     return ranked.withColumn(name, ((F.col("_rank") - 1) % folds).cast("int")).drop("_rank")

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from prepkit.operators.impute import index_and_impute
 from prepkit.operators.lookup import bounded
+from prepkit.operators.rows import union_by_name
 from prepkit.operators.scale import assemble
 from prepkit.operators.split import with_folds
 from prepkit.plans.scoring import classification_scores, metrics_table
@@ -154,7 +155,8 @@ def grid_search(
         evaluator: Any = BinaryClassificationEvaluator(labelCol=label, metricName=metric)
     else:
         evaluator = MulticlassClassificationEvaluator(labelCol=label, metricName=metric)
-    foldable = with_folds(df, key, folds, label if stratify else None, seed, name="_fold")
+    # every fold of every setting reads these rows
+    foldable = with_folds(df, key, folds, label if stratify else None, seed, name="_fold").persist()
     search = CrossValidator(
         estimator=Pipeline(stages=[*stages, model]),
         estimatorParamMaps=grid_of(model, grid),
@@ -164,7 +166,10 @@ def grid_search(
         parallelism=parallelism,
         seed=seed,
     )
-    found = search.fit(foldable)
+    try:
+        found = search.fit(foldable)
+    finally:
+        foldable.unpersist()
     better = max if evaluator.isLargerBetter() else min
     score = better(found.avgMetrics)
     best = search.getEstimatorParamMaps()[found.avgMetrics.index(score)]
@@ -183,15 +188,15 @@ def fold_scores(
 ) -> DataFrame:
     """``model, fold`` and the four scores of a model trained on the other folds."""
     label = model.getLabelCol()
-    foldable = with_folds(df, key, folds, label, seed, name="fold")
+    foldable = with_folds(df, key, folds, label, seed, name="fold").persist()
     parts = []
     for fold in range(folds):
         fitted = train(foldable.where(F.col("fold") != fold), stages, model)
         parts.append(fitted.transform(foldable.where(F.col("fold") == fold)).select("fold", label, "prediction"))
-    scored = parts[0]
-    for part in parts[1:]:
-        scored = scored.unionByName(part)
-    return classification_scores(scored, label, "prediction", ["fold"]).withColumn("model", F.lit(name))
+    scored = classification_scores(union_by_name(*parts), label, "prediction", ["fold"])
+    rows = scored.withColumn("model", F.lit(name)).collect()
+    foldable.unpersist()
+    return df.sparkSession.createDataFrame(rows, "fold int, accuracy double, precision double, recall double, f1 double, n long, model string")
 
 
 def compare_models(

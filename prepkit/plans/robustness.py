@@ -69,7 +69,8 @@ def validation_accuracy(
     ratio: float = 0.2, seed: int = 42,
 ) -> float | None:
     """Accuracy on a held-out share, the scaling fitted on the rest only."""
-    fit_part, held = random_split(df, [1.0 - ratio, ratio], key, seed)
+    # one seed further than the caller's, whose rows may be a part drawn with that seed
+    fit_part, held = random_split(df, [1.0 - ratio, ratio], key, seed + 1)
     return accuracy(train_variant(fit_part, columns, label, variant), held)
 
 
