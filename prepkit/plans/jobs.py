@@ -19,6 +19,7 @@ from prepkit.operators.columns import Roles
 from prepkit.plans import models, robustness, scoring
 from prepkit.plans.rates import AGE_RATES_COARSE, AGE_RATES_FINE, SEX_RATES
 from prepkit.sources import readers
+from prepkit.sources.frozen import frozen
 
 # --- used cars ----------------------------------------------------------------------
 
@@ -175,17 +176,14 @@ def heart_report(
 ) -> tuple[DataFrame, DataFrame]:
     """Grid-search the classifiers by F1, score the best of each on held-out rows: metrics, and a text report."""
     features = [c for c in df.columns if c not in (label, key)]
-    train, test = [p.persist() for p in split.stratified_split(df, label, key, fraction, seed)]
+    parted = frozen(split.with_part(df, label, key, fraction, seed, "_part"), "heart")
+    train, test = [parted.where(F.col("_part") == p).drop("_part") for p in ("train", "test")]
     found = []
-    try:
-        for rank, (name, grid) in enumerate((grids or models.GRIDS).items()):
-            search = models.grid_search(train, models.feature_stages(features), models.classifier(name, label, seed=seed),
-                                        grid, key, "f1", folds, parallelism=parallelism, seed=seed)
-            s = scoring.classification_scores(search.transform(test), label, "prediction").first()
-            found.append((rank, name, s["accuracy"], s["precision"], s["recall"], s["f1"]))
-    finally:
-        train.unpersist()
-        test.unpersist()
+    for rank, (name, grid) in enumerate((grids or models.GRIDS).items()):
+        search = models.grid_search(train, models.feature_stages(features), models.classifier(name, label, seed=seed),
+                                    grid, key, "f1", folds, parallelism=parallelism, seed=seed)
+        s = scoring.classification_scores(search.transform(test), label, "prediction").first()
+        found.append((rank, name, s["accuracy"], s["precision"], s["recall"], s["f1"]))
     metrics = scoring.metrics_table(df.sparkSession, found)
     return metrics, scoring.text_report(metrics)
 
@@ -195,18 +193,14 @@ def heart_comparison(df: DataFrame, key: str, label: str = "target", fraction: f
     features = [c for c in df.columns if c not in (label, key)]
     whole = rows.drop_null_columns(df.drop("smoke"))
     bare = [c for c in features if c in whole.columns]
-    train, test = [p.persist() for p in split.random_split(df, [1.0 - fraction, fraction], key, seed)]
+    train, test = split.random_split(frozen(df, "heart"), [1.0 - fraction, fraction], key, seed)
     sets = {"1": (features, False), "2": (features, True), "3": (bare, False)}
     entries = {
         f"{short}{n}": (models.feature_stages(chosen, squares=squares), models.classifier(name, label))
         for short, name in (("lr", "Logistic Regression"), ("svm", "Linear SVM"))
         for n, (chosen, squares) in sets.items()
     }
-    try:
-        return models.compare_models(train, test, entries)
-    finally:
-        train.unpersist()
-        test.unpersist()
+    return models.compare_models(train, test, entries)
 
 
 def heart_profile(df: DataFrame, roles: Roles) -> dict[str, DataFrame]:
@@ -233,7 +227,7 @@ def passengers(
 ) -> tuple[models.Search, DataFrame]:
     """Forest over filled, multiplied and squared columns, chosen by AUC: the search and ``auc, max_depth``."""
     roles = Roles.of(df, label, [key, *ignored])
-    train, test = split.random_split(df, [share, 1.0 - share], key, seed)
+    train, test = split.random_split(frozen(df, "passengers"), [share, 1.0 - share], key, seed)
     stages = models.passenger_stages(roles.numerical, roles.categorical)
     search = models.grid_search(train, stages, models.classifier("Random Forest", label, seed=seed),
                                 grid or models.FOREST_GRID, key, "areaUnderROC", folds, stratify=False, seed=seed)
@@ -296,7 +290,7 @@ def wines(
     complete = rows.drop_nulls(df)
     numbers = columns.columns_of(complete, "numeric", [label, key])
     kept = rows.zscore_filter(complete, numbers, factor, tolerance, mode)
-    clean = scale.label_encode(kept, columns.columns_of(kept, "string", [label, key]))
+    clean = frozen(scale.label_encode(kept, columns.columns_of(kept, "string", [label, key])), "wines")
     train, test = split.random_split(clean, [1.0 - ratio, ratio], key, seed)
     found = {v: robustness.validation_accuracy(train, numbers, label, key, v, ratio, seed) for v in robustness.VARIANTS}
     decision = scoring.choose_challenger(found["plain"], {"max": found["max"], "product": found["product"]}, tolerance)

@@ -32,6 +32,7 @@ from prepkit.operators.scale import assemble
 from prepkit.operators.split import with_folds
 from prepkit.plans.scoring import classification_scores, metrics_table
 from prepkit.plans.stages import PairwiseMax, PairwiseProduct, SquareProduct
+from prepkit.sources.frozen import frozen
 
 # The parameter grids of the heart-disease and passenger models.
 GRIDS: dict[str, dict[str, list[Any]]] = {
@@ -156,7 +157,7 @@ def grid_search(
     else:
         evaluator = MulticlassClassificationEvaluator(labelCol=label, metricName=metric)
     # every fold of every setting reads these rows
-    foldable = with_folds(df, key, folds, label if stratify else None, seed, name="_fold").persist()
+    foldable = frozen(with_folds(df, key, folds, label if stratify else None, seed, name="_fold"), "folds")
     search = CrossValidator(
         estimator=Pipeline(stages=[*stages, model]),
         estimatorParamMaps=grid_of(model, grid),
@@ -166,10 +167,7 @@ def grid_search(
         parallelism=parallelism,
         seed=seed,
     )
-    try:
-        found = search.fit(foldable)
-    finally:
-        foldable.unpersist()
+    found = search.fit(foldable)
     better = max if evaluator.isLargerBetter() else min
     score = better(found.avgMetrics)
     best = search.getEstimatorParamMaps()[found.avgMetrics.index(score)]
@@ -188,15 +186,13 @@ def fold_scores(
 ) -> DataFrame:
     """``model, fold`` and the four scores of a model trained on the other folds."""
     label = model.getLabelCol()
-    foldable = with_folds(df, key, folds, label, seed, name="fold").persist()
+    foldable = frozen(with_folds(df, key, folds, label, seed, name="fold"), "folds")
     parts = []
     for fold in range(folds):
         fitted = train(foldable.where(F.col("fold") != fold), stages, model)
         parts.append(fitted.transform(foldable.where(F.col("fold") == fold)).select("fold", label, "prediction"))
     scored = classification_scores(union_by_name(*parts), label, "prediction", ["fold"])
-    rows = scored.withColumn("model", F.lit(name)).collect()
-    foldable.unpersist()
-    return df.sparkSession.createDataFrame(rows, "fold int, accuracy double, precision double, recall double, f1 double, n long, model string")
+    return scored.withColumn("model", F.lit(name))
 
 
 def compare_models(

@@ -15,6 +15,7 @@ from prepkit.functions.chance import gaussian
 from prepkit.operators.columns import with_pairwise_max, with_pairwise_products
 from prepkit.operators.scale import Scaling, apply_minmax, assemble, fit_minmax
 from prepkit.operators.split import random_split
+from prepkit.sources.frozen import frozen
 
 VARIANTS = ("plain", "product", "max")
 
@@ -50,12 +51,8 @@ def train_variant(df: DataFrame, columns: Sequence[str], label: str, variant: st
     names = [*columns, *[c for c in made.columns if c not in df.columns]]
     scalings = fit_minmax(made, names)
     vectors = assemble([s.name for s in scalings]).transform(apply_minmax(made, scalings))
-    # the optimiser reads the rows once per step
-    rows = vectors.select("features", label).persist()
-    try:
-        model = LogisticRegression(featuresCol="features", labelCol=label).fit(rows)
-    finally:
-        rows.unpersist()
+    rows = frozen(vectors.select("features", label), "training")
+    model = LogisticRegression(featuresCol="features", labelCol=label).fit(rows)
     return ScaledModel(tuple(columns), variant, label, tuple(scalings), model)
 
 

@@ -10,12 +10,13 @@ from prepkit.operators.lookup import join_keep_left
 from prepkit.operators.split import stratified_split
 from prepkit.plans import jobs, models, robustness, scoring
 from prepkit.queries.registry import dirty, query, table
+from prepkit.sources.frozen import frozen
 
 FEATURES = ["n_chars", "n_tokens", "n_lines", "n_digits"]
 
 
 def labelled_features(spark: SparkSession, folder: str) -> DataFrame:
-    """Labelled documents with a few counts over their whole texts."""
+    """Labelled documents with a few counts over their whole texts, put aside for training."""
     text = F.col("text")
     documents = table(spark, folder, "documents").select(
         "doc_id",
@@ -26,16 +27,14 @@ def labelled_features(spark: SparkSession, folder: str) -> DataFrame:
         F.length(F.regexp_replace(text, "[^0-9]", "")).cast("double").alias("n_digits"),
     )
     labels = table(spark, folder, "labels").select("doc_id", F.col("quality").cast("double").alias("quality"))
-    return join_keep_left(documents, labels, "doc_id")
+    return frozen(join_keep_left(documents, labels, "doc_id"), "labelled")
 
 
 def _scores(spark: SparkSession, folder: str, name: str, **params: object) -> DataFrame:
-    data = labelled_features(spark, folder).drop("lang").persist()
+    data = labelled_features(spark, folder).drop("lang")
     train, test = stratified_split(data, "quality", "doc_id", 0.2)
     stages = models.feature_stages(FEATURES)
-    found = models.compare_models(train, test, {name: (stages, models.classifier(name, "quality", **params))})
-    data.unpersist()
-    return found
+    return models.compare_models(train, test, {name: (stages, models.classifier(name, "quality", **params))})
 
 
 @query()
@@ -66,23 +65,19 @@ def train_linear_svm(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def train_expanded_svm(spark: SparkSession, folder: str) -> DataFrame:
     """A linear SVM on squares and products too, in place of a kernel."""
-    data = labelled_features(spark, folder).drop("lang").persist()
+    data = labelled_features(spark, folder).drop("lang")
     train, test = stratified_split(data, "quality", "doc_id", 0.2)
     stages = models.feature_stages(FEATURES, squares=True, products=True)
-    found = models.compare_models(train, test, {"SVM": (stages, models.classifier("Linear SVM", "quality", maxIter=20))})
-    data.unpersist()
-    return found
+    return models.compare_models(train, test, {"SVM": (stages, models.classifier("Linear SVM", "quality", maxIter=20))})
 
 
 @query()
 def train_balanced(spark: SparkSession, folder: str) -> DataFrame:
     """Logistic regression with class weights; centred scaling."""
-    data = models.with_balance(labelled_features(spark, folder).drop("lang"), "quality").persist()
+    data = models.with_balance(labelled_features(spark, folder).drop("lang"), "quality")
     train, test = stratified_split(data, "quality", "doc_id", 0.2)
     model = models.classifier("Logistic Regression", "quality", maxIter=50, weightCol="weight")
-    found = models.compare_models(train, test, {"balanced": (models.feature_stages(FEATURES, centre=True), model)})
-    data.unpersist()
-    return found
+    return models.compare_models(train, test, {"balanced": (models.feature_stages(FEATURES, centre=True), model)})
 
 
 @query()
@@ -131,16 +126,15 @@ def passenger_search(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def validation_variants(spark: SparkSession, folder: str) -> DataFrame:
     """Validation accuracy of the plain, product and maximum features: ``variant, accuracy``."""
-    data = labelled_features(spark, folder).drop("lang").persist()
+    data = labelled_features(spark, folder).drop("lang")
     found = [(v, robustness.validation_accuracy(data, FEATURES, "quality", "doc_id", v)) for v in robustness.VARIANTS]
-    data.unpersist()
     return spark.createDataFrame(found, "variant string, accuracy double")
 
 
 @query()
 def perturbed_accuracy(spark: SparkSession, folder: str) -> DataFrame:
     """Accuracy under noise on the inputs, with its confidence interval."""
-    data = labelled_features(spark, folder).drop("lang").persist()
+    data = labelled_features(spark, folder).drop("lang")
     train, test = stratified_split(data, "quality", "doc_id", 0.2)
     model = robustness.train_variant(train, FEATURES, "quality", "product")
     return robustness.robustness(model, test, "doc_id", trials=10)
