@@ -37,11 +37,12 @@ def outer_join_reference(df: DataFrame, reference: DataFrame, left_key: str, rig
 
     A full outer join cannot split a hot key, so it is put together from a left join,
     which broadcasts a small reference, and the reference rows no key of ``df`` meets.
-    The keys are deduplicated on the map side before they are compared.
+    Of the keys only those the reference has are compared, deduplicated on the map side.
     """
     side = bounded(reference)
     matched = df.join(side, df[left_key] == side[right_key], "left")
-    used = df.select(F.col(left_key).alias("_used")).distinct()
+    known = side.select(F.col(right_key).alias("_known"))
+    used = df.select(F.col(left_key).alias("_used")).join(known, F.col("_used") == F.col("_known"), "left_semi").distinct()
     unmet = reference.join(used, reference[right_key] == used["_used"], "left_anti")
     return matched.unionByName(unmet, allowMissingColumns=True)
 

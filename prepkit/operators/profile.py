@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from prepkit.functions.cells import Bracket, bracket, missing
 from prepkit.functions.markup import tokens
 from prepkit.operators.columns import columns_of
+from prepkit.operators.lookup import bounded
 from prepkit.operators.ranking import running_totals
 
 # Distinct values a single exact-percentile buffer may hold.
@@ -371,7 +372,7 @@ def adjusted_skew(c: str | Column) -> Column:
 
 
 def binned_stats(df: DataFrame, by: Sequence[str], column: str) -> DataFrame:
-    """Per group ``mean, median, std, skew`` (adjusted) ``, n``."""
+    """Per group ``mean, median, std, skew`` (adjusted) ``, n``; rows without a group are left out."""
     figures = df.where(F.col(column).isNotNull()).groupBy(*by).agg(
         F.avg(column).alias("mean"),
         F.stddev_samp(column).alias("std"),
@@ -455,13 +456,13 @@ def box_summary(df: DataFrame, columns: Sequence[str], positive_only: bool = Fal
 
 
 def box_by_group(df: DataFrame, by: Sequence[str], column: str, k: float = 1.5) -> DataFrame:
-    """The box figures of one column per group."""
+    """The box figures of one column per group; rows without a group are left out."""
     found = group_quantiles(df, by, column, [0.25, 0.5, 0.75])
     wide = found.groupBy(*by).agg(*[
         F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for p, n in ((0.25, "q1"), (0.5, "q2"), (0.75, "q3"))
     ])
     cells = df.where(F.col(column).isNotNull()).select(*by, F.col(column).cast("double").alias("_v"))
-    joined = cells.join(wide, list(by))
+    joined = cells.join(bounded(wide), list(by))
     box = _box(F.col("_v"), F.col("q1"), F.col("q2"), F.col("q3"), k)
     keep = {n: (F.max(v) if n in ("q1", "median", "q3", "iqr") else v) for n, v in box.items()}
     return joined.groupBy(*by).agg(*[v.alias(n) for n, v in keep.items()])

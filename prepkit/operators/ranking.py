@@ -15,6 +15,7 @@ from pyspark.sql.window import Window
 
 from prepkit.functions.chance import unit
 from prepkit.operators.lookup import bounded
+from prepkit.sources.frozen import frozen
 
 SLICES = 16_384
 
@@ -85,29 +86,27 @@ def smallest_marked(
     return settled.select(*df.columns, name).unionByName(edge.select(*df.columns, name))
 
 
-def running_totals(
-    df: DataFrame, order: str, total: str, group: Sequence[str] = (), slices: int = 256
-) -> DataFrame:
-    """Add ``before``, the sum of ``total`` over smaller ``order`` values, and ``whole``, over all.
+def running_totals(df: DataFrame, order: str, total: str, group: Sequence[str] = ()) -> DataFrame:
+    """Add ``before``, the sum of ``total`` over smaller ``order`` values, and ``whole``, over all, per group.
 
-    ``df`` holds each (group, order) once. Cut points are values picked by hash, about
-    ``slices`` per group; they only set where a slice ends, so the sums are exact.
+    ``df`` holds each (group, order) once. It is range-partitioned on both, so slices come
+    out even however the groups are sized, and written down with its slice numbers, since
+    Spark samples the borders and they must not change between the two passes that follow.
     """
-    group_key = F.struct(*[F.col(g) for g in group]) if group else F.lit(0)
-    base = df.select("*", group_key.alias("_group"))
-    # Every branch reads the same columns of ``df``, so that its shuffle is done once.
-    shape = base.groupBy("_group").agg(F.count("*").alias("_values"), F.sum(total).alias("whole"))
-    chosen = base.join(shape, "_group").where(unit(order, "cut") < F.lit(float(slices)) / F.col("_values"))
-    cuts = chosen.groupBy("_group").agg(
-        F.sort_array(F.collect_list(F.struct(F.col(order).alias("v"), F.col(total)))).alias("_cuts")
+    numbered = df.repartitionByRange(*group, order).withColumn("_slice", F.spark_partition_id())
+    # A struct is never NULL itself, so groups holding NULL join like any other.
+    key = F.struct(*[F.col(g) for g in group]) if group else F.struct(F.lit(0))
+    sliced = frozen(numbered, "slices").withColumn("_group", key)
+    sums = sliced.groupBy("_group", "_slice").agg(F.sum(total).alias("_sum"))
+    whole = Window.partitionBy("_group")
+    earlier = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(
+        "_group",
+        "_slice",
+        F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"),
+        F.sum("_sum").over(whole).alias("whole"),
     )
-    placed = base.join(shape, "_group").join(cuts, "_group", "left")
-    below = F.filter("_cuts", lambda c: c["v"] <= F.col(order))
-    placed = placed.withColumn("_slice", F.coalesce(F.size(below), F.lit(0))).drop("_cuts", "_values")
-    sums = placed.groupBy("_group", "_slice").agg(F.sum(total).alias("_sum"))
-    earlier = Window.partitionBy("_group").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select("_group", "_slice", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"))
     within = Window.partitionBy("_group", "_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    run = placed.withColumn("_run", F.coalesce(F.sum(total).over(within), F.lit(0)))
+    run = sliced.withColumn("_run", F.coalesce(F.sum(total).over(within), F.lit(0)))
     joined = run.join(starts, ["_group", "_slice"])
     return joined.withColumn("before", F.col("_start") + F.col("_run")).select(*df.columns, "before", "whole")

@@ -67,7 +67,7 @@ def binary_scores(df: DataFrame, label: str, prediction: str, positive: float =
     )
 
 
-def roc_auc(df: DataFrame, label: str, score: str, positive: float = 1.0, slices: int = 256) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str, positive: float = 1.0) -> DataFrame:
     """``auc``: chance that a positive scores above a negative, ties counting half.
 
     Rows are counted per distinct score on the map side; running totals over the scores
@@ -77,7 +77,7 @@ def roc_auc(df: DataFrame, label: str, score: str, positive: float = 1.0, slices
         F.count_if(F.col(label) == positive).alias("_pos"), F.count("*").alias("_all")
     )
     both = counted.withColumn("_neg", F.col("_all") - F.col("_pos"))
-    ranked = running_totals(both, "_score", "_neg", slices=slices)
+    ranked = running_totals(both, "_score", "_neg")
     wins = F.sum(F.col("_pos").cast("double") * (F.col("before") + F.col("_neg") / 2.0))
     pairs = F.sum("_pos").cast("double") * F.sum("_neg").cast("double")
     return ranked.agg(F.try_divide(wins, pairs).alias("auc"))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prepkit.operators.lookup import join_keep_left
-from prepkit.operators.split import stratified_split
+from prepkit.operators.split import stratified_split, with_part
 from prepkit.plans import jobs, models, robustness, scoring
 from prepkit.queries.registry import dirty, query, table
 from prepkit.sources.frozen import frozen
@@ -16,7 +16,7 @@ FEATURES = ["n_chars", "n_tokens", "n_lines", "n_digits"]
 
 
 def labelled_features(spark: SparkSession, folder: str) -> DataFrame:
-    """Labelled documents with a few counts over their whole texts, put aside for training."""
+    """Labelled documents with a few counts over their whole texts."""
     text = F.col("text")
     documents = table(spark, folder, "documents").select(
         "doc_id",
@@ -27,12 +27,18 @@ def labelled_features(spark: SparkSession, folder: str) -> DataFrame:
         F.length(F.regexp_replace(text, "[^0-9]", "")).cast("double").alias("n_digits"),
     )
     labels = table(spark, folder, "labels").select("doc_id", F.col("quality").cast("double").alias("quality"))
-    return frozen(join_keep_left(documents, labels, "doc_id"), "labelled")
+    return join_keep_left(documents, labels, "doc_id")
+
+
+def parts(data: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A train and a test part, put aside for training."""
+    marked = frozen(with_part(data, "quality", "doc_id", 0.2), "parts")
+    return marked.where("part = 'train'").drop("part"), marked.where("part = 'test'").drop("part")
 
 
 def _scores(spark: SparkSession, folder: str, name: str, **params: object) -> DataFrame:
     data = labelled_features(spark, folder).drop("lang")
-    train, test = stratified_split(data, "quality", "doc_id", 0.2)
+    train, test = parts(data)
     stages = models.feature_stages(FEATURES)
     return models.compare_models(train, test, {name: (stages, models.classifier(name, "quality", **params))})
 
@@ -66,7 +72,7 @@ def train_linear_svm(spark: SparkSession, folder: str) -> DataFrame:
 def train_expanded_svm(spark: SparkSession, folder: str) -> DataFrame:
     """A linear SVM on squares and products too, in place of a kernel."""
     data = labelled_features(spark, folder).drop("lang")
-    train, test = stratified_split(data, "quality", "doc_id", 0.2)
+    train, test = parts(data)
     stages = models.feature_stages(FEATURES, squares=True, products=True)
     return models.compare_models(train, test, {"SVM": (stages, models.classifier("Linear SVM", "quality", maxIter=20))})
 
@@ -75,7 +81,7 @@ def train_expanded_svm(spark: SparkSession, folder: str) -> DataFrame:
 def train_balanced(spark: SparkSession, folder: str) -> DataFrame:
     """Logistic regression with class weights; centred scaling."""
     data = models.with_balance(labelled_features(spark, folder).drop("lang"), "quality")
-    train, test = stratified_split(data, "quality", "doc_id", 0.2)
+    train, test = parts(data)
     model = models.classifier("Logistic Regression", "quality", maxIter=50, weightCol="weight")
     return models.compare_models(train, test, {"balanced": (models.feature_stages(FEATURES, centre=True), model)})
 
@@ -126,7 +132,7 @@ def passenger_search(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def validation_variants(spark: SparkSession, folder: str) -> DataFrame:
     """Validation accuracy of the plain, product and maximum features: ``variant, accuracy``."""
-    data = labelled_features(spark, folder).drop("lang")
+    data = frozen(labelled_features(spark, folder).drop("lang"), "labelled")
     found = [(v, robustness.validation_accuracy(data, FEATURES, "quality", "doc_id", v)) for v in robustness.VARIANTS]
     return spark.createDataFrame(found, "variant string, accuracy double")
 
@@ -135,7 +141,7 @@ def validation_variants(spark: SparkSession, folder: str) -> DataFrame:
 def perturbed_accuracy(spark: SparkSession, folder: str) -> DataFrame:
     """Accuracy under noise on the inputs, with its confidence interval."""
     data = labelled_features(spark, folder).drop("lang")
-    train, test = stratified_split(data, "quality", "doc_id", 0.2)
+    train, test = parts(data)
     model = robustness.train_variant(train, FEATURES, "quality", "product")
     return robustness.robustness(model, test, "doc_id", trials=10)
 
@@ -143,7 +149,7 @@ def perturbed_accuracy(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def predicted_auc(spark: SparkSession, folder: str) -> DataFrame:
     """AUC of a fitted model's probabilities: ``auc``."""
-    data = labelled_features(spark, folder).drop("lang")
+    data = frozen(labelled_features(spark, folder).drop("lang"), "labelled")
     fitted = models.train(data, models.feature_stages(FEATURES), models.classifier("Logistic Regression", "quality", maxIter=20))
     scored = fitted.transform(data).select("quality", F.get(vector_to_array("probability"), F.lit(1)).alias("score"))
     return scoring.roc_auc(scored, "quality", "score")
