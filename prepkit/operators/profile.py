@@ -349,6 +349,8 @@ def corr_matrix(
 
     cells = df.select(*[cell(c).cast("double").alias(c) for c in columns])
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "col_a string, col_b string, r double, n bigint")
     return _long([
         {
             "col_a": F.lit(a),

@@ -40,7 +40,10 @@ def read_csv(
 def read_csv_checked(
     spark: SparkSession, path: str | Sequence[str], schema: Schema, header: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """Well-formed rows, and the raw text of the malformed ones."""
+    """Well-formed rows, and the malformed ones with their raw text.
+
+    Spark refuses to read the raw text alone, so take it together with another column.
+    """
     whole = T.StructType([*_struct(schema).fields, T.StructField(CORRUPT, T.StringType())])
     reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
     reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
