@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column
@@ -90,12 +91,24 @@ PROTOCOL_RULES = (
 def inside(c: str | Column, lo: float | None, hi: float | None) -> Column:
     """Whether lo <= cell <= hi; an end given as None is open."""
     cell = column(c)
-    test = F.lit(True) & cell.isNotNull()
+    tests = [cell.isNotNull()]
     if lo is not None:
-        test = test & (cell >= F.lit(lo))
+        tests.append(cell >= F.lit(lo))
     if hi is not None:
-        test = test & (cell <= F.lit(hi))
-    return test
+        tests.append(cell <= F.lit(hi))
+    return reduce(lambda a, b: a & b, tests)
+
+
+def valid_cell(c: str, ranges: Mapping[str, Any]) -> Column:
+    """The cell where its column's range allows it, else NULL; columns without a range as they are.
+
+    A range is ``(lo, hi)``, open where None, or a list of values.
+    """
+    if c not in ranges:
+        return F.col(c)
+    allowed = ranges[c]
+    test = inside(c, *allowed) if isinstance(allowed, tuple) else F.col(c).isin(list(allowed))
+    return F.when(test, F.col(c))
 
 
 def bracket(c: str | Column, brackets: Sequence[Bracket]) -> Column:

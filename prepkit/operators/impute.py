@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prepkit.functions.cells import Bracket, bracket, column
+from prepkit.functions.cells import Bracket, bracket, column, valid_cell
 from prepkit.functions.chance import unit
-from prepkit.operators.profile import _valid, mean_std, modes
+from prepkit.operators.profile import mean_std, modes
 from prepkit.operators.ranking import smallest_marked
 
 Values = dict[str, Any]
@@ -50,7 +50,7 @@ def fill(df: DataFrame, values: Mapping[str, Any]) -> DataFrame:
 def repair(df: DataFrame, values: Mapping[str, Any], ranges: Mapping[str, Any]) -> DataFrame:
     """Put the column's value into its gaps and over cells outside the column's range."""
     return df.select(*[
-        F.coalesce(_valid(c, ranges), F.lit(values[c])).alias(c) if c in values else F.col(c) for c in df.columns
+        F.coalesce(valid_cell(c, ranges), F.lit(values[c])).alias(c) if c in values else F.col(c) for c in df.columns
     ])
 
 

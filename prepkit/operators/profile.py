@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prepkit.functions.cells import Bracket, bracket, missing
+from prepkit.functions.cells import Bracket, bracket, missing, valid_cell
 from prepkit.functions.markup import tokens
 from prepkit.operators.columns import columns_of
 from prepkit.operators.lookup import bounded
@@ -28,7 +28,7 @@ BUFFER_VALUES = 200_000
 GATHERED_VALUES = 50_000
 
 
-def _long(records: Sequence[Mapping[str, Column]], df: DataFrame, name: str = "column") -> DataFrame:
+def _long(records: Sequence[Mapping[str, Column]], df: DataFrame) -> DataFrame:
     """One aggregate row turned into one row per record."""
     rows = F.array(*[F.struct(*[v.alias(k) for k, v in r.items()]) for r in records])
     return df.agg(rows.alias("_rows")).select(F.inline("_rows"))
@@ -58,6 +58,16 @@ def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("n_rows")).withColumn("n_columns", F.lit(len(df.columns)))
 
 
+def count_where(df: DataFrame, condition: Column, name: str = "n") -> DataFrame:
+    """How many rows meet a condition, as one row."""
+    return df.agg(F.count_if(condition).alias(name))
+
+
+def partition_count(df: DataFrame) -> int:
+    """Partitions the rows would be read in."""
+    return df.rdd.getNumPartitions()
+
+
 def _value_pairs(df: DataFrame, columns: Sequence[str], cast: str) -> DataFrame:
     """Non-null cells as ``column, value`` rows of one type."""
     casted = df.select(*[F.col(c).cast(cast).alias(c) for c in columns])
@@ -92,23 +102,9 @@ def missing_by_bracket(df: DataFrame, target: str, value: str, brackets: Sequenc
 # --- means and modes ----------------------------------------------------------------
 
 
-def _valid(c: str, ranges: Mapping[str, Any]) -> Column:
-    """The cell where its range allows it, else NULL. A range is (lo, hi) or a list of values."""
-    if c not in ranges:
-        return F.col(c)
-    allowed = ranges[c]
-    if isinstance(allowed, (list, set)):
-        return F.when(F.col(c).isin(list(allowed)), F.col(c))
-    lo, hi = allowed
-    test = F.lit(True)
-    test = test if lo is None else test & (F.col(c) >= F.lit(lo))
-    test = test if hi is None else test & (F.col(c) <= F.lit(hi))
-    return F.when(test, F.col(c))
-
-
 def mean_std(df: DataFrame, columns: Sequence[str], ranges: Mapping[str, Any] | None = None) -> DataFrame:
     """``column, mean, std`` (sample), over valid cells only where a range is given."""
-    cells = {c: _valid(c, ranges or {}) for c in columns}
+    cells = {c: valid_cell(c, ranges or {}) for c in columns}
     return _long([{"column": F.lit(c), "mean": F.avg(v), "std": F.stddev_samp(v)} for c, v in cells.items()], df)
 
 
@@ -118,7 +114,7 @@ def modes(df: DataFrame, columns: Sequence[str], ranges: Mapping[str, Any] | Non
     Counting goes through a shuffle with map-side aggregation, so a column may have any
     number of values. Columns are counted per type family, so that ties compare right.
     """
-    df = df.select(*[_valid(c, ranges or {}).alias(c) for c in columns])
+    df = df.select(*[valid_cell(c, ranges or {}).alias(c) for c in columns])
     families: dict[str, list[str]] = {}
     for c in columns:
         kind = df.schema[c].dataType
@@ -196,19 +192,24 @@ def _order_statistics(df: DataFrame, wanted: Mapping[str, set[int]], counts: Map
         open_ = [t for t in targets.values() if t.value is None and t.inside > limit]
         if not open_:
             break
+        # One aggregate serves all ranks of an interval, and one pair of bounds serves neighbours.
+        pairs = [(members, _neighbours(members)) for members in _by_interval(open_)]
         margin = 2.0 / accuracy
-        guesses = df.agg(*[
-            F.percentile_approx(
-                t.cell(),
-                [max(t.k / t.inside - margin, 0.0), min((t.k + 1) / t.inside + margin, 1.0)],
-                accuracy,
-            ).alias(str(i))
-            for i, t in enumerate(open_)
-        ]).first()
+        asked = []
+        for i, (members, groups) in enumerate(pairs):
+            inside = members[0].inside
+            shares = [
+                share for group in groups
+                for share in (max(group[0].k / inside - margin, 0.0), min((group[-1].k + 1) / inside + margin, 1.0))
+            ]
+            asked.append(F.percentile_approx(members[0].cell(), shares, accuracy).alias(str(i)))
+        guesses = df.agg(*asked).first()
+        placed = [
+            (group, *guesses[str(i)][2 * j : 2 * j + 2]) for i, (_, groups) in enumerate(pairs) for j, group in enumerate(groups)
+        ]
         tests = []
-        for i, t in enumerate(open_):
-            a, b = guesses[str(i)]
-            cell = t.cell()
+        for i, (group, a, b) in enumerate(placed):
+            cell = group[0].cell()
             tests += [
                 F.count_if(cell < F.lit(a)).alias(f"{i} below"),
                 F.count_if(cell == F.lit(a)).alias(f"{i} a"),
@@ -216,26 +217,48 @@ def _order_statistics(df: DataFrame, wanted: Mapping[str, set[int]], counts: Map
                 F.count_if((cell == F.lit(b)) & F.lit(b > a)).alias(f"{i} b"),
             ]
         found = df.agg(*tests).first()
-        for i, t in enumerate(open_):
-            a, b = guesses[str(i)]
-            t.advance(a, b, *[found[f"{i} {part}"] for part in ("below", "a", "between", "b")])
-    rest = [t for t in targets.values() if t.value is None]
+        for i, (group, a, b) in enumerate(placed):
+            for t in group:
+                t.advance(a, b, *[found[f"{i} {part}"] for part in ("below", "a", "between", "b")])
+    rest = _by_interval([t for t in targets.values() if t.value is None])
     if rest:
+        sorted_cells = [F.sort_array(F.collect_list(members[0].cell())) for members in rest]
         gathered = df.agg(*[
-            F.get(F.sort_array(F.collect_list(t.cell())), F.lit(t.k)).alias(str(i)) for i, t in enumerate(rest)
+            F.array(*[F.get(cells, F.lit(t.k)) for t in members]).alias(str(i))
+            for i, (members, cells) in enumerate(zip(rest, sorted_cells))
         ]).first()
-        for i, t in enumerate(rest):
-            t.value = gathered[str(i)]
+        for i, members in enumerate(rest):
+            for t, value in zip(members, gathered[str(i)]):
+                t.value = value
     return {key: t.value for key, t in targets.items()}
 
 
+def _by_interval(targets: Sequence[_Target]) -> list[list[_Target]]:
+    """Targets of one column and interval together, by rank."""
+    groups: dict[tuple, list[_Target]] = {}
+    for t in targets:
+        groups.setdefault((t.column, t.lo, t.hi), []).append(t)
+    return [sorted(members, key=lambda t: t.k) for members in groups.values()]
+
+
+def _neighbours(members: Sequence[_Target]) -> list[list[_Target]]:
+    """Runs of ranks one apart, as the two a quantile lies between."""
+    groups: list[list[_Target]] = []
+    for t in members:
+        if groups and t.k - groups[-1][-1].k <= 1:
+            groups[-1].append(t)
+        else:
+            groups.append([t])
+    return groups
+
+
 def quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probs: Sequence[float],
     buffer_values: int = BUFFER_VALUES,
     gathered_values: int = GATHERED_VALUES,
-    accuracy: int = 10_000,
+    accuracy: int = 1_000,
 ) -> dict[str, list[float | None]]:
     """Exact quantiles with linear interpolation, NULLs ignored.
 

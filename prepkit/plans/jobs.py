@@ -147,9 +147,10 @@ def heart_clean(df: DataFrame, key: str, threshold: float = 0.9, inclusive: bool
     """Drop sparse rows, keep the modelling columns, repair and fill all but ``smoke``."""
     dense = rows.drop_sparse_rows(df, threshold, inclusive)
     typed = dense.select(key, *[cells.to_number(c).alias(c) for c in HEART_COLUMNS])
-    repaired = impute.guarded_mode_repair(impute.guarded_mean_repair(typed, HEART_RANGES), HEART_BINARY)
-    filled = impute.mode_fill(repaired, ["painloc", "painexer", "slope", "cp"])
-    return impute.mean_fill(filled, ["thaldur", "thalach"])
+    # the columns do not depend on each other, so one fit for all means and one for all modes
+    means = impute.fit_means(typed, [*HEART_RANGES, "thaldur", "thalach"], HEART_RANGES)
+    modes = impute.fit_modes(typed, [*HEART_BINARY, "painloc", "painexer", "slope", "cp"], HEART_BINARY)
+    return impute.repair(typed, {**means, **modes}, {**HEART_RANGES, **HEART_BINARY})
 
 
 def heart_fill_smoke(
@@ -245,7 +246,8 @@ DELAYS = ["DepDelay", "ArrDelay", "CarrierDelay", "WeatherDelay", "NASDelay", "S
 
 def flights(df: DataFrame, width: float = 50.0, delays: Sequence[str] = DELAYS) -> dict[str, DataFrame]:
     """Delay boxes and correlations, the late-aircraft pattern, and air time by distance bin."""
-    distinct = rows.distinct_rows(df)
+    # every figure below reads the deduplicated rows
+    distinct = frozen(rows.distinct_rows(df), "flights")
     late = rows.in_ranges(distinct, {"DepDelay": (0, None), "ArrDelay": (0, None)})
     longest = distinct.agg(F.max("Distance")).first()[0] or 0
     # the last edge is the largest multiple of the width below the longest distance plus one width

@@ -5,6 +5,7 @@ from prepkit.queries import (  # noqa: F401
     encoding,
     files,
     flagship,
+    jobs,
     joining,
     modelling,
     profiling,

@@ -5,13 +5,17 @@ Files go to the shared folder of the session, a new path each time.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prepkit.operators import profile, rows
+from prepkit.operators.lookup import attach_scalars
 from prepkit.queries.registry import query, rounded, table
 from prepkit.session import scratch_path
 from prepkit.sources import readers, writers
+from prepkit.sources.stage import stage
 from prepkit.streaming import files as streaming
 
 ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double"
@@ -93,8 +97,6 @@ def listed_inputs(spark: SparkSession, folder: str) -> DataFrame:
     path = readers.pick_input(spark, folder, "nation*.parquet")
     n_rows = readers.read_parquet(spark, path).agg(F.count("*").alias("n_rows"))
     listed = found.agg(F.count("*").cast("int").alias("n_files"), (F.sum("length") > 0).alias("any_bytes"))
-    from prepkit.operators.lookup import attach_scalars
-
     return attach_scalars(listed, n_rows)
 
 
@@ -126,6 +128,29 @@ def ingested_first_rows(spark: SparkSession, folder: str) -> DataFrame:
     return rows.first_per_key(whole, ["p_name"], readers.READING_ORDER).select("p_name", "p_partkey")
 
 
+@query("""
+SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders WHERE o_totalprice >= 1000 GROUP BY 1
+""")
+def staged_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Two steps between catalog tables, the second taking the place of the first's result."""
+    schema = f"steps_{uuid.uuid4().hex[:12]}"
+    writers.reset_schema(spark, schema, scratch_path(spark, schema))
+    writers.write_table(_orders(spark, folder), f"{schema}.original")
+    stage(spark, f"{schema}.original", lambda df: {f"{schema}.clean": df.where("o_totalprice >= 1000")}, f"{schema}.original")
+    stage(spark, [f"{schema}.clean"], lambda dfs: {f"{schema}.clean": dfs[0].drop("o_custkey")})
+    by_status = readers.read_table(spark, f"{schema}.clean").groupBy("o_orderstatus")
+    return by_status.agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+@query("SELECT 16 AS partitions, count(*) AS n, count(*) FILTER (o_totalprice > 200000) AS n_large FROM orders")
+def redistributed(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows spread over a given number of partitions, and counted."""
+    spread = readers.redistribute(_orders(spark, folder), 16, "o_orderkey")
+    counted = profile.count_where(spread, F.col("o_totalprice") > 200000, "n_large")
+    sizes = profile.shape(spread).select(F.lit(profile.partition_count(spread)).alias("partitions"), F.col("n_rows").alias("n"))
+    return attach_scalars(sizes, counted)
+
+
 @query("""
 SELECT event_type, count(*) AS n, round(sum(CASE WHEN value > 400 THEN 0 ELSE value END), 4) AS total FROM events GROUP BY 1
 """)

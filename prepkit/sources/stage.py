@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prepkit.sources.writers import drop_table, write_table
+from prepkit.sources.writers import quoted, drop_table, write_table
 
 Frames = DataFrame | list[DataFrame]
 
@@ -33,5 +33,5 @@ def stage(
         drop_table(spark, name)
     for name in results:
         drop_table(spark, name)
-        spark.sql(f"ALTER TABLE {name}__new RENAME TO {name}")
+        spark.sql(f"ALTER TABLE {quoted(name + '__new')} RENAME TO {quoted(name)}")
     return list(results)

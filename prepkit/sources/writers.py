@@ -49,18 +49,22 @@ def write_jdbc(df: DataFrame, url: str, name: str, if_exists: str = "fail", prop
     df.write.jdbc(url, name, mode=TABLE_MODES[if_exists], properties=properties or {})
 
 
-def _quoted(name: str) -> str:
+def quoted(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.replace("`", "").split("."))
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
     """Drop a table where it exists."""
-    spark.sql(f"DROP TABLE IF EXISTS {_quoted(name)}")
+    spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
 
 
-def reset_schema(spark: SparkSession, name: str) -> None:
-    """Drop a schema with all its tables and make it anew. The caller names it; there is no default."""
+def reset_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Drop a schema with all its tables and make it anew. The caller names it; there is no default.
+
+    Its tables live in ``location`` when given, else in the warehouse folder.
+    """
     if not name or name == "default":
         raise ValueError("name the schema to reset; the default schema is not reset")
-    spark.sql(f"DROP SCHEMA IF EXISTS {_quoted(name)} CASCADE")
-    spark.sql(f"CREATE SCHEMA {_quoted(name)}")
+    spark.sql(f"DROP SCHEMA IF EXISTS {quoted(name)} CASCADE")
+    place = "" if location is None else " LOCATION '" + location.replace("'", "\\'") + "'"
+    spark.sql(f"CREATE SCHEMA {quoted(name)}{place}")
