@@ -17,28 +17,41 @@ from prepkit.functions.chance import unit
 from prepkit.operators.lookup import bounded
 from prepkit.sources.frozen import frozen
 
-SLICES = 16_384
-
-
-def _sliced(df: DataFrame, group: Sequence[str], key: Sequence[str], seed: int | str, slices: int) -> DataFrame:
-    # A struct is never NULL itself, so groups holding NULL join and count like any other.
-    return df.select(
-        "*",
-        F.struct(*[F.col(g) for g in group]).alias("_group"),
-        unit(key, seed).alias("_u"),
-    ).withColumn("_slice", F.floor(F.col("_u") * slices).cast("int"))
+# Rows a slice of a group should hold, and slices a group may have.
+SLICE_ROWS = 100_000
+MAX_SLICES = 16_384
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def _grouped(df: DataFrame, group: Sequence[str]) -> Column:
+    # A struct is never NULL itself, so groups holding NULL join and count like any other.
+    return F.struct(*[F.col(g) for g in group])
+
+
 def hash_rank(
-    df: DataFrame, group: Sequence[str], key: str | Sequence[str], seed: int | str, name: str = "rank", slices: int = SLICES
+    df: DataFrame,
+    group: Sequence[str],
+    key: str | Sequence[str],
+    seed: int | str,
+    name: str = "rank",
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Add the 1-based rank of each row in its group's hash order."""
+    """Add the 1-based rank of each row in its group's hash order. The key must tell rows apart.
+
+    A group gets slices by its size, so that a hot one is spread over many tasks and the
+    number of slices stays far below the number of rows.
+    """
     keys = _keys(key)
-    tagged = _sliced(df, group, keys, seed, slices)
+    slices = F.least(F.ceil(F.col("n") / F.lit(float(slice_rows))), F.lit(MAX_SLICES)).cast("int")
+    counts = df.groupBy(_grouped(df, group).alias("_of")).agg(F.count("*").alias("n"))
+    side = bounded(counts.select("_of", slices.alias("_slices")))
+    tagged = df.select("*", _grouped(df, group).alias("_group"), unit(keys, seed).alias("_u"))
+    tagged = tagged.join(side, tagged["_group"] == side["_of"]).withColumn(
+        "_slice", F.floor(F.col("_u") * F.col("_slices")).cast("int")
+    )
     sizes = tagged.groupBy("_group", "_slice").agg(F.count("*").alias("_size"))
     earlier = Window.partitionBy("_group").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_group", "_slice", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
@@ -55,34 +68,48 @@ def smallest_marked(
     key: str | Sequence[str],
     seed: int | str,
     name: str = "picked",
-    slices: int = SLICES,
+    reach: float = 8.0,
 ) -> DataFrame:
-    """Mark, per group, the first ``quota`` rows in hash order.
+    """Mark, per group, the first ``quota`` rows in hash order. The key must tell rows apart.
 
-    ``quota`` may use ``n``, the group's row count, and the group columns. All slices
-    before the one where the quota is reached count whole; only the rows of that one
-    slice are ranked, and only they are shuffled.
+    ``quota`` may use ``n``, the group's row count, and the group columns. Draws are
+    uniform, so the last marked row stands near quota / n: within a band of ``reach``
+    deviations, whose share of a group shrinks with the group's size. Rows below the band
+    are counted, only rows inside it are ranked and shuffled. Where the counts show that
+    the band misses the quota, the band is the whole group.
     """
     keys = _keys(key)
-    tagged = _sliced(df, group, keys, seed, slices)
-    sizes = tagged.groupBy("_group", "_slice").agg(F.count("*").alias("_size"))
-    whole = Window.partitionBy("_group")
-    upto = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cuts = (
-        sizes.select("_group", "_slice", "_size", "_group.*")
-        .withColumn("n", F.sum("_size").over(whole))
-        .withColumn("_before", F.sum("_size").over(upto) - F.col("_size"))
-        .withColumn("_quota", quota.cast("bigint"))
-        .where("_before < _quota")
-        .groupBy(F.col("_group").alias("_cut_group"))
-        .agg(F.max("_slice").alias("_cut"), F.max_by(F.col("_quota") - F.col("_before"), F.col("_slice")).alias("_left"))
+    counts = df.groupBy(*group).agg(F.count("*").alias("n"))
+    counts = counts.withColumn("_quota", F.least(F.greatest(quota.cast("bigint"), F.lit(0)), F.col("n")))
+    share = F.col("_quota") / F.col("n")
+    spread = F.lit(reach) * (F.sqrt(share * (1.0 - share) / F.col("n")) + 1.0 / F.col("n"))
+    bands = bounded(
+        counts.select(
+            _grouped(df, group).alias("_of"),
+            "_quota",
+            F.greatest(share - spread, F.lit(0.0)).alias("_lo"),
+            F.least(share + spread, F.lit(1.0)).alias("_hi"),
+        )
+    )
+    tagged = df.select("*", _grouped(df, group).alias("_group"), unit(keys, seed).alias("_u"))
+    found = tagged.join(bands, tagged["_group"] == bands["_of"]).groupBy("_of", "_quota", "_lo", "_hi").agg(
+        F.count_if(F.col("_u") < F.col("_lo")).alias("_below"),
+        F.count_if(F.col("_u").between(F.col("_lo"), F.col("_hi"))).alias("_inside"),
+    )
+    met = F.col("_quota").between(F.col("_below"), F.col("_below") + F.col("_inside"))
+    cuts = bounded(
+        found.select(
+            "_of",
+            F.when(met, F.col("_lo")).otherwise(0.0).alias("_lo"),
+            F.when(met, F.col("_hi")).otherwise(1.0).alias("_hi"),
+            F.when(met, F.col("_quota") - F.col("_below")).otherwise(F.col("_quota")).alias("_left"),
+        )
     )
-    side = bounded(cuts)
-    placed = tagged.join(side, tagged["_group"] == side["_cut_group"], "left")
-    on_cut = F.coalesce(F.col("_slice") == F.col("_cut"), F.lit(False))
-    settled = placed.where(~on_cut).withColumn(name, F.coalesce(F.col("_slice") < F.col("_cut"), F.lit(False)))
+    placed = tagged.join(cuts, tagged["_group"] == cuts["_of"])
+    near = F.col("_u").between(F.col("_lo"), F.col("_hi"))
+    settled = placed.where(~near).withColumn(name, F.col("_u") < F.col("_lo"))
     order = Window.partitionBy("_group").orderBy("_u", *keys)
-    edge = placed.where(on_cut).withColumn(name, F.row_number().over(order) <= F.col("_left"))
+    edge = placed.where(near).withColumn(name, F.row_number().over(order) <= F.col("_left"))
     return settled.select(*df.columns, name).unionByName(edge.select(*df.columns, name))
 
 

@@ -47,12 +47,12 @@ def csv_single_file(spark: SparkSession, folder: str) -> DataFrame:
     return readers.read_csv(spark, path, schema="n_nationkey int, n_name string")
 
 
-@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 10 <> 3")
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus <> 'P'")
 def csv_malformed_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Every tenth line spoilt; the reader keeps the well-formed ones."""
+    """The lines of pending orders spoilt; the reader keeps the well-formed ones."""
     path = scratch_path(spark, "orders-text")
     line = F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    spoilt = F.when(F.col("o_orderkey") % 10 == 3, F.concat(line, F.lit(",too,long"))).otherwise(line)
+    spoilt = F.when(F.col("o_orderstatus") == "P", F.concat(line, F.lit(",too,long"))).otherwise(line)
     writers.write_text(_orders(spark, folder).select(spoilt.alias("value")), path)
     good, _ = readers.read_csv_checked(spark, path, ORDERS, header=False)
     return good
@@ -100,30 +100,29 @@ def listed_inputs(spark: SparkSession, folder: str) -> DataFrame:
     return attach_scalars(listed, n_rows)
 
 
-# The parts of each brand stand in one, two or all three formats; CSV counts first, then JSON, then XML.
 @query("""
-SELECT p_name AS car_model, min(p_size) AS n FROM part GROUP BY 1
+SELECT p_name, count(*) AS n, min(p_size) AS smallest, max(p_size) AS largest FROM part GROUP BY 1
 """)
 def ingested_folder(spark: SparkSession, folder: str) -> DataFrame:
     """Parts spread over CSV, JSON Lines and XML files, read as one table again."""
     path = scratch_path(spark, "mixed")
     part = table(spark, folder, "part").select("p_name", "p_size", "p_partkey")
-    writers.write_csv(part.where("p_partkey % 3 = 0"), f"{path}/a")
-    writers.write_jsonl(part.where("p_partkey % 3 = 1"), f"{path}/b")
-    writers.write_xml(part.where("p_partkey % 3 = 2"), f"{path}/c")
+    writers.write_csv(part.where("p_size <= 16"), f"{path}/a")
+    writers.write_jsonl(part.where("p_size BETWEEN 17 AND 33"), f"{path}/b")
+    writers.write_xml(part.where("p_size > 33"), f"{path}/c")
     whole = readers.ingest_folder(spark, path, "p_name string, p_size int, p_partkey bigint")
-    return whole.groupBy(F.col("p_name").alias("car_model")).agg(F.min("p_size").alias("n"))
+    return whole.groupBy("p_name").agg(F.count("*").alias("n"), F.min("p_size").alias("smallest"), F.max("p_size").alias("largest"))
 
 
 @query("""
-SELECT p_name, p_partkey FROM part QUALIFY row_number() OVER (PARTITION BY p_name ORDER BY p_partkey % 2, p_partkey) = 1
+SELECT p_name, p_partkey FROM part QUALIFY row_number() OVER (PARTITION BY p_name ORDER BY p_size > 25, p_partkey) = 1
 """)
 def ingested_first_rows(spark: SparkSession, folder: str) -> DataFrame:
     """The first row of each name over CSV and then JSON Lines, each file in sorted order."""
     path = scratch_path(spark, "ordered")
-    part = table(spark, folder, "part").select("p_name", "p_partkey")
-    writers.write_csv(part.where("p_partkey % 2 = 0").orderBy("p_partkey"), f"{path}/a")
-    writers.write_jsonl(part.where("p_partkey % 2 = 1").orderBy("p_partkey"), f"{path}/b")
+    part = table(spark, folder, "part").select("p_name", "p_partkey", "p_size")
+    writers.write_csv(part.where("p_size <= 25").orderBy("p_partkey"), f"{path}/a")
+    writers.write_jsonl(part.where("p_size > 25").orderBy("p_partkey"), f"{path}/b")
     whole = readers.ingest_folder(spark, path, "p_name string, p_partkey bigint")
     return rows.first_per_key(whole, ["p_name"], readers.READING_ORDER).select("p_name", "p_partkey")
 

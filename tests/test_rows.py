@@ -18,8 +18,8 @@ def test_hash_rank_equals_the_plain_window(spark):
     df = skewed(spark)
     plain = F.row_number().over(Window.partitionBy("g").orderBy(unit("id", 9), "id"))
     want = {r["id"]: r["k"] for r in df.withColumn("k", plain).collect()}
-    for slices in (1, 16, 4096):
-        assert {r["id"]: r["rank"] for r in ranking.hash_rank(df, ["g"], "id", 9, slices=slices).collect()} == want
+    for size in (1, 70, 100_000):
+        assert {r["id"]: r["rank"] for r in ranking.hash_rank(df, ["g"], "id", 9, slice_rows=size).collect()} == want
 
 
 def test_smallest_marked_equals_the_plain_window(spark):
@@ -27,14 +27,15 @@ def test_smallest_marked_equals_the_plain_window(spark):
     w = Window.partitionBy("g")
     picked = F.row_number().over(w.orderBy(unit("id", 9), "id")) <= F.bround(F.count("*").over(w) * 0.13, 0)
     want = {r["id"]: r["k"] for r in df.withColumn("k", picked).collect()}
-    for slices in (1, 16, 4096):
-        got = ranking.smallest_marked(df, ["g"], F.bround(F.col("n") * 0.13, 0), "id", 9, slices=slices)
+    for reach in (0.0, 0.5, 8.0):
+        got = ranking.smallest_marked(df, ["g"], F.bround(F.col("n") * 0.13, 0), "id", 9, reach=reach)
         assert {r["id"]: r["picked"] for r in got.collect()} == want
 
 
-def test_smallest_marked_without_broadcast(spark, monkeypatch):
+def test_ranks_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(ranking, "bounded", lambda df: df)
     df = skewed(spark, 600)
+    assert ranking.hash_rank(df, ["g"], "id", 1).where("rank = 1").count() == df.select("g").distinct().count()
     assert ranking.smallest_marked(df, ["g"], F.lit(2), "id", 1).where("picked").count() == 2 * df.select("g").distinct().count()
 
 
