@@ -23,13 +23,21 @@ def _text(key: str | Column | Sequence[str | Column]) -> Column:
     return cols[0] if len(cols) == 1 else F.concat_ws("|", *cols)
 
 
+def _digest(key: str | Column | Sequence[str | Column], seed: int | str) -> Column:
+    return F.md5(F.concat(_text(key), F.lit(f"#{seed}")))
+
+
+def _draw(digest: Column, start: int) -> Column:
+    return F.conv(F.substring(digest, start, HEX_DIGITS), 16, 10).cast("bigint") / F.lit(DRAWS)
+
+
 def unit(key: str | Column | Sequence[str | Column], seed: int | str) -> Column:
     """A uniform draw in [0, 1) fixed by the key columns and the seed."""
-    digest = F.md5(F.concat(_text(key), F.lit(f"#{seed}")))
-    return F.conv(F.substring(digest, 1, HEX_DIGITS), 16, 10).cast("bigint") / F.lit(DRAWS)
+    return _draw(_digest(key, seed), 1)
 
 
 def gaussian(key: str | Column | Sequence[str | Column], seed: int | str, std: float = 1.0) -> Column:
-    """A normal draw N(0, std) from two uniform draws (Box-Muller)."""
-    radius = F.sqrt(-2.0 * F.log(F.greatest(unit(key, f"{seed}a"), F.lit(1.0 / DRAWS))))
-    return F.lit(std) * radius * F.cos(2.0 * math.pi * unit(key, f"{seed}b"))
+    """A normal draw N(0, std): Box-Muller on two uniform draws, taken from one digest."""
+    digest = _digest(key, seed)
+    radius = F.sqrt(-2.0 * F.log(F.greatest(_draw(digest, 1), F.lit(1.0 / DRAWS))))
+    return F.lit(std) * radius * F.cos(2.0 * math.pi * _draw(digest, 1 + HEX_DIGITS))

@@ -293,17 +293,20 @@ def wines(
     numbers = columns.columns_of(complete, "numeric", [label, key])
     kept = rows.zscore_filter(complete, numbers, factor, tolerance, mode)
     clean = frozen(scale.label_encode(kept, columns.columns_of(kept, "string", [label, key])), "wines")
+    features = columns.columns_of(clean, "numeric", [label, key])
     train, test = split.random_split(clean, [1.0 - ratio, ratio], key, seed)
-    found = {v: robustness.validation_accuracy(train, numbers, label, key, v, ratio, seed) for v in robustness.VARIANTS}
+    found = {v: robustness.validation_accuracy(train, features, label, key, v, ratio, seed) for v in robustness.VARIANTS}
     decision = scoring.choose_challenger(found["plain"], {"max": found["max"], "product": found["product"]}, tolerance)
     spark = df.sparkSession
     stressed = None
     if decision != "keep":
-        model = robustness.train_variant(train, numbers, label, decision)
+        model = robustness.train_variant(train, features, label, decision)
         stressed = robustness.robustness(model, test, key, noise, trials, confidence, seed)
+    made = robustness.engineered(robustness.engineered(train, features, "product"), features, "max")
+    scaled = [c for c in made.columns if c in features or c not in train.columns]
     return Wines(
         clean=clean,
-        scalings=scale.scaling_table(spark, scale.fit_minmax(train, numbers)),
+        scalings=scale.scaling_table(spark, scale.fit_minmax(made, scaled)),
         accuracies=spark.createDataFrame(list(found.items()), "variant string, accuracy double"),
         decision=decision,
         robustness=stressed,

@@ -43,13 +43,20 @@ GRIDS: dict[str, dict[str, list[Any]]] = {
 }
 WIDE_GRIDS: dict[str, dict[str, list[Any]]] = {
     "Random Forest": {"numTrees": [100, 300, 500], "maxDepth": [5, 10, 30]},
-    "Logistic Regression": {"regParam": [100.0, 10.0, 1.0, 0.1]},
+    "Logistic Regression": {"inverse_penalty": [0.01, 0.1, 1.0, 10.0]},
     "Decision Tree": {"impurity": ["gini", "entropy"], "maxDepth": [30, 2, 5, 10], "minInstancesPerNode": [1, 2, 5]},
     "Gradient Boosting": {"maxIter": [100, 200], "stepSize": [0.01, 0.1], "maxDepth": [3, 5]},
 }
 FOREST_GRID: dict[str, list[Any]] = {"maxDepth": [2, 4, 6, 8, 10], "numTrees": [10, 20, 30, 50, 80]}
 
 
+def wide_grid(name: str, n_rows: int) -> dict[str, list[Any]]:
+    """A wide grid in Spark's parameters; an inverse penalty C on summed losses is regParam 1 / (C * rows)."""
+    grid = dict(WIDE_GRIDS[name])
+    inverse = grid.pop("inverse_penalty", None)
+    return grid if inverse is None else {**grid, "regParam": [1.0 / (c * n_rows) for c in inverse]}
+
+
 def classifier(name: str, label: str, features: str = "features", seed: int = 42, **params: Any) -> Estimator:
     """A classifier by its report name."""
     columns = {"labelCol": label, "featuresCol": features}
@@ -148,12 +155,14 @@ def grid_search(
 ) -> Search:
     """Cross-validate a grid, refit the best setting on all rows.
 
-    ``metric`` is areaUnderROC or one of the multiclass evaluator's. Folds depend on the
-    rows' keys, balanced by label when ``stratify``.
+    ``metric`` is areaUnderROC, positive_f1 (that of class 1), or one of the multiclass
+    evaluator's. Folds depend on the rows' keys, balanced by label when ``stratify``.
     """
     label = model.getLabelCol()
     if metric == "areaUnderROC":
         evaluator: Any = BinaryClassificationEvaluator(labelCol=label, metricName=metric)
+    elif metric == "positive_f1":
+        evaluator = MulticlassClassificationEvaluator(labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0)
     else:
         evaluator = MulticlassClassificationEvaluator(labelCol=label, metricName=metric)
     # every fold of every setting reads these rows

@@ -23,7 +23,7 @@ VARIANTS = ("plain", "product", "max")
 def engineered(df: DataFrame, columns: Sequence[str], variant: str) -> DataFrame:
     """Features of a variant, made from raw columns: none, pair products, or pair maxima."""
     if variant == "product":
-        return with_pairwise_products(df, columns, joiner="_by_")
+        return with_pairwise_products(df, columns, joiner="*")
     if variant == "max":
         return with_pairwise_max(df, columns)
     return df
@@ -52,7 +52,10 @@ def train_variant(df: DataFrame, columns: Sequence[str], label: str, variant: st
     scalings = fit_minmax(made, names)
     vectors = assemble([s.name for s in scalings]).transform(apply_minmax(made, scalings))
     rows = frozen(vectors.select("features", label), "training")
-    model = LogisticRegression(featuresCol="features", labelCol=label).fit(rows)
+    # a penalty of half the squared weights against the summed loss, on the scaled features as they are
+    penalty = 1.0 / max(rows.count(), 1)
+    estimator = LogisticRegression(featuresCol="features", labelCol=label, regParam=penalty, standardization=False)
+    model = estimator.fit(rows)
     return ScaledModel(tuple(columns), variant, label, tuple(scalings), model)
 
 

@@ -77,6 +77,14 @@ def test_search_takes_the_best_average(clean):
     assert found.score == max(found.model.avgMetrics)
 
 
+def test_search_by_the_positive_class_and_wide_grids(clean):
+    grid = models.wide_grid("Logistic Regression", 400)
+    assert grid == {"regParam": [0.25, 0.025, 0.0025, 0.00025]} and models.wide_grid("Random Forest", 1) == models.WIDE_GRIDS["Random Forest"]
+    found = models.grid_search(clean, models.feature_stages(["trestbps"]), models.classifier("Logistic Regression", "target"),
+                               {"regParam": grid["regParam"][1:3]}, "id", "positive_f1", 2)
+    assert 0.5 < found.score <= 1 and found.params["regParam"] in grid["regParam"]
+
+
 def test_fold_scores_and_summary(clean):
     folds = models.fold_scores(clean, models.feature_stages(["trestbps"]), models.classifier("Logistic Regression", "target"), "id", 3)
     got = folds.toPandas()
@@ -184,7 +192,8 @@ def test_wine_job(spark):
     assert done.clean.count() == n - 1 and "region_encoded" in done.clean.columns
     accuracies = {r["variant"]: r["accuracy"] for r in done.accuracies.collect()}
     assert set(accuracies) == {"plain", "product", "max"} and min(accuracies.values()) > 0.9
-    assert {r["name"] for r in done.scalings.collect()} == {"alcohol", "ash"}
+    names = {r["name"] for r in done.scalings.collect()}
+    assert {"alcohol", "ash", "region_encoded", "alcohol*ash", "max_ash_region_encoded"} <= names and len(names) == 9
     assert done.decision in ("max", "product")
     r = done.robustness.first()
     assert r["trials"] == 4 and r["ci_lo"] <= r["mean_accuracy"] <= r["ci_hi"] and r["mean_accuracy"] < r["plain_accuracy"]
