@@ -307,16 +307,24 @@ def group_quantiles(
 ) -> DataFrame:
     """Group columns, ``prob`` and the exact ``value``.
 
-    When a group holds more distinct values than one buffer should, the values are
-    counted first and ranked in slices instead.
+    Groups that hold more distinct values than one buffer should are taken apart from the
+    others: their values are counted first and ranked in slices.
     """
     values = df.where(F.col(column).isNotNull()).select(*by, F.col(column).cast("double").alias("_v"))
-    peak = values.groupBy(*by).agg(F.approx_count_distinct("_v").alias("d")).agg(F.max("d")).first()[0] or 0
     asked = F.array(*[F.lit(float(p)) for p in probs])
-    if peak <= buffer_values:
-        found = values.groupBy(*by).agg(F.arrays_zip(asked.alias("prob"), F.percentile("_v", asked).alias("value")).alias("q"))
-        return found.select(*by, F.inline("q"))
-    counted = values.groupBy(*by, "_v").agg(F.count("*").alias("_n"))
+
+    def buffered(part: DataFrame) -> DataFrame:
+        both = F.arrays_zip(asked.alias("prob"), F.percentile("_v", asked).alias("value"))
+        return part.groupBy(*by).agg(both.alias("q")).select(*by, F.inline("q"))
+
+    spread = values.groupBy(F.struct(*by).alias("_of")).agg(F.approx_count_distinct("_v").alias("d"))
+    large = bounded(spread.where(F.col("d") > buffer_values).select("_of"))
+    if large.isEmpty():
+        return buffered(values)
+    keyed = values.withColumn("_key", F.struct(*by))
+    small_part = keyed.join(large, keyed["_key"] == large["_of"], "left_anti").drop("_key")
+    large_part = keyed.join(large, keyed["_key"] == large["_of"], "left_semi").drop("_key")
+    counted = large_part.groupBy(*by, "_v").agg(F.count("*").alias("_n"))
     ranked = running_totals(counted, "_v", "_n", by)
     placed = ranked.select(*by, "_v", "_n", "before", "whole", F.explode(asked).alias("prob"))
     place = F.col("prob") * (F.col("whole") - 1)
@@ -327,7 +335,8 @@ def group_quantiles(
     placed = placed.where(holds(F.floor(place)) | holds(F.ceil(place)))
     share = F.max(place - F.floor(place))
     low, high = F.max(F.when(holds(F.floor(place)), F.col("_v"))), F.max(F.when(holds(F.ceil(place)), F.col("_v")))
-    return placed.groupBy(*by, "prob").agg((low + (high - low) * share).alias("value"))
+    found = placed.groupBy(*by, "prob").agg((low + (high - low) * share).alias("value"))
+    return buffered(small_part).unionByName(found)
 
 
 # --- summaries ----------------------------------------------------------------------

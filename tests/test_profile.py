@@ -57,9 +57,10 @@ def test_group_quantiles_agree_on_both_ways(spark):
     pdf = pd.DataFrame({"g": rng.choice(["hot", "b", None], 6000, p=[0.7, 0.2, 0.1]), "x": rng.normal(0, 1, 6000).round(2)})
     df = spark.createDataFrame(pdf)
     small = {(r["g"], r["prob"]): r["value"] for r in profile.group_quantiles(df, ["g"], "x", PROBS).collect()}
-    large = {(r["g"], r["prob"]): r["value"] for r in profile.group_quantiles(df, ["g"], "x", PROBS, 5).collect()}
-    assert small.keys() == large.keys() and len(small) == 15
-    assert all(large[k] == pytest.approx(v, abs=1e-12) for k, v in small.items())
+    for limit in (5, 320):
+        large = {(r["g"], r["prob"]): r["value"] for r in profile.group_quantiles(df, ["g"], "x", PROBS, limit).collect()}
+        assert small.keys() == large.keys() and len(small) == 15
+        assert all(large[k] == pytest.approx(v, abs=1e-12) for k, v in small.items())
 
 
 def test_describe_equals_pandas(spark):
