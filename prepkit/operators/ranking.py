@@ -1,13 +1,14 @@
-"""Exact ranks and running totals without putting a whole group into one task.
+"""Exact cuts of a group and running totals without putting a whole group into one task.
 
-A window partitioned by a hot group would sort that group in a single task. Here a
-group is cut into slices, the slices are counted with map-side aggregation, and only
-rows within a slice are ever sorted together. Results equal the plain window's.
+A window partitioned by a hot group would sort that group in a single task. Here rows are
+placed by counts that aggregate on the map side, and only the few near a cut, or those of
+one slice, are ever sorted together. Results equal the plain window's.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,102 +18,99 @@ from prepkit.functions.chance import unit
 from prepkit.operators.lookup import bounded
 from prepkit.sources.frozen import frozen
 
-# Rows a slice of a group should hold, and slices a group may have.
-SLICE_ROWS = 100_000
-MAX_SLICES = 16_384
-
-
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def _grouped(df: DataFrame, group: Sequence[str]) -> Column:
+def _grouped(group: Sequence[str]) -> Column:
     # A struct is never NULL itself, so groups holding NULL join and count like any other.
     return F.struct(*[F.col(g) for g in group])
 
 
-def hash_rank(
-    df: DataFrame,
-    group: Sequence[str],
-    key: str | Sequence[str],
-    seed: int | str,
-    name: str = "rank",
-    slice_rows: int = SLICE_ROWS,
-) -> DataFrame:
-    """Add the 1-based rank of each row in its group's hash order. The key must tell rows apart.
-
-    A group gets slices by its size, so that a hot one is spread over many tasks and the
-    number of slices stays far below the number of rows.
-    """
-    keys = _keys(key)
-    slices = F.least(F.ceil(F.col("n") / F.lit(float(slice_rows))), F.lit(MAX_SLICES)).cast("int")
-    counts = df.groupBy(_grouped(df, group).alias("_of")).agg(F.count("*").alias("n"))
-    side = bounded(counts.select("_of", slices.alias("_slices")))
-    tagged = df.select("*", _grouped(df, group).alias("_group"), unit(keys, seed).alias("_u"))
-    tagged = tagged.join(side, tagged["_group"] == side["_of"]).withColumn(
-        "_slice", F.floor(F.col("_u") * F.col("_slices")).cast("int")
-    )
-    sizes = tagged.groupBy("_group", "_slice").agg(F.count("*").alias("_size"))
-    earlier = Window.partitionBy("_group").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_group", "_slice", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
-    within = Window.partitionBy("_group", "_slice").orderBy("_u", *keys)
-    ranked = tagged.withColumn("_row", F.row_number().over(within))
-    joined = ranked.join(starts, ["_group", "_slice"])
-    return joined.withColumn(name, F.col("_start") + F.col("_row")).select(*df.columns, name)
+def _all(tests: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a & b, tests, F.lit(True))
 
 
-def smallest_marked(
+def hash_blocks(
     df: DataFrame,
     group: Sequence[str],
-    quota: Column,
+    quotas: Sequence[Column],
     key: str | Sequence[str],
     seed: int | str,
-    name: str = "picked",
+    name: str = "block",
     reach: float = 8.0,
 ) -> DataFrame:
-    """Mark, per group, the first ``quota`` rows in hash order. The key must tell rows apart.
-
-    ``quota`` may use ``n``, the group's row count, and the group columns. Draws are
-    uniform, so the last marked row stands near quota / n: within a band of ``reach``
-    deviations, whose share of a group shrinks with the group's size. Rows below the band
-    are counted, only rows inside it are ranked and shuffled. Where the counts show that
-    the band misses the quota, the band is the whole group.
+    """Cut each group's hash order at the quotas: add how many quotas a row lies beyond.
+
+    The key must tell rows apart. Quotas rise; they may use ``n``, the group's row count,
+    and the group columns. Draws are uniform, so a cut stands near quota / n: within a
+    band of ``reach`` deviations, whose share of a group shrinks as the group grows. Rows
+    between bands follow from their draw alone. Rows below a band are counted, only rows
+    inside one are ranked and shuffled. A group whose bands overlap, as those of small
+    groups do, or whose counts show that a band misses its cut, is ranked whole.
     """
-    keys = _keys(key)
+    keys, each = _keys(key), range(len(quotas))
     counts = df.groupBy(*group).agg(F.count("*").alias("n"))
-    counts = counts.withColumn("_quota", F.least(F.greatest(quota.cast("bigint"), F.lit(0)), F.col("n")))
-    share = F.col("_quota") / F.col("n")
-    spread = F.lit(reach) * (F.sqrt(share * (1.0 - share) / F.col("n")) + 1.0 / F.col("n"))
-    bands = bounded(
-        counts.select(
-            _grouped(df, group).alias("_of"),
-            "_quota",
-            F.greatest(share - spread, F.lit(0.0)).alias("_lo"),
-            F.least(share + spread, F.lit(1.0)).alias("_hi"),
+    for i in each:
+        share = F.col(f"_q{i}") / F.col("n")
+        spread = F.lit(reach) * (F.sqrt(share * (1.0 - share) / F.col("n")) + 1.0 / F.col("n"))
+        counts = (
+            counts.withColumn(f"_q{i}", F.least(F.greatest(quotas[i].cast("bigint"), F.lit(0)), F.col("n")))
+            .withColumn(f"_lo{i}", share - spread)
+            .withColumn(f"_hi{i}", share + spread)
         )
+    apart = _all([F.col(f"_hi{i}") < F.col(f"_lo{i + 1}") for i in each[:-1]])
+    names = [f"{part}{i}" for part in ("_q", "_lo", "_hi") for i in each]
+    bands = bounded(counts.select(_grouped(group).alias("_of"), apart.alias("_apart"), *names))
+    tagged = df.select("*", _grouped(group).alias("_group"), unit(keys, seed).alias("_u"))
+    found = tagged.join(bands, tagged["_group"] == bands["_of"]).groupBy("_of", "_apart", *names).agg(
+        *[F.count_if(F.col("_u") < F.col(f"_lo{i}")).alias(f"_below{i}") for i in each],
+        *[F.count_if(F.col("_u").between(F.col(f"_lo{i}"), F.col(f"_hi{i}"))).alias(f"_inside{i}") for i in each],
     )
-    tagged = df.select("*", _grouped(df, group).alias("_group"), unit(keys, seed).alias("_u"))
-    found = tagged.join(bands, tagged["_group"] == bands["_of"]).groupBy("_of", "_quota", "_lo", "_hi").agg(
-        F.count_if(F.col("_u") < F.col("_lo")).alias("_below"),
-        F.count_if(F.col("_u").between(F.col("_lo"), F.col("_hi"))).alias("_inside"),
+    met = F.col("_apart") & _all(
+        [F.col(f"_q{i}").between(F.col(f"_below{i}"), F.col(f"_below{i}") + F.col(f"_inside{i}")) for i in each]
     )
-    met = F.col("_quota").between(F.col("_below"), F.col("_below") + F.col("_inside"))
+
+    # A group ranked whole has one band over all draws; its other bands lie beyond them.
+    whole = {"_lo": (0.0, 2.0), "_hi": (1.0, 2.0), "_below": (0, 0)}
     cuts = bounded(
         found.select(
             "_of",
-            F.when(met, F.col("_lo")).otherwise(0.0).alias("_lo"),
-            F.when(met, F.col("_hi")).otherwise(1.0).alias("_hi"),
-            F.when(met, F.col("_quota") - F.col("_below")).otherwise(F.col("_quota")).alias("_left"),
+            *[F.col(f"_q{i}") for i in each],
+            *[
+                F.when(met, F.col(f"{part}{i}")).otherwise(F.lit(instead[min(i, 1)])).alias(f"{part}{i}")
+                for part, instead in whole.items()
+                for i in each
+            ],
         )
     )
     placed = tagged.join(cuts, tagged["_group"] == cuts["_of"])
-    near = F.col("_u").between(F.col("_lo"), F.col("_hi"))
-    settled = placed.where(~near).withColumn(name, F.col("_u") < F.col("_lo"))
-    order = Window.partitionBy("_group").orderBy("_u", *keys)
-    edge = placed.where(near).withColumn(name, F.row_number().over(order) <= F.col("_left"))
+    passed = [(F.col("_u") > F.col(f"_hi{i}")).cast("int") for i in each]
+    placed = placed.withColumn("_band", reduce(lambda a, b: a + b, passed))
+    near = reduce(lambda a, b: a | b, [F.col("_u").between(F.col(f"_lo{i}"), F.col(f"_hi{i}")) for i in each])
+    settled = placed.where(~near).withColumn(name, F.col("_band"))
+    order = Window.partitionBy("_group", "_band").orderBy("_u", *keys)
+    start = F.coalesce(*[F.when(F.col("_band") == i, F.col(f"_below{i}")) for i in each])
+    edge = placed.where(near).withColumn("_rank", start + F.row_number().over(order))
+    beyond = [(F.col("_rank") > F.col(f"_q{i}")).cast("int") for i in each]
+    edge = edge.withColumn(name, reduce(lambda a, b: a + b, beyond))
     return settled.select(*df.columns, name).unionByName(edge.select(*df.columns, name))
 
 
+def smallest_marked(
+    df: DataFrame,
+    group: Sequence[str],
+    quota: Column,
+    key: str | Sequence[str],
+    seed: int | str,
+    name: str = "picked",
+    reach: float = 8.0,
+) -> DataFrame:
+    """Mark, per group, the first ``quota`` rows in hash order."""
+    cut = hash_blocks(df, group, [quota], key, seed, "_block", reach)
+    return cut.withColumn(name, F.col("_block") == 0).drop("_block")
+
+
 def running_totals(df: DataFrame, order: str, total: str, group: Sequence[str] = ()) -> DataFrame:
     """Add ``before``, the sum of ``total`` over smaller ``order`` values, and ``whole``, over all, per group.
 

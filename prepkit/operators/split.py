@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prepkit.functions.chance import unit
-from prepkit.operators.ranking import hash_rank, smallest_marked
+from prepkit.operators.ranking import hash_blocks, smallest_marked
 
 
 def random_split(
@@ -55,5 +55,5 @@ def with_folds(
     """Add a fold number from 0; with a label, folds differ by at most one row of each label."""
     if label is None:
         return df.withColumn(name, F.floor(unit(key, f"fold {seed}") * folds).cast("int"))
-    ranked = hash_rank(df, [label], key, f"fold {seed}", name="_rank")
-    return ranked.withColumn(name, ((F.col("_rank") - 1) % folds).cast("int")).drop("_rank")
+    ends = [F.ceil(F.col("n") * i / folds) for i in range(1, folds)]
+    return hash_blocks(df, [label], ends, key, f"fold {seed}", name)

@@ -40,11 +40,13 @@ def csv_inferred(spark: SparkSession, folder: str) -> DataFrame:
     return readers.read_csv(spark, path, infer=True)
 
 
-@query("SELECT n_nationkey, n_name FROM nation")
+@query("SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY 1, 2")
 def csv_single_file(spark: SparkSession, folder: str) -> DataFrame:
-    path = scratch_path(spark, "nation-csv")
-    writers.write_single_csv(table(spark, folder, "nation").select("n_nationkey", "n_name"), path)
-    return readers.read_csv(spark, path, schema="n_nationkey int, n_name string")
+    """A report over all items, written as one file."""
+    path = scratch_path(spark, "report-csv")
+    report = rows.group_sizes(table(spark, folder, "lineitem"), ["l_returnflag", "l_linestatus"])
+    writers.write_single_csv(report, path)
+    return readers.read_csv(spark, path, schema="l_returnflag string, l_linestatus string, n bigint")
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus <> 'P'")
@@ -90,11 +92,11 @@ def text_lines(spark: SparkSession, folder: str) -> DataFrame:
     return profile.word_counts(readers.read_text(spark, path), "value")
 
 
-@query("SELECT 1 AS n_files, true AS any_bytes, count(*) AS n_rows FROM nation")
+@query("SELECT 1 AS n_files, true AS any_bytes, count(*) AS n_rows FROM orders")
 def listed_inputs(spark: SparkSession, folder: str) -> DataFrame:
-    """The files of the data folder that hold the nation table, picked by name."""
-    found = readers.list_inputs(spark, folder, "nation*.parquet")
-    path = readers.pick_input(spark, folder, "nation*.parquet")
+    """The files of the data folder that hold the orders, picked by name."""
+    found = readers.list_inputs(spark, folder, "orders*.parquet")
+    path = readers.pick_input(spark, folder, "orders*.parquet")
     n_rows = readers.read_parquet(spark, path).agg(F.count("*").alias("n_rows"))
     listed = found.agg(F.count("*").cast("int").alias("n_files"), (F.sum("length") > 0).alias("any_bytes"))
     return attach_scalars(listed, n_rows)

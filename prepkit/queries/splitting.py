@@ -25,8 +25,8 @@ def stratified_split(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""
-SELECT event_id, event_type, ((row_number() OVER (PARTITION BY event_type ORDER BY {unit_sql('event_id', 'fold 42')}, event_id) - 1) % 5)::int AS fold
-FROM events
+SELECT event_id, event_type, ((row_number() OVER (PARTITION BY event_type ORDER BY {unit_sql('event_id', 'fold 42')}, event_id) - 1) * 5
+  // count(*) OVER (PARTITION BY event_type))::int AS fold FROM events
 """)
 def stratified_folds(spark: SparkSession, folder: str) -> DataFrame:
     return split.with_folds(table(spark, folder, "events").select("event_id", "event_type"), "event_id", 5, "event_type")

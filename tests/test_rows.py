@@ -14,12 +14,14 @@ def skewed(spark, n=5000):
     return spark.range(n).withColumn("g", group)
 
 
-def test_hash_rank_equals_the_plain_window(spark):
+@pytest.mark.parametrize("reach", [0.0, 0.3, 8.0])
+def test_blocks_equal_the_plain_window(spark, reach):
     df = skewed(spark)
-    plain = F.row_number().over(Window.partitionBy("g").orderBy(unit("id", 9), "id"))
-    want = {r["id"]: r["k"] for r in df.withColumn("k", plain).collect()}
-    for size in (1, 70, 100_000):
-        assert {r["id"]: r["rank"] for r in ranking.hash_rank(df, ["g"], "id", 9, slice_rows=size).collect()} == want
+    w = Window.partitionBy("g")
+    k = F.floor((F.row_number().over(w.orderBy(unit("id", 9), "id")) - 1) * 4 / F.count("*").over(w))
+    want = {r["id"]: r["k"] for r in df.withColumn("k", k).collect()}
+    ends = [F.ceil(F.col("n") * i / 4) for i in (1, 2, 3)]
+    assert {r["id"]: r["block"] for r in ranking.hash_blocks(df, ["g"], ends, "id", 9, reach=reach).collect()} == want
 
 
 def test_smallest_marked_equals_the_plain_window(spark):
@@ -32,10 +34,9 @@ def test_smallest_marked_equals_the_plain_window(spark):
         assert {r["id"]: r["picked"] for r in got.collect()} == want
 
 
-def test_ranks_without_broadcast(spark, monkeypatch):
+def test_marks_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(ranking, "bounded", lambda df: df)
     df = skewed(spark, 600)
-    assert ranking.hash_rank(df, ["g"], "id", 1).where("rank = 1").count() == df.select("g").distinct().count()
     assert ranking.smallest_marked(df, ["g"], F.lit(2), "id", 1).where("picked").count() == 2 * df.select("g").distinct().count()
 
 
@@ -187,6 +188,12 @@ def test_stratified_parts_are_exact(spark):
     assert all(r["t"] == round(r["n"] * 0.1) for r in got.collect())
 
 
+def test_empty_tables_split_into_empty_parts(spark):
+    df = skewed(spark).where("id < 0")
+    assert split.with_part(df, "g", "id").count() == 0 and split.with_folds(df, "id", 3, "g").count() == 0
+    assert rows.sample_per_group(df, ["g"], 5, "id").count() == 0
+
+
 def test_folds_are_balanced_per_label(spark):
     got = split.with_folds(skewed(spark).repartition(7), "id", 5, "g").groupBy("g", "fold").count().toPandas()
     for _, counts in got.groupby("g", dropna=False)["count"]:
