@@ -19,17 +19,24 @@ def inline_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Dat
     return spark.createDataFrame(list(rows), schema)
 
 
+def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame | None:
+    """``df`` ready to broadcast when it has at most ``limit`` rows, else None.
+
+    At most ``limit + 1`` rows reach the driver. The table is kept as read, so the join
+    does not compute it again.
+    """
+    rows = df.limit(limit + 1).collect()
+    return None if len(rows) > limit else F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
 def bounded(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` ready to broadcast when it has at most ``limit`` rows, unchanged otherwise.
 
-    At most ``limit + 1`` rows reach the driver. A small table is kept as read, so the
-    join does not compute it again; a large one stays a plain shuffled join side, where
-    adaptive execution splits skewed partitions.
+    A large table stays a plain shuffled join side, where adaptive execution splits skewed
+    partitions.
     """
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    found = small(df, limit)
+    return df if found is None else found
 
 
 def outer_join_reference(df: DataFrame, reference: DataFrame, left_key: str, right_key: str) -> DataFrame:

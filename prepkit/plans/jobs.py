@@ -23,6 +23,7 @@ from prepkit.sources.frozen import frozen
 
 # --- used cars ----------------------------------------------------------------------
 
+# Columns of a used-car file.
 CAR_SCHEMA = "car_model string, year_of_manufacture int, price double, fuel string"
 
 
@@ -44,6 +45,7 @@ def frequent_words(spark: SparkSession, path: str, at_least: int = 3) -> DataFra
 
 # --- census -------------------------------------------------------------------------
 
+# Columns of a census file.
 CENSUS_SCHEMA = (
     "age int, workclass string, fnlwgt float, education string, education_num float, marital_status string, "
     "occupation string, relationship string, race string, sex string, capital_gain float, capital_loss float, "
@@ -130,6 +132,7 @@ def rate_map(table: DataFrame) -> dict[str, float]:
 
 # --- heart disease ------------------------------------------------------------------
 
+# The columns kept for modelling.
 HEART_COLUMNS = ["age", "sex", "painloc", "painexer", "cp", "trestbps", "smoke", "fbs", "prop", "nitr", "pro",
                  "diuretic", "thaldur", "thalach", "exang", "oldpeak", "slope", "target"]
 # The part each column plays, and what values are valid.
@@ -241,6 +244,7 @@ def passengers(
 
 # --- flights ------------------------------------------------------------------------
 
+# The delay columns of a flight.
 DELAYS = ["DepDelay", "ArrDelay", "CarrierDelay", "WeatherDelay", "NASDelay", "SecurityDelay", "LateAircraftDelay"]
 
 

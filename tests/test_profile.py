@@ -63,6 +63,13 @@ def test_group_quantiles_agree_on_both_ways(spark):
         assert all(large[k] == pytest.approx(v, abs=1e-12) for k, v in small.items())
 
 
+def test_approximate_figures_are_near(spark):
+    df = spark.range(10_000).select((F.col("id") % 1000).cast("double").alias("x"))
+    got = {r["prob"]: r["value"] for r in profile.quantile_table(df, ["x"], [0.1, 0.5], approximate=True).collect()}
+    assert got[0.1] == pytest.approx(100, abs=3) and got[0.5] == pytest.approx(500, abs=3)
+    assert abs(profile.count_distinct(df, ["x"], approximate=True).first()["n_distinct"] - 1000) < 100
+
+
 def test_describe_equals_pandas(spark):
     pdf = pd.DataFrame({"a": [1.0, 2.0, 4.0, 8.0, None], "b": [3, 1, 2, 5, 9]})
     found = by_column(profile.describe(nan_to_null(spark.createDataFrame(pdf)), ["a", "b"]))

@@ -34,10 +34,15 @@ def test_smallest_marked_equals_the_plain_window(spark):
         assert {r["id"]: r["picked"] for r in got.collect()} == want
 
 
-def test_marks_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(ranking, "bounded", lambda df: df)
-    df = skewed(spark, 600)
-    assert ranking.smallest_marked(df, ["g"], F.lit(2), "id", 1).where("picked").count() == 2 * df.select("g").distinct().count()
+@pytest.mark.parametrize("task_rows", [100, 10_000])
+def test_blocks_of_very_many_groups(spark, task_rows):
+    """More groups than are broadcast: the hot ones by bands, the others sorted; a column named n is kept."""
+    df = skewed(spark).withColumn("n", F.col("id") * 2)
+    ends = [F.ceil(F.col("n") * i / 3) for i in (1, 2)]
+    want = {r["id"]: (r["n"], r["block"]) for r in ranking.hash_blocks(df, ["g"], ends, "id", 9).collect()}
+    got = ranking.hash_blocks(df, ["g"], ends, "id", 9, groups=2, task_rows=task_rows)
+    assert got.columns == ["id", "g", "n", "block"]
+    assert {r["id"]: (r["n"], r["block"]) for r in got.collect()} == want
 
 
 def test_running_totals_equal_the_plain_window(spark):
