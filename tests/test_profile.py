@@ -67,7 +67,7 @@ def test_approximate_figures_are_near(spark):
     df = spark.range(10_000).select((F.col("id") % 1000).cast("double").alias("x"))
     got = {r["prob"]: r["value"] for r in profile.quantile_table(df, ["x"], [0.1, 0.5], approximate=True).collect()}
     assert got[0.1] == pytest.approx(100, abs=3) and got[0.5] == pytest.approx(500, abs=3)
-    assert abs(profile.count_distinct(df, ["x"], approximate=True).first()["n_distinct"] - 1000) < 100
+    assert abs(profile.count_distinct(df, ["x"], approximate=True).first()["n_distinct"] - 1000) < 200
 
 
 def test_describe_equals_pandas(spark):
