@@ -1,15 +1,17 @@
-"""Training, cross-validation, grid search, perturbed scoring; no SQL twins."""
+"""Training, cross-validation, grid search, perturbed scoring; SQL twins only where nothing is trained."""
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prepkit.operators.lookup import join_keep_left
-from prepkit.operators.split import stratified_split, with_part
+from prepkit.operators.scale import fit_minmax, scaling_table
+from prepkit.operators.split import random_split, with_part
 from prepkit.plans import jobs, models, robustness, scoring
-from prepkit.queries.registry import dirty, query, table
+from prepkit.queries.registry import dirty, query, rounded, table, unit_sql
 from prepkit.sources.frozen import frozen
 
 FEATURES = ["n_chars", "n_tokens", "n_lines", "n_digits"]
@@ -30,9 +32,9 @@ def labelled_features(spark: SparkSession, folder: str) -> DataFrame:
     return join_keep_left(documents, labels, "doc_id")
 
 
-def parts(data: DataFrame) -> tuple[DataFrame, DataFrame]:
+def parts(data: DataFrame, label: str = "quality", key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """A train and a test part, put aside for training."""
-    marked = frozen(with_part(data, "quality", "doc_id", 0.2), "parts")
+    marked = frozen(with_part(data, label, key, 0.2), "parts")
     return marked.where("part = 'train'").drop("part"), marked.where("part = 'test'").drop("part")
 
 
@@ -95,7 +97,7 @@ def train_embeddings(spark: SparkSession, folder: str) -> DataFrame:
         "vec_id", array_to_vector(F.transform("embedding", lambda x: x.cast("double"))).alias("features"),
         F.col("label").cast("double").alias("label"),
     )
-    train, test = stratified_split(vectors, "label", "vec_id", 0.2)
+    train, test = parts(vectors, "label", "vec_id")
     model = models.classifier("Logistic Regression", "label", maxIter=10, regParam=0.1)
     return models.compare_models(train, test, {"embeddings": ([], model)})
 
@@ -163,3 +165,59 @@ def wine_job(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("event_type") == "error").cast("double").alias("label"),
     )
     return jobs.wines(data, "event_id", "label", trials=5, mode="simultaneous").accuracies
+
+
+NOISE_SQL = """sqrt(-2 * ln(greatest({a}, 1 / 4503599627370496.0::double))) * cos(2 * pi() * {b})""".format(
+    a="('0x' || substr(h, 1, 13))::bigint / 4503599627370496.0::double",
+    b="('0x' || substr(h, 14, 13))::bigint / 4503599627370496.0::double",
+)
+
+
+@query(f"""
+WITH t AS (SELECT event_id, value, trial, md5(event_id || '|' || trial || '#42value') AS h
+  FROM events, (SELECT unnest([1, 2, 3]) AS trial))
+SELECT event_id, trial::int AS trial, round(value + 1.2::double * {NOISE_SQL}, 5) AS value FROM t
+""")
+def perturbed_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Every event three times with noise on its value."""
+    events = table(spark, folder, "events").select("event_id", "value")
+    return rounded(robustness.perturbed(events, ["value"], "event_id", 1.2, 3), 5, "value").select("event_id", "trial", "value")
+
+
+@query(f"""
+WITH t AS (SELECT p_size::double AS a, p_retailprice AS b FROM part WHERE {unit_sql('p_partkey', 'split 42')} < 0.8::double),
+u AS (SELECT 'p_size' AS name, min(a) AS lo, max(a) AS hi FROM t UNION ALL SELECT 'p_retailprice', min(b), max(b) FROM t
+  UNION ALL SELECT 'p_size*p_retailprice', min(a * b), max(a * b) FROM t
+  UNION ALL SELECT 'max_p_size_p_retailprice', min(greatest(a, b)), max(greatest(a, b)) FROM t)
+SELECT name, round(lo, 4) AS data_min, round(hi, 4) AS data_max, round(1 / (hi - lo), 8) AS scale, round(-lo / (hi - lo), 8) AS min FROM u
+""")
+def engineered_scalings(spark: SparkSession, folder: str) -> DataFrame:
+    """Scaling of raw, product and maximum features, fitted on the train part only."""
+    names = ["p_size", "p_retailprice"]
+    part = table(spark, folder, "part").select("p_partkey", F.col("p_size").cast("double").alias("p_size"), "p_retailprice")
+    train, _ = random_split(part, [0.8, 0.2], "p_partkey")
+    made = robustness.engineered(robustness.engineered(train, names, "product"), names, "max").drop("p_partkey")
+    found = scaling_table(spark, fit_minmax(made, made.columns))
+    return rounded(rounded(found, 4, "data_min", "data_max"), 8, "scale", "min")
+
+
+@query("""
+SELECT quality::double AS quality, count(*) AS n, round((SELECT count(*) FROM labels JOIN documents USING (doc_id)) /
+  (2.0::double * count(*)), 6) AS weight FROM labels JOIN documents USING (doc_id) GROUP BY 1
+""")
+def balanced_weights(spark: SparkSession, folder: str) -> DataFrame:
+    data = models.with_balance(labelled_features(spark, folder), "quality")
+    return rounded(data.groupBy("quality").agg(F.count("*").alias("n"), F.max("weight").alias("weight")), 6, "weight")
+
+
+@query("""
+SELECT p_partkey, p_size * p_size * 1.0::double AS p_size_2, round(p_retailprice * p_retailprice, 4) AS p_retailprice_2,
+  round(p_size * p_retailprice, 4) AS p_size_p_retailprice, greatest(p_size, p_retailprice) AS max_p_size_p_retailprice FROM part
+""")
+def stage_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Squares, products and maxima made by the pipeline stages."""
+    names = ["p_size", "p_retailprice"]
+    part = table(spark, folder, "part").select("p_partkey", F.col("p_size").cast("double").alias("p_size"), "p_retailprice")
+    made = Pipeline(stages=models.feature_stages(names, True, True, True, scale=False)).fit(part).transform(part)
+    derived = models.derived_names(names, True, True, True)
+    return rounded(made.select("p_partkey", *derived), 4, *derived)
