@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from prepkit.functions.cells import Bracket, bracket
 
-# Rows a side may have to be broadcast; beyond it the join shuffles.
+# Rows and bytes a side may have to be broadcast; beyond them the join shuffles.
 BROADCAST_ROWS = 50_000
+BROADCAST_BYTES = 64 * 2**20
 
 
 def inline_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
@@ -19,23 +20,28 @@ def inline_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Dat
     return spark.createDataFrame(list(rows), schema)
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame | None:
+def small(df: DataFrame, limit: int = BROADCAST_ROWS, max_bytes: int | None = None) -> DataFrame | None:
     """``df`` ready to broadcast when it has at most ``limit`` rows, else None.
 
-    At most ``limit + 1`` rows reach the driver. The table is kept as read, so the join
-    does not compute it again.
+    Tables whose cells may be long are also measured, when ``max_bytes`` is given. At most
+    ``limit + 1`` rows reach the driver. The table is kept as read, so the join does not
+    compute it again.
     """
+    if max_bytes is not None:
+        n, size = df.agg(F.count("*"), F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()
+        if n > limit or (size or 0) > max_bytes:
+            return None
     rows = df.limit(limit + 1).collect()
     return None if len(rows) > limit else F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
-def bounded(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` ready to broadcast when it has at most ``limit`` rows, unchanged otherwise.
+def bounded(df: DataFrame, limit: int = BROADCAST_ROWS, max_bytes: int | None = None) -> DataFrame:
+    """``df`` ready to broadcast when it is small, unchanged otherwise.
 
     A large table stays a plain shuffled join side, where adaptive execution splits skewed
     partitions.
     """
-    found = small(df, limit)
+    found = small(df, limit, max_bytes)
     return df if found is None else found
 
 
@@ -46,7 +52,7 @@ def outer_join_reference(df: DataFrame, reference: DataFrame, left_key: str, rig
     which broadcasts a small reference, and the reference rows no key of ``df`` meets.
     Of the keys only those the reference has are compared, deduplicated on the map side.
     """
-    side = bounded(reference)
+    side = bounded(reference, max_bytes=BROADCAST_BYTES)
     matched = df.join(side, df[left_key] == side[right_key], "left")
     known = side.select(F.col(right_key).alias("_known"))
     used = df.select(F.col(left_key).alias("_used")).join(known, F.col("_used") == F.col("_known"), "left_semi").distinct()
@@ -68,7 +74,8 @@ def lookup_default(
 
     The reference must hold each key once.
     """
-    side = bounded(reference.select(F.col(ref_key).alias("_key"), F.col(ref_value).alias("_value")))
+    pairs = reference.select(F.col(ref_key).alias("_key"), F.col(ref_value).alias("_value"))
+    side = bounded(pairs, max_bytes=BROADCAST_BYTES)
     key = df[on] if isinstance(on, str) else on
     joined = df.join(side, key == side["_key"], "left")
     return joined.withColumn(name, F.coalesce("_value", F.lit(default))).drop("_key", "_value")

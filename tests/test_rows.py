@@ -121,7 +121,8 @@ def test_top_rows_settle_ties(spark):
 
 @pytest.mark.parametrize("limit", [1, 1000])
 def test_outer_join_keeps_both_sides(spark, monkeypatch, limit):
-    monkeypatch.setattr(lookup, "bounded", lambda df, n=limit, f=lookup.bounded: f(df, n))
+    whole = lookup.bounded
+    monkeypatch.setattr(lookup, "bounded", lambda df, **kw: whole(df, limit, **kw))
     left = spark.createDataFrame([(1, "a"), (2, "a"), (3, "z"), (4, None)], "id int, k string")
     ref = spark.createDataFrame([("a", 1.0), ("q", 2.0), (None, 3.0)], "r string, v double")
     got = lookup.outer_join_reference(left, ref, "k", "r")
@@ -130,6 +131,12 @@ def test_outer_join_keeps_both_sides(spark, monkeypatch, limit):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
+def test_size_check_counts_rows_and_bytes(spark):
+    df = spark.range(10).withColumn("t", F.repeat(F.lit("x"), 1000))
+    assert lookup.small(df, 9) is None and lookup.small(df, 10).count() == 10
+    assert lookup.small(df, 10, 5_000) is None and lookup.small(df, 10, 50_000).count() == 10
+
+
 def test_join_keep_left_and_lookup_default(spark):
     left = spark.createDataFrame([(1, "l"), (2, "l")], "id int, v string")
     right = spark.createDataFrame([(1, "r", 9)], "id int, v string, w int")
