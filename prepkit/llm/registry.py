@@ -5,18 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prepkit.llm import fingerprints, line_dedup, mixing, secrets
+from prepkit.llm import decontam, fingerprints, langid, line_dedup, mixing, near_dup, pii, secrets, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dup.jaccard_classes(_table(spark, folder, "documents"))
+
+
 def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = line_dedup.line_dedup(_table(spark, folder, "documents").select("doc_id", "text"))
     return found.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", "kept_sha256")
 
 
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.decontamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digests(_table(spark, folder, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.scored(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op7_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_table(spark, folder, "documents")).drop("copies")
 
@@ -25,9 +41,16 @@ def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan_digests(_table(spark, folder, "documents"))
 
 
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identified(_table(spark, folder, "documents"))
+
+
 def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprint_edits(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op7_mix_sources, op8_secret_scan, op10_fingerprints)}
+QUERIES = {f.__name__: f for f in (
+    op1_ngram_jaccard, op2_line_dedup, op3_decontaminate, op5_personal_data, op6_toxicity, op7_mix_sources,
+    op8_secret_scan, op9_language_id, op10_fingerprints,
+)}
 SQL = {"op2_line_dedup": line_dedup.SQL, "op7_mix_sources": mixing.SQL}
