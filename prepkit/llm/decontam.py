@@ -29,14 +29,13 @@ def split_item(text: str) -> tuple[str, str]:
     """
     body = text.rstrip()
     at = max(body.rfind(x, 0, max(0, len(body) - 1)) + len(x) if x in body[:-1] else 0 for x in ("\n", "? ", ". ", "! "))
-    return body[:at], body[at:] if at else ""
+    return (body[:at], body[at:]) if at else (body, "")
 
 
 def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(item, words of the question, words of the answer)."""
     for b in batches:
         sides = [split_item(t or "") for t in b.column("text").to_pylist()]
-        sides = [(q, a) if q else (a, "") for q, a in sides]
         lists = []
         for k in (0, 1):
             words, firsts = word_hashes(*bytes_of(pa.array([s[k] for s in sides], pa.string())))
