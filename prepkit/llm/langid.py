@@ -199,7 +199,7 @@ def _identified(model: Model):
         for b in batches:
             for lo, rows in counts(b.column("text")):
                 mine = b.slice(lo, len(rows))
-                empty = np.array([not any(map(str.isalpha, t)) for t in mine.column("text").to_pylist()], bool)
+                empty = np.array([not any(map(str.isalpha, t or "")) for t in mine.column("text").to_pylist()], bool)
                 if model.languages:
                     lang, score = model.predict(rows)
                     names = [UNKNOWN if e else model.languages[k] for e, k in zip(empty, lang)]

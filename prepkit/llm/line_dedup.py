@@ -9,11 +9,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prepkit.llm.shared import bounded, packed, stored
+from prepkit.llm.shared import bounded, packed, stored, unpacked
 from prepkit.llm.twice import MOST_BYTES, Repeats
 
 BLANKS = " \t\n\x0b\x0c\r"
 _BLANK_BYTES = BLANKS.encode()
+#: Texts a task holds as Python strings at once.
+AT_ONCE = 500
 
 
 def line_key(line: Column) -> Column:
@@ -23,37 +25,34 @@ def line_key(line: Column) -> Column:
 
 
 def _lines(text: str) -> Column:
-    return F.split(F.col(text), "\n", -1)
+    return F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
 
 
 def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(row, text, all, first): lines whose key is in ``all`` go; of those in ``first`` one line stays."""
-    for b in batches:
-        texts, drops, firsts = b.column("text").to_pylist(), b.column("all").to_pylist(), b.column("first").to_pylist()
-        kept, n, gone, sha = [], [], [], []
-        for text, drop, first in zip(texts, drops, firsts):
-            lines = text.encode("utf-8", "surrogatepass").split(b"\n")
-            if drop:
-                drop, once = {x.encode() for x in drop}, {x.encode() for x in first or ()}
-                stay = []
-                for line in lines:
-                    key = line.strip(_BLANK_BYTES).lower()
-                    if key not in drop:
-                        stay.append(line)
-                    elif key in once:
-                        once.discard(key)
-                        stay.append(line)
-            else:
+    for whole in batches:
+        for at in range(0, whole.num_rows, AT_ONCE):
+            b = whole.slice(at, AT_ONCE)
+            kept, n, gone, sha = [], [], [], []
+            for text, drop, first in zip(*(b.column(c).to_pylist() for c in ("text", "all", "first"))):
+                lines = (text or "").encode().split(b"\n")
                 stay = lines
-            out = b"\n".join(stay)
-            kept.append(out.decode("utf-8", "surrogatepass"))
-            n.append(len(lines))
-            gone.append(len(lines) - len(stay))
-            sha.append(hashlib.sha256(out).hexdigest())
-        yield pa.RecordBatch.from_arrays(
-            [b.column("row"), pa.array(kept, pa.string()), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha, pa.string())],
-            ["row", "kept", "n_lines", "n_dropped", "kept_sha256"],
-        )
+                if drop:
+                    drop, once, stay = {x.encode() for x in drop}, {x.encode() for x in first or ()}, []
+                    for line in lines:
+                        key = line.strip(_BLANK_BYTES).lower()
+                        if key not in drop or key in once:
+                            once.discard(key)
+                            stay.append(line)
+                out = b"\n".join(stay)
+                kept.append(None if text is None else out.decode())
+                n.append(len(lines))
+                gone.append(len(lines) - len(stay))
+                sha.append(hashlib.sha256(out).hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [b.column("row"), pa.array(kept, pa.string()), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha, pa.string())],
+                ["row", "kept", "n_lines", "n_dropped", "kept_sha256"],
+            )
 
 
 def repeated_keys(rows: DataFrame, min_docs: int, min_chars: int, most_bytes: int = MOST_BYTES) -> tuple[DataFrame, DataFrame]:
@@ -72,10 +71,11 @@ def repeated_keys(rows: DataFrame, min_docs: int, min_chars: int, most_bytes: in
 
 def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep: str = "none", id_col: str = "doc_id",
                text_col: str = "text", most_bytes: int = MOST_BYTES) -> DataFrame:
-    """(row, id, kept, n_lines, n_dropped, kept_sha256) for each row of ``docs``; ``row`` holds all its columns.
+    """(row, kept, n_lines, n_dropped, kept_sha256) for each row of ``docs``; ``row`` holds its columns but the text.
 
     Lines whose key occurs in at least ``min_docs`` documents are dropped: all of them (``keep`` "none"), or all but the
-    first in the document of the smallest id (``keep`` "first"). A null or empty text is one empty line. Repeats
+    first in the document of the smallest id (``keep`` "first"). A null or empty text is one empty line; a null one
+    stays null. Repeats
     within a document count once; rows that share an id count as one document, and a null id as one more. Ends of
     line are \\n alone; the others stay as they are. Columns with any other names are carried along untouched.
     """
@@ -95,6 +95,11 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep: st
     return joined.select("row", "text", "all", "first").mapInArrow(_cleaned, out)
 
 
+def cleaned(docs: DataFrame, n_chars: str = "n_chars", text_col: str = "text", **how) -> DataFrame:
+    """``docs``, all columns, with the repeated lines taken out of the text and the count of characters, if any, renewed."""
+    return unpacked(line_dedup(docs, text_col=text_col, **how), docs.columns, text_col, "kept", n_chars)
+
+
 SQL = """
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,

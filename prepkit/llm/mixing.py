@@ -131,7 +131,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), max_repeats: int =
 
 
 def mixed(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), max_repeats: int = 3) -> DataFrame:
-    """The rows of ``docs`` that the mix takes, with the column ``copies``: how often each is to be read."""
+    """The rows of ``docs`` that the mix takes, with ``copies``, how often each is to be read, in place of such a column."""
     sizes = stored(sized(docs), "mix-sizes")
     plan = stored(mix_plan(sizes, weights, max_repeats), "mix-plan").select(
         F.col("source").alias("mix_at"), F.col("copies").alias("mix_copies"), F.col("below").alias("mix_below")

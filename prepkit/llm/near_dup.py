@@ -60,8 +60,8 @@ def _signatures(bands: int, rows: int, width: int):
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum(full * bands)]).astype(np.int32)), pa.array(out.ravel().view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("id").slice(lo, hi - lo), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)),
-                     pa.array(np.diff(firsts)), lists], ["id", "node", "check", "n_words", "bands"])
+                    [b.column("id").slice(lo, hi - lo), b.column("mark").slice(lo, hi - lo), pa.array(one.view(np.int64)),
+                     pa.array(two.view(np.int64)), pa.array(np.diff(firsts)), lists], ["id", "mark", "node", "check", "n_words", "bands"])
 
     return run
 
@@ -182,23 +182,24 @@ def _verified(similarity: float):
 def jaccard_classes(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY, recall: float = RECALL,
                     id_col: str = "doc_id", text_col: str = "text", block_nodes: int = BLOCK_NODES,
                     block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(doc_id, class_id, n_links, n_copies, kept) for each row of ``docs``.
+    """(doc_id, class_id, n_links, n_copies, kept, mark) for each row of ``docs``; ``mark`` is xxhash64 of its text.
 
     Two documents are linked if the Jaccard similarity of their sets of ``width``-word shingles is ``similarity`` or
     more; ``n_links`` counts a document's links, copies of it among them, and ``n_copies`` the rows whose words equal
     its own, itself among them. Classes are what links connect; ``class_id`` is the smallest doc_id in it, and ``kept``
-    marks one row of each class: one with that id. Words are runs of non-blanks, A-Z lower-cased; a shorter text is
+    marks one document of each class: the one with that id, and with the least mark if texts share the id. Words are runs of non-blanks, A-Z lower-cased; a shorter text is
     one shingle. A null text or one without a word is a class of its own with no links. Each row counts, also rows that
     share an id; a null id comes after all others. A link is found with probability ``recall`` or more; nothing is
     capped. Other columns are not read.
     """
     bands, rows = bands_for(similarity, recall)
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_of(text_col).alias("text"))
-    schema = "id long, node long, check long, n_words long, bands array<long>"
+    texts = texts.withColumn("mark", F.xxhash64("text"))
+    schema = "id long, mark long, node long, check long, n_words long, bands array<long>"
     signed = stored(texts.mapInArrow(_signatures(bands, rows, width), schema), "minhash")
-    one = F.min_by(F.struct("id", "bands", "n_words"), F.struct(F.col("id").isNull(), "id"))
+    one = F.min_by(F.struct("id", "mark", "bands", "n_words"), F.struct(F.col("id").isNull(), "id", "mark"))
     nodes = signed.where("n_words > 0").groupBy("node", "check").agg(one.alias("r"), F.count(F.lit(1)).alias("copies"))
-    nodes = stored(nodes.select("node", "copies", "r.id", "r.n_words", "r.bands"), "minhash-nodes")
+    nodes = stored(nodes.select("node", "copies", "r.id", "r.mark", "r.n_words", "r.bands"), "minhash-nodes")
 
     spread = nodes.select("node", "n_words", F.posexplode("bands").alias("band", "bucket"))
     mark = F.xxhash64("node")
@@ -230,17 +231,41 @@ def jaccard_classes(docs: DataFrame, width: int = WIDTH, similarity: float = SIM
 
     roots = components(checked.where("y IS NOT NULL").select("x", "y"))
     links = checked.where("n IS NOT NULL").groupBy(F.col("x").alias("node")).agg(F.sum("n").alias("links"))
-    named = nodes.select("node", "copies", "id").join(roots, "node", "left").join(links, "node", "left")
-    named = stored(named.select("node", "copies", "id", F.coalesce("root", "node").alias("root"), F.coalesce("links", F.lit(0)).alias("links")), "minhash-roots")
-    firsts = named.groupBy("root").agg(F.min("id").alias("class_id"))
-    classes = stored(named.join(firsts, "root").select("node", "copies", "links", "class_id", "root"), "minhash-classes")
+    named = nodes.select("node", "copies", "id", "mark").join(roots, "node", "left").join(links, "node", "left")
+    named = stored(named.select("node", "copies", "id", "mark", F.coalesce("root", "node").alias("root"), F.coalesce("links", F.lit(0)).alias("links")), "minhash-roots")
+    first = F.min_by(F.struct("id", "mark"), F.struct(F.col("id").isNull(), "id", "mark"))
+    classes = named.join(named.groupBy("root").agg(first.alias("first")), "root").select("node", "copies", "links", "first")
+    classes = stored(classes, "minhash-classes")
 
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     rest = signed.where("n_words = 0").select(
-        F.col("id").alias("doc_id"), F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
-        F.lit(1).cast("long").alias("n_copies"), F.lit(True).alias("kept"))
-    joined = signed.where("n_words > 0").select("id", "node").join(classes, "node")
-    chosen = F.col("id").eqNullSafe(F.col("class_id"))
+        F.col("id").alias("doc_id"), F.col("id").alias("class_id"), zero.alias("n_links"), one.alias("n_copies"),
+        F.lit(True).alias("kept"), "mark")
+    joined = signed.where("n_words > 0").select("id", "mark", "node").join(classes, "node")
+    kept = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("mark") == F.col("first.mark"))
     return joined.select(
-        F.col("id").alias("doc_id"), "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links"),
-        F.col("copies").alias("n_copies"), chosen.alias("kept"),
+        F.col("id").alias("doc_id"), F.col("first.id").alias("class_id"), (F.col("links") + F.col("copies") - 1).alias("n_links"),
+        F.col("copies").alias("n_copies"), kept.alias("kept"), "mark",
     ).unionByName(rest)
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of ``docs``, all their columns, that stay when one document of each class does.
+
+    Rows of that document that repeat its id and text go, too. Texts without a word all stay.
+    """
+    classes = stored(jaccard_classes(docs, id_col=id_col, text_col=text_col, **how).select("doc_id", "mark", "kept", "n_copies"), "classes")
+    gone = classes.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark")).distinct()
+    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+
+    def same(other: DataFrame, key: str, mark: str):
+        return docs[id_col].cast("long").eqNullSafe(other[key]) & (F.xxhash64(text) == other[mark])
+
+    gone = bounded(stored(gone, "gone"))
+    stay = docs.join(gone, same(gone, "gone_id", "gone_mark"), "left_anti")
+    twice = classes.where(F.col("kept") & (F.col("n_copies") > 1)).groupBy("doc_id", "mark").count().where("count > 1")
+    twice = stored(twice.select(F.col("doc_id").alias("twice_id"), F.col("mark").alias("twice_mark")), "twice-kept")
+    if not twice.limit(1).count():
+        return stay
+    again = same(twice, "twice_id", "twice_mark")
+    return stay.join(twice, again, "left_anti").unionByName(stay.join(twice, again, "left_semi").dropDuplicates([id_col, text_col]))

@@ -256,7 +256,7 @@ def _fits(kind: int, text: str) -> bool:
 def _spans_of(tagger: Tagger | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column("text").to_pylist()
+            texts = [t or "" for t in b.column("text").to_pylist()]
             base = [base_spans(t) for t in texts]
             more: list[list] = [[] for _ in texts]
             if tagger:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prepkit.llm import decontam, fingerprints, langid, line_dedup, mixing, near_dup, pii, secrets, toxicity
+from prepkit.llm import decontam, fingerprints, langid, line_dedup, mixing, near_dup, pii, repeats, secrets, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -13,7 +13,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
-    return near_dup.jaccard_classes(_table(spark, folder, "documents"))
+    return near_dup.jaccard_classes(_table(spark, folder, "documents")).drop("mark")
 
 
 def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.decontamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op4_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.digests(_table(spark, folder, "documents"))
+
+
 def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digests(_table(spark, folder, "documents"))
 
@@ -50,7 +54,7 @@ def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_ngram_jaccard, op2_line_dedup, op3_decontaminate, op5_personal_data, op6_toxicity, op7_mix_sources,
+    op1_ngram_jaccard, op2_line_dedup, op3_decontaminate, op4_repeated_bytes, op5_personal_data, op6_toxicity, op7_mix_sources,
     op8_secret_scan, op9_language_id, op10_fingerprints,
 )}
 SQL = {"op2_line_dedup": line_dedup.SQL, "op7_mix_sources": mixing.SQL}

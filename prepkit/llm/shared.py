@@ -57,16 +57,13 @@ def fold_of(id_col: str) -> Column:
 
 
 def packed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(row, id, text): the whole row as one struct, so that no other column's name can clash."""
-    return docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        F.col(f"`{id_col}`").alias("id"),
-        text_of(text_col).alias("text"),
-    )
+    """(row, id, text): all columns but the text as one struct, so that no other name can clash; a null text stays null."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col] or [F.lit(None).cast("int").alias("none")]
+    return docs.select(F.struct(*rest).alias("row"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
-def unpacked(df: DataFrame, columns: list[str], text_col: str, text: str, n_chars: str = "n_chars") -> DataFrame:
-    """The row's own columns with the text replaced and, where the table has it, the count of characters renewed."""
+def unpacked(df: DataFrame, columns: list[str], text_col: str, text: str = "text", n_chars: str | None = None) -> DataFrame:
+    """The columns of the packed table again, the text from ``text``; a column ``n_chars`` is counted anew."""
     out = []
     for c in columns:
         if c == text_col:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prepkit.llm.shared import fold_of, packed, stored, text_of
+from prepkit.llm.shared import fold_of, packed, stored, text_of, unpacked
 
 WORD = re.compile(r"[^\W_]+")
 QUOTES = re.compile(r"[\"“”„«»‹›]")
@@ -221,20 +221,20 @@ def _featured(model: Model):
 
 
 def _scored(model: Model):
-    """All columns but the text, and the score."""
+    """The columns given, and the score."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model)
         for b in batches:
-            scores = [reader.score(t) for t in b.column("text").to_pylist()]
+            scores = [reader.score(t or "") for t in b.column("text").to_pylist()]
             yield b.append_column("score", pa.array(scores, pa.float64()))
 
     return run
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, id, text, score): each row of ``docs`` with the score of its whole text, 0 to 1.
+    """(row, id, text, score): the text of each row of ``docs``, its score, 0 to 1, and its other columns as ``row``.
 
-    A null or empty text scores like one without a hit. No other column is read; all are carried along in ``row``.
+    A null or empty text scores like one without a hit. No other column is read.
     """
     rows = packed(docs, id_col, text_col)
     return rows.mapInArrow(_scored(model), T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType())]))
@@ -250,5 +250,4 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, all their columns, that score under a half."""
-    found = score(docs, learn(docs, labels)).where("score < 0.5")
-    return found.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    return unpacked(score(docs, learn(docs, labels)).where("score < 0.5"), docs.columns, "text")
