@@ -79,8 +79,11 @@ class Trie:
 @dataclass
 class Model:
     terms: dict[str, float] = field(default_factory=dict)
+    #: What a misspelling of each term counts: less where clean documents have words near it.
+    close: dict[str, float] = field(default_factory=dict)
     #: Words near a term that clean documents use: they are words of their own.
     apart: frozenset[str] = frozenset()
+    #: One weight a feature, and last the bias, which alone scores a text without a hit.
     weights: tuple[float, ...] = (0.0,)
 
 
@@ -117,8 +120,8 @@ class Reader:
         exact = close = heaviest = 0.0
         for (place, term, edits), k in zip(hits, at):
             inside = k % 2 == 1 and k < len(marks) and marks[k] - place <= REACH and place - marks[k - 1] <= REACH
-            score = (QUOTED if inside else PLAIN) * self.model.terms[term]
-            heaviest = max(heaviest, score / (1 + edits))
+            score = (QUOTED if inside else PLAIN) * (self.model.close.get(term, 0.0) if edits else self.model.terms[term])
+            heaviest = max(heaviest, score)
             if edits:
                 close += score
             else:
@@ -192,8 +195,14 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int =
     if not lexicon:
         return Model(weights=(math.log(rate / (1 - rate)),))
     model = Model(lexicon)
-    clean = counted.where("good > 0").select("word")
-    model.apart = frozenset(r["word"] for r in clean.mapInArrow(_near(model), "word string").distinct().collect())
+    near = counted.mapInArrow(_near(model), "word string, term string, bad long, good long").collect()
+    model.apart = frozenset(r["word"] for r in near if r["good"])
+    all_bad, all_good = sum(r["bad"] for r in near) + 1, sum(r["good"] for r in near) + 1
+    for term, weight in lexicon.items():
+        mine = [r for r in near if r["term"] == term]
+        b = sum(r["bad"] for r in mine) + all_bad / (all_bad + all_good)
+        g = sum(r["good"] for r in mine) + all_good / (all_bad + all_good)
+        model.close[term] = min(weight, max(0.0, math.log(b / g * good / bad)))
     seen = rows.mapInArrow(_featured(model), "toxic int, features array<double>").collect()
     x, y = np.array([r["features"] for r in seen]), np.array([r["toxic"] for r in seen], float)
     model.weights = _logistic(x, y)
@@ -201,11 +210,15 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int =
 
 
 def _near(model: Model):
+    """(word, term, bad, good) of the words one edit from a term."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie(model.terms)
         for b in batches:
-            near = [w for w in b.column("word").to_pylist() if (got := trie.match(w)) and got[1]]
-            yield pa.RecordBatch.from_arrays([pa.array(near, pa.string())], ["word"])
+            found = [trie.match(w) for w in b.column("word").to_pylist()]
+            at = [k for k, got in enumerate(found) if got and got[1]]
+            near = b.select(["word", "bad", "good"]).take(pa.array(at, pa.int64()))
+            terms = pa.array([found[k][0] for k in at], pa.string())
+            yield pa.RecordBatch.from_arrays([near.column(0), terms, near.column(1), near.column(2)], ["word", "term", "bad", "good"])
 
     return run
 
