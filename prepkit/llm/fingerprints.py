@@ -31,9 +31,11 @@ def _hex(value: Column, digits: int) -> Column:
 
 
 def fingerprints(rows: DataFrame, key: list[str], text: str = "text") -> DataFrame:
-    """``key`` and ``fingerprint`` for each ``key``: hex, 16 digits of the sentence count, then strong entries, then lanes.
+    """``key``, ``fingerprint`` and ``lanes`` for each ``key``, which must tell rows apart.
 
-    ``key`` must tell rows apart; rows already dealt out by (some of) it aren't shuffled again.
+    The fingerprint is hex: 16 digits of the sentence count, 8 for each strong entry, 4 for each lane. ``lanes`` holds
+    the lanes again, centred, as ``lanes_of`` would read them. Rows already dealt out by (some of) the key aren't
+    shuffled again.
     """
     paragraphs = rows.select(*key, F.explode(F.split(text, PARAGRAPH)).alias("paragraph"))
     sentences = paragraphs.select(
@@ -54,32 +56,41 @@ def fingerprints(rows: DataFrame, key: list[str], text: str = "text") -> DataFra
         ]
     sums += [F.sum(F.shiftright(f"s{i}", k).bitwiseAND(_PAIR)).alias(f"b{i}_{k}") for i in range(words) for k in range(32)]
     total = hashed.groupBy(*key).agg(*sums)
-    lanes = [half for i in range(words) for k in range(32)
-             for half in (F.col(f"b{i}_{k}").bitwiseAND(low), F.shiftrightunsigned(f"b{i}_{k}", 32))]
-    return total.select(*key, F.concat(
-        _hex(F.col("n"), 16),
-        *[_hex(F.col(f"a{i}") % (1 << 32), 8) for i in range(STRONG)],
-        *[_hex(x % (1 << 16), 4) for x in lanes],
-    ).alias("fingerprint"))
+    strong = F.concat(_hex(F.col("n"), 16), *[_hex(F.col(f"a{i}") % (1 << 32), 8) for i in range(STRONG)])
+    lanes = F.array(*[half % (1 << 16) for i in range(words) for k in range(32)
+                      for half in (F.col(f"b{i}_{k}").bitwiseAND(low), F.shiftrightunsigned(f"b{i}_{k}", 32))])
+    packed = total.select(*key, "n", strong.alias("strong"), lanes.alias("raw"))
+    fours = F.transform(F.sequence(F.lit(0), F.lit(LANES - 4), F.lit(4)), lambda i: _hex(
+        F.shiftleft(F.get("raw", i), 48).bitwiseOR(F.shiftleft(F.get("raw", i + 1), 32))
+        .bitwiseOR(F.shiftleft(F.get("raw", i + 2), 16)).bitwiseOR(F.get("raw", i + 3)), 16))
+    return packed.select(*key, F.concat("strong", F.array_join(fours, "")).alias("fingerprint"), _centred(F.col("raw"), F.col("n")).alias("lanes"))
 
 
-def _lanes(fingerprint: Column) -> Column:
+def _centred(raw: Column, n: Column) -> Column:
     """Lanes as signed numbers around 0: twice the sum less the count, modulo 2^16."""
-    n = F.conv(F.substring(fingerprint, 1, 16), 16, 10).cast("long")
-    at = 17 + STRONG * 8
-    raw = F.transform(F.sequence(F.lit(0), F.lit(LANES - 1)), lambda i: F.conv(F.substr(fingerprint, i * 4 + at, F.lit(4)), 16, 10).cast("long"))
     return F.transform(raw, lambda x: (F.pmod(x * 2 - n + 32768, F.lit(65536)) - 32768).cast("double"))
 
 
-def _dot(a: Column, b: Column) -> Column:
+def lanes_of(fingerprints: DataFrame, fingerprint: str, lanes: str) -> DataFrame:
+    """The frame with the centred lanes of a column of fingerprints in a further column."""
+    at = 17 + STRONG * 8
+    raw = F.transform(F.sequence(F.lit(0), F.lit(LANES - 1)), lambda i: F.conv(F.substr(F.col(fingerprint), i * 4 + at, F.lit(4)), 16, 10).cast("long"))
+    n = F.conv(F.substring(fingerprint, 1, 16), 16, 10).cast("long")
+    read = fingerprints.withColumns({lanes: raw, lanes + "_n": n})  # by itself, so that the count is read once a row
+    return read.withColumn(lanes, _centred(F.col(lanes), F.col(lanes + "_n"))).drop(lanes + "_n")
+
+
+def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """0 to 1: the cosine of two fingerprints' lanes, 1 if they are equal. Texts of nothing alike stay near 0."""
-    x, y = _lanes(a), _lanes(b)
-    sizes = F.sqrt(_dot(x, x) * _dot(y, y))
-    cosine = F.when(sizes > 0, _dot(x, y) / sizes).otherwise(0.0)
+def likeness(a: Column, a_lanes: Column, b: Column, b_lanes: Column) -> Column:
+    """0 to 1 from two fingerprints and their lanes: the cosine of the lanes, 1 if the fingerprints are equal.
+
+    Texts with nothing alike stay near 0.
+    """
+    sizes = F.sqrt(dot(a_lanes, a_lanes) * dot(b_lanes, b_lanes))
+    cosine = F.when(sizes > 0, dot(a_lanes, b_lanes) / sizes).otherwise(0.0)
     return F.when(a == b, 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), cosine)))
 
 
@@ -158,15 +169,18 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     key = ["block", "place", "lent", "id", "n_chars", "sha"]
     both = F.array(F.struct(F.lit(0).alias("which"), F.col("text")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))
     texts = rows.select(*key, F.explode(both).alias("t")).where("t.text IS NOT NULL").select(*key, "t.which", "t.text")
-    made = fingerprints(texts, [*key, "which"])
+    made = fingerprints(texts, [*key, "which"]).withColumn("print", F.struct("fingerprint", "lanes"))
     sides = made.groupBy(*key).agg(
-        F.max(F.when(F.col("which") == 0, F.col("fingerprint"))).alias("fingerprint"),
-        F.max(F.when(F.col("which") == 1, F.col("fingerprint"))).alias("edited_fingerprint"),
+        F.first(F.when(F.col("which") == 0, F.col("print")), True).alias("own"),
+        F.first(F.when(F.col("which") == 1, F.col("print")), True).alias("edited"),
     )
     order = Window.partitionBy("block").orderBy("place")
-    beside = sides.withColumn("next_fingerprint", F.lead("fingerprint").over(order)).where("lent = 0")
-    own, other, after = F.col("fingerprint"), F.col("edited_fingerprint"), F.col("next_fingerprint")
+    beside = sides.withColumn("after", F.lead("own").over(order)).where("lent = 0")
+
+    def near(other: str) -> Column:
+        return likeness(F.col("own.fingerprint"), F.col("own.lanes"), F.col(f"{other}.fingerprint"), F.col(f"{other}.lanes"))
+
     return beside.select(
-        F.col("id").alias("doc_id"), "n_chars", F.col("sha").alias("edited_sha256"), "fingerprint", "edited_fingerprint",
-        likeness(own, other).alias("near_edited"), likeness(own, after).alias("near_next"),
+        F.col("id").alias("doc_id"), "n_chars", F.col("sha").alias("edited_sha256"), F.col("own.fingerprint").alias("fingerprint"),
+        F.col("edited.fingerprint").alias("edited_fingerprint"), near("edited").alias("near_edited"), near("after").alias("near_next"),
     )
