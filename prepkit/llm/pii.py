@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prepkit.llm.shared import packed, stored, text_of
@@ -21,7 +21,7 @@ from prepkit.llm.tagger import Tagger, encode
 
 KINDS = ("email", "ip", "card", "phone")
 #: Windows learned from at most; passes over them; characters to a window, from one to the next, and of context.
-SAMPLE, EPOCHS, WINDOW, STRIDE, CONTEXT = 1500, 5, 64, 40, 20
+SAMPLE, EPOCHS, WINDOW, STRIDE, CONTEXT = 1500, 8, 64, 40, 20
 #: Least mean probability of a span that the tagger adds.
 SURE = 0.9
 
@@ -107,7 +107,7 @@ def rewritten(text: str, spans, rng: random.Random) -> tuple[str, list[tuple[int
                 digits = re.sub("[^0-9]", "", piece)
                 piece = rng.choice([".", "/", "_"]).join(digits[i:i + 4] for i in range(0, len(digits), 4))
             elif kind == 1:
-                piece = piece.replace(".", rng.choice([" . ", "[.]", "-"]))
+                piece = piece.replace(".", rng.choice([" . ", "[.]", " dot "]))
             elif kind == 0:
                 piece = piece.replace("@", rng.choice([" @ ", "@ "]), 1)
         out += [text[at:a], piece]
@@ -253,6 +253,16 @@ def _fits(kind: int, text: str) -> bool:
     return _card_ok(text) if kind == 2 else 10 <= len(_DIGIT.findall(text)) <= 15
 
 
+def _trimmed(kind: int, text: str, a: int, z: int) -> tuple[int, int]:
+    """A span without what cannot begin or end it: blanks, and in numbers all but digits, brackets and a plus."""
+    heads, tails = ("0123456789(+", "0123456789") if kind else ("", "")
+    while a < z and (text[a].isspace() or heads and text[a] not in heads):
+        a += 1
+    while z > a and (text[z - 1].isspace() or tails and text[z - 1] not in tails):
+        z -= 1
+    return a, z
+
+
 def _spans_of(tagger: Tagger | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -262,10 +272,7 @@ def _spans_of(tagger: Tagger | None):
             if tagger:
                 jobs = [(i, t[a:z], a) for i, t in enumerate(texts) for a, z in stretches(t, base[i])]
                 for i, kind, a, z, sure in _decoded(tagger, jobs):
-                    while a < z and texts[i][a].isspace():
-                        a += 1
-                    while z > a and texts[i][z - 1].isspace():
-                        z -= 1
+                    a, z = _trimmed(kind, texts[i], a, z)
                     if sure >= SURE and _fits(kind, texts[i][a:z]) and all(z <= s or e <= a for _, s, e in base[i]):
                         more[i].append((kind, a, z))
             lists = [[{"kind": k, "start": s, "stop": e, "base": f} for k, s, e, f in sorted(
@@ -287,6 +294,10 @@ def find(docs: DataFrame, tagger: Tagger | None, id_col: str = "doc_id", text_co
     return rows.mapInArrow(_spans_of(tagger), "row " + rows.schema["row"].dataType.simpleString() + f", found {kind}")
 
 
+def _count(spans: Column, kind: int) -> Column:
+    return F.size(F.filter(spans, lambda s: s.kind == kind)).cast("long")
+
+
 def digests(docs: DataFrame) -> DataFrame:
     """Counts and digest of the patterns' spans, and all spans, for each document."""
     found = find(docs.select("doc_id", "text"), learn(docs))
@@ -298,5 +309,5 @@ def digests(docs: DataFrame) -> DataFrame:
     base = F.filter("found", lambda s: s.base)
     return found.select(
         F.col("row.doc_id").alias("doc_id"),
-        *[F.size(F.filter(base, lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)],
+        *[_count(base, k).alias(f"n_{name}") for k, name in enumerate(KINDS)],
         F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("found")).alias("spans"))

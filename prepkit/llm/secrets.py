@@ -212,13 +212,17 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id
     return rows.select(F.col("id").alias("doc_id"), F.array_sort(F.flatten(F.array(*parts))).alias("found"))
 
 
+def _count(rank: int) -> Column:
+    return F.size(F.filter("found", lambda s: s["rank"] == rank)).cast("long")
+
+
 def scan_digests(docs: DataFrame) -> DataFrame:
     """The counts and digests of the asked kinds, and all spans, for each document."""
     found = scan(docs)
     base = F.filter("found", lambda s: s["rank"] < len(BASE))
     return found.select(
         "doc_id",
-        *[F.size(F.filter("found", lambda s, k=k: s["rank"] == k)).cast("long").alias(f"n_{r.kind}") for k, r in enumerate(BASE)],
+        *[_count(k).alias(f"n_{r.kind}") for k, r in enumerate(BASE)],
         F.sha2(_listed(base).cast("binary"), 256).alias("base_sha256"),
         _listed(F.col("found")).alias("spans"),
     )
