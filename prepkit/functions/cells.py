@@ -89,13 +89,15 @@ PROTOCOL_RULES = (
 
 
 def inside(c: str | Column, lo: float | None, hi: float | None) -> Column:
-    """Whether lo <= cell <= hi; an end given as None is open."""
+    """Whether lo <= cell <= hi; an end given as None is open. NaN, which Spark orders above all, lies in no range."""
     cell = column(c)
     tests = [cell.isNotNull()]
     if lo is not None:
         tests.append(cell >= F.lit(lo))
     if hi is not None:
         tests.append(cell <= F.lit(hi))
+    elif isinstance(lo, (int, float)):
+        tests.append(cell <= F.lit(float("inf")))
     return reduce(lambda a, b: a & b, tests)
 
 
@@ -133,7 +135,7 @@ def missing(c: str, is_float: bool = False) -> Column:
     return (F.col(c).isNull() | F.isnan(c)) if is_float else F.col(c).isNull()
 
 
-def missing_share(columns: Sequence[str]) -> Column:
-    """Share of the row's cells that are NULL."""
-    total = sum((F.col(c).isNull().cast("int") for c in columns), F.lit(0))
+def missing_share(columns: Sequence[str], floats: Sequence[str] = ()) -> Column:
+    """Share of the row's cells that are NULL, or NaN in the columns named as ``floats``."""
+    total = sum((missing(c, c in floats).cast("int") for c in columns), F.lit(0))
     return total / F.lit(float(len(columns)))

@@ -16,10 +16,14 @@ from pyspark.sql import functions as F
 HEX_DIGITS = 13
 DRAWS = 2.0 ** (4 * HEX_DIGITS)
 
+# What stands for a missing key part in the hashed text.
+MISSING = "\x00missing"
+
 
 def _text(key: str | Column | Sequence[str | Column]) -> Column:
+    """The key as text; a missing part is marked, so that it draws like any other value."""
     parts = [key] if isinstance(key, (str, Column)) else list(key)
-    cols = [(F.col(p) if isinstance(p, str) else p).cast("string") for p in parts]
+    cols = [F.coalesce((F.col(p) if isinstance(p, str) else p).cast("string"), F.lit(MISSING)) for p in parts]
     return cols[0] if len(cols) == 1 else F.concat_ws("|", *cols)
 
 

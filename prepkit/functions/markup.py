@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -23,8 +24,30 @@ def percent(text: str | Column) -> Column:
 
 
 def plain(fragment: str | Column) -> Column:
-    """A fragment with its tags removed and its ends trimmed."""
-    return F.trim(F.regexp_replace(column(fragment), "<[^>]*>", ""))
+    """A fragment with its tags removed, its character references decoded and its ends trimmed."""
+    return F.trim(decoded(F.regexp_replace(column(fragment), "<[^>]*>", "")))
+
+
+# Named character references of running text; the ampersand comes last, as its result may look like another.
+REFERENCES = (("nbsp", "\u00a0"), ("ndash", "\u2013"), ("mdash", "\u2014"), ("lsquo", "\u2018"), ("rsquo", "\u2019"), ("ldquo", "\u201c"),
+              ("rdquo", "\u201d"), ("hellip", "\u2026"), ("middot", "\u00b7"), ("deg", "\u00b0"), ("quot", '"'), ("apos", "'"), ("lt", "<"), ("gt", ">"))
+
+
+def decoded(text: str | Column) -> Column:
+    """Text with its character references, by number or common name, turned into characters."""
+    cell = column(text)
+    parts = F.split(cell, "(?=&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};)")
+
+    def numbered(part: Column) -> Column:
+        dec, hexa = F.regexp_extract(part, "^&#([0-9]{1,7});", 1), F.regexp_extract(part, "^&#[xX]([0-9A-Fa-f]{1,6});", 1)
+        code = F.when(dec != "", dec.cast("int")).when(hexa != "", F.conv(hexa, 16, 10).cast("int"))
+        low = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(code.between(1, 0x10FFFF), F.concat(low, F.regexp_replace(part, "^&#[0-9xXA-Fa-f]+;", ""))).otherwise(part)
+
+    out = F.when(F.contains(cell, F.lit("&#")), F.array_join(F.transform(parts, numbered), "")).otherwise(cell)
+    for name, char in REFERENCES:
+        out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
+    return F.replace(out, F.lit("&amp;"), F.lit("&"))
 
 
 def matched_label(text: str | Column, labels: Sequence[str]) -> Column:
@@ -37,7 +60,7 @@ def lists(html: str | Column, css_class: str | None = None) -> Column:
     """Bodies of the page's ``<ul>`` blocks in order, of one class when given."""
     if css_class is None:
         return F.regexp_extract_all(column(html), F.lit(r"(?s)<ul[^>]*>(.*?)</ul>"), F.lit(1))
-    name = rf"(?s)<ul[^>]*\bclass=[\"'](?:[^\"']*\s)?{css_class}(?:\s[^\"']*)?[\"'][^>]*>(.*?)</ul>"
+    name = rf"(?s)<ul[^>]*\bclass=[\"'](?:[^\"']*\s)?{re.escape(css_class)}(?:\s[^\"']*)?[\"'][^>]*>(.*?)</ul>"
     return F.regexp_extract_all(column(html), F.lit(name), F.lit(1))
 
 
@@ -56,7 +79,8 @@ def captioned_series(html: str | Column, phrase: str, nth: int) -> Column:
     """The nth series of the chart whose caption holds ``phrase``, as shares.
 
     A chart is a ``chart-data-wrapper`` block holding a ``chart-caption`` and the
-    figures as a JSON array in ``chart-data``; the first matching chart counts.
+    figures as a JSON array in ``chart-data``; the first matching chart counts. An entry
+    is a list of points, of which the first is its figure.
     """
     wrapper = r"(?s)<div[^>]*class=[\"'][^\"']*chart-data-wrapper[^\"']*[\"'][^>]*>(.*?)</div>"
     caption = r"(?s)<pre[^>]*class=[\"'][^\"']*chart-caption[^\"']*[\"'][^>]*>(.*?)</pre>"
@@ -65,8 +89,8 @@ def captioned_series(html: str | Column, phrase: str, nth: int) -> Column:
     matching = F.filter(charts, lambda c: F.contains(F.regexp_extract(c, caption, 1), F.lit(phrase)))
     body = F.regexp_extract(F.get(matching, F.lit(0)), data, 1)
     series = F.get(F.from_json(body, "array<string>"), F.lit(nth))
-    points = F.flatten(F.from_json(series, "array<array<double>>"))
-    return F.transform(points, lambda p: p / F.lit(100.0))
+    entries = F.from_json(series, "array<array<double>>")
+    return F.transform(entries, lambda points: F.get(points, F.lit(0)) / F.lit(100.0))
 
 
 def json_number(text: str | Column, path: str) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from prepkit.functions.cells import Bracket, bracket, column, valid_cell
 from prepkit.functions.chance import unit
+from prepkit.operators.columns import nan_to_null
 from prepkit.operators.profile import mean_std, modes
 from prepkit.operators.ranking import smallest_marked
 
@@ -24,6 +25,8 @@ def _typed(df: DataFrame, c: str, text: str) -> Any:
     kind = df.schema[c].dataType
     if isinstance(kind, T.IntegralType):
         return int(text)
+    if isinstance(kind, T.DecimalType):
+        return F.lit(text).cast(kind)
     if isinstance(kind, T.NumericType):
         return float(text)
     return text
@@ -41,15 +44,16 @@ def fit_modes(df: DataFrame, columns: Sequence[str], ranges: Mapping[str, Any] |
 
 
 def fill(df: DataFrame, values: Mapping[str, Any]) -> DataFrame:
-    """Put the column's value into its gaps; integer columns filled by a mean become double."""
-    return df.select(*[
+    """Put the column's value into its gaps, NaN among them; integer columns filled by a mean become double."""
+    cells = nan_to_null(df)
+    return cells.select(*[
         F.coalesce(F.col(c), F.lit(values[c])).alias(c) if c in values else F.col(c) for c in df.columns
     ])
 
 
 def repair(df: DataFrame, values: Mapping[str, Any], ranges: Mapping[str, Any]) -> DataFrame:
     """Put the column's value into its gaps and over cells outside the column's range."""
-    return df.select(*[
+    return nan_to_null(df).select(*[
         F.coalesce(valid_cell(c, ranges), F.lit(values[c])).alias(c) if c in values else F.col(c) for c in df.columns
     ])
 

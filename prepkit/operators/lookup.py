@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,22 +21,19 @@ def inline_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Dat
     return spark.createDataFrame(list(rows), schema)
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS, max_bytes: int | None = None) -> DataFrame | None:
-    """``df`` ready to broadcast when it has at most ``limit`` rows, else None.
+def small(df: DataFrame, limit: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame | None:
+    """``df`` ready to broadcast when it has at most ``limit`` rows and ``max_bytes`` of them, else None.
 
-    Tables whose cells may be long are also measured, when ``max_bytes`` is given. At most
-    ``limit + 1`` rows reach the driver. The table is kept as read, so the join does not
-    compute it again.
+    Rows and bytes are counted before any row reaches the driver. The table is kept as
+    read, so the join does not compute it again.
     """
-    if max_bytes is not None:
-        n, size = df.agg(F.count("*"), F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()
-        if n > limit or (size or 0) > max_bytes:
-            return None
-    rows = df.limit(limit + 1).collect()
-    return None if len(rows) > limit else F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    n, size = df.agg(F.count("*"), F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()
+    if n > limit or (size or 0) > max_bytes:
+        return None
+    return F.broadcast(df.sparkSession.createDataFrame(df.collect(), df.schema))
 
 
-def bounded(df: DataFrame, limit: int = BROADCAST_ROWS, max_bytes: int | None = None) -> DataFrame:
+def bounded(df: DataFrame, limit: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``df`` ready to broadcast when it is small, unchanged otherwise.
 
     A large table stays a plain shuffled join side, where adaptive execution splits skewed
@@ -46,18 +44,21 @@ def bounded(df: DataFrame, limit: int = BROADCAST_ROWS, max_bytes: int | None =
 
 
 def outer_join_reference(df: DataFrame, reference: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """Full outer join on differently named keys; both key columns stay.
+    """Full outer join on differently named keys; both key columns stay, and of other shared names both columns.
 
     A full outer join cannot split a hot key, so it is put together from a left join,
     which broadcasts a small reference, and the reference rows no key of ``df`` meets.
     Of the keys only those the reference has are compared, deduplicated on the map side.
     """
-    side = bounded(reference, max_bytes=BROADCAST_BYTES)
-    matched = df.join(side, df[left_key] == side[right_key], "left")
-    known = side.select(F.col(right_key).alias("_known"))
+    apart = [f"_ref{i}" for i in range(len(reference.columns))]
+    renamed = reference.toDF(*apart)
+    other = apart[reference.columns.index(right_key)]
+    side = bounded(renamed)
+    matched = df.join(side, df[left_key] == side[other], "left")
+    known = side.select(F.col(other).alias("_known"))
     used = df.select(F.col(left_key).alias("_used")).join(known, F.col("_used") == F.col("_known"), "left_semi").distinct()
-    unmet = reference.join(used, reference[right_key] == used["_used"], "left_anti")
-    return matched.unionByName(unmet, allowMissingColumns=True)
+    unmet = renamed.join(used, renamed[other] == used["_used"], "left_anti")
+    return matched.unionByName(unmet, allowMissingColumns=True).toDF(*df.columns, *reference.columns)
 
 
 def join_keep_left(left: DataFrame, right: DataFrame, key: str | Sequence[str]) -> DataFrame:
@@ -72,10 +73,10 @@ def lookup_default(
 ) -> DataFrame:
     """Add ``name``: the reference value of the key, or ``default`` where there is none.
 
-    The reference must hold each key once.
+    Where the reference holds a key more than once, its smallest value counts, so rows stay as many as they were.
     """
-    pairs = reference.select(F.col(ref_key).alias("_key"), F.col(ref_value).alias("_value"))
-    side = bounded(pairs, max_bytes=BROADCAST_BYTES)
+    pairs = reference.groupBy(F.col(ref_key).alias("_key")).agg(F.min(ref_value).alias("_value"))
+    side = bounded(pairs)
     key = df[on] if isinstance(on, str) else on
     joined = df.join(side, key == side["_key"], "left")
     return joined.withColumn(name, F.coalesce("_value", F.lit(default))).drop("_key", "_value")
@@ -104,5 +105,15 @@ def attach_scalars(df: DataFrame, scalars: DataFrame) -> DataFrame:
 
 
 def align_by_key(left: DataFrame, right: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """Put the columns of two tables side by side, matched by key instead of by position."""
-    return join_keep_left(left, right, key)
+    """Put the columns of two tables side by side, matched by key instead of by position.
+
+    Rows of either side that the other lacks stay, with its columns missing; of a name
+    both sides have, the left column is kept. Missing keys meet each other.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    rest = [c for c in right.columns if c not in left.columns]
+    side = right.select(*[F.col(c).alias(f"_{c}") for c in keys], *rest, F.lit(True).alias("_right"))
+    same = reduce(lambda a, b: a & b, [left[c].eqNullSafe(side[f"_{c}"]) for c in keys])
+    joined = left.withColumn("_left", F.lit(True)).join(side, same, "full_outer")
+    own = [F.when(F.col("_left"), left[c]).otherwise(side[f"_{c}"]).alias(c) if c in keys else left[c] for c in left.columns]
+    return joined.select(*own, *rest)

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from prepkit.functions.cells import Bracket, bracket, missing, valid_cell
 from prepkit.functions.markup import tokens
-from prepkit.operators.columns import columns_of
+from prepkit.operators.columns import columns_of, nan_to_null
 from prepkit.operators.lookup import bounded
 from prepkit.operators.ranking import running_totals
 
@@ -64,13 +64,15 @@ def count_where(df: DataFrame, condition: Column, name: str = "n") -> DataFrame:
 
 
 def partition_count(df: DataFrame) -> int:
-    """Partitions the rows would be read in."""
-    return df.rdd.getNumPartitions()
+    """Partitions that hold rows."""
+    return df.select(F.spark_partition_id().alias("p")).distinct().count()
 
 
 def _value_pairs(df: DataFrame, columns: Sequence[str], cast: str) -> DataFrame:
-    """Non-null cells as ``column, value`` rows of one type."""
-    casted = df.select(*[F.col(c).cast(cast).alias(c) for c in columns])
+    """Non-null cells as ``column, value`` rows of one type; 0.0 and -0.0 are one value."""
+    floats = columns_of(df, "float")
+    casted = df.select(*[(F.col(c) + F.lit(0.0) if c in floats else F.col(c)).cast(df.schema[c].dataType).cast(cast).alias(c)
+                         for c in columns])
     return casted.unpivot([], list(columns), "column", "value").where("value IS NOT NULL")
 
 
@@ -95,7 +97,7 @@ def group_mean(df: DataFrame, by: Sequence[str], column: str, name: str) -> Data
 
 def missing_by_bracket(df: DataFrame, target: str, value: str, brackets: Sequence[Bracket]) -> DataFrame:
     """``bracket, n_missing``: rows lacking ``target``, by the bracket of ``value``."""
-    gaps = df.where(F.col(target).isNull()).select(bracket(value, brackets).alias("bracket"))
+    gaps = df.where(missing(target, target in columns_of(df, "float"))).select(bracket(value, brackets).alias("bracket"))
     return gaps.where("bracket IS NOT NULL").groupBy("bracket").agg(F.count("*").alias("n_missing"))
 
 
@@ -105,7 +107,7 @@ def missing_by_bracket(df: DataFrame, target: str, value: str, brackets: Sequenc
 def mean_std(df: DataFrame, columns: Sequence[str], ranges: Mapping[str, Any] | None = None) -> DataFrame:
     """``column, mean, std`` (sample), over valid cells only where a range is given."""
     cells = {c: valid_cell(c, ranges or {}) for c in columns}
-    return _long([{"column": F.lit(c), "mean": F.avg(v), "std": F.stddev_samp(v)} for c, v in cells.items()], df)
+    return _long([{"column": F.lit(c), "mean": F.avg(v), "std": F.stddev_samp(v)} for c, v in cells.items()], nan_to_null(df))
 
 
 def modes(df: DataFrame, columns: Sequence[str], ranges: Mapping[str, Any] | None = None) -> DataFrame:
@@ -114,7 +116,7 @@ def modes(df: DataFrame, columns: Sequence[str], ranges: Mapping[str, Any] | Non
     Counting goes through a shuffle with map-side aggregation, so a column may have any
     number of values. Columns are counted per type family, so that ties compare right.
     """
-    df = df.select(*[valid_cell(c, ranges or {}).alias(c) for c in columns])
+    df = nan_to_null(df).select(*[valid_cell(c, ranges or {}).alias(c) for c in columns])
     families: dict[str, list[str]] = {}
     for c in columns:
         kind = df.schema[c].dataType
@@ -122,7 +124,7 @@ def modes(df: DataFrame, columns: Sequence[str], ranges: Mapping[str, Any] | Non
         if isinstance(kind, T.IntegralType):
             cast = "bigint"
         elif isinstance(kind, T.NumericType):
-            cast = "double"
+            cast = kind.simpleString()
         families.setdefault(cast, []).append(c)
     parts = []
     for cast, chosen in families.items():
@@ -265,6 +267,7 @@ def quantiles(
     Columns of few distinct values go through one ``percentile`` aggregate; the others
     are narrowed down by repeated scans that exchange scalars only, without a shuffle.
     """
+    df = nan_to_null(df.select(*dict.fromkeys(columns)))
     probe = df.agg(
         *[F.count(c).alias(f"{c} n") for c in columns],
         *[F.approx_count_distinct(c, 0.05).alias(f"{c} d") for c in columns],
@@ -285,7 +288,7 @@ def quantiles(
             out[c] = []
             for x in xs:
                 low, high = float(found[c, math.floor(x)]), float(found[c, math.ceil(x)])
-                out[c].append(low + (high - low) * (x - math.floor(x)))
+                out[c].append(low if low == high else low * (math.ceil(x) - x) + high * (x - math.floor(x)))
     return {c: out[c] for c in columns}
 
 
@@ -310,7 +313,7 @@ def group_quantiles(
     Groups that hold more distinct values than one buffer should are taken apart from the
     others: their values are counted first and ranked in slices.
     """
-    values = df.where(F.col(column).isNotNull()).select(*by, F.col(column).cast("double").alias("_v"))
+    values = nan_to_null(df.select(*by, F.col(column).cast("double").alias("_v"))).where("_v IS NOT NULL")
     asked = F.array(*[F.lit(float(p)) for p in probs])
 
     def buffered(part: DataFrame) -> DataFrame:
@@ -335,7 +338,8 @@ def group_quantiles(
     placed = placed.where(holds(F.floor(place)) | holds(F.ceil(place)))
     share = F.max(place - F.floor(place))
     low, high = F.max(F.when(holds(F.floor(place)), F.col("_v"))), F.max(F.when(holds(F.ceil(place)), F.col("_v")))
-    found = placed.groupBy(*by, "prob").agg((low + (high - low) * share).alias("value"))
+    between = F.when(low == high, low).otherwise(low * (1.0 - share) + high * share)
+    found = placed.groupBy(*by, "prob").agg(between.alias("value"))
     return buffered(small_part).unionByName(found)
 
 
@@ -418,8 +422,8 @@ def binned_stats(df: DataFrame, by: Sequence[str], column: str) -> DataFrame:
 
 
 def normality(df: DataFrame, by: Sequence[str], column: str, more_than: int = 500, alpha: float = 0.05) -> DataFrame:
-    """Per group of more than that many values ``n, jb, p, normal`` (Jarque-Bera)."""
-    figures = df.groupBy(*by).agg(
+    """Per group of more than that many values ``n, jb, p, normal`` (Jarque-Bera); rows without a group are left out."""
+    figures = df.dropna(subset=list(by)).groupBy(*by).agg(
         F.count(column).alias("n"), F.skewness(column).alias("_g"), F.kurtosis(column).alias("_k")
     ).where(F.col("n") > more_than)
     jb = F.col("n") / 6.0 * (F.col("_g") * F.col("_g") + F.col("_k") * F.col("_k") / 4.0)
@@ -436,16 +440,19 @@ def _extent(df: DataFrame, column: str) -> tuple[float | None, float | None]:
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
-    """``bin, lo, hi, n`` of the equal-width bins between the extremes that hold a value."""
+    """``bin, lo, hi, n`` of all equal-width bins between the extremes; no rows where there is no value."""
+    df = nan_to_null(df.select(F.col(column)))
     lo, hi = _extent(df, column)
-    empty = lo is None
-    lo, hi = (0.0, 0.0) if empty else (lo, hi)
+    if lo is None:
+        return df.sparkSession.createDataFrame([], "bin int, lo double, hi double, n bigint")
     width = (hi - lo) / bins or 1.0 / bins
     cells = df.where(F.col(column).isNotNull())
     index = F.least(F.floor((F.col(column).cast("double") - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(bins - 1))
     counted = cells.select(index.alias("bin")).groupBy("bin").agg(F.count("*").alias("n"))
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     start = F.lit(lo) + F.col("bin") * F.lit(width)
-    return counted.select("bin", start.alias("lo"), (start + F.lit(width)).alias("hi"), "n")
+    filled = every.join(F.broadcast(counted), "bin", "left")
+    return filled.select("bin", start.alias("lo"), (start + F.lit(width)).alias("hi"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def density(df: DataFrame, column: str, points: int = 50, bins: int = 512) -> DataFrame:
@@ -459,7 +466,7 @@ def density(df: DataFrame, column: str, points: int = 50, bins: int = 512) -> Da
         return df.sparkSession.createDataFrame([], "x double, density double")
     h = float(std) * n ** -0.2
     step = (float(hi) - float(lo)) / (points - 1)
-    counted = histogram(df, column, bins)
+    counted = histogram(df, column, bins).where("n > 0")
     grid = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: F.lit(float(lo)) + i * F.lit(step))
     spread = counted.select(((F.col("lo") + F.col("hi")) / 2.0).alias("mid"), "n", F.explode(grid).alias("x"))
     z = (F.col("x") - F.col("mid")) / F.lit(h)

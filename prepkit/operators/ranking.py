@@ -15,13 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from prepkit.functions.chance import unit
-from prepkit.operators.lookup import BROADCAST_ROWS, bounded, small
+from prepkit.operators.lookup import bounded
 from prepkit.sources.frozen import frozen
 
-# Rows of a group that one task may still sort. At most one group in so many rows is larger,
-# which keeps the list of larger groups short.
-TASK_ROWS = 20_000_000
-
 
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
@@ -44,8 +40,6 @@ def hash_blocks(
     seed: int | str,
     name: str = "block",
     reach: float = 8.0,
-    groups: int = BROADCAST_ROWS,
-    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Cut each group's hash order at the quotas: add how many quotas a row lies beyond.
 
@@ -55,13 +49,10 @@ def hash_blocks(
     between bands follow from their draw alone. Rows below a band are counted, only rows
     inside one are ranked and shuffled. A group whose bands overlap, as those of small
     groups do, or whose counts show that a band misses its cut, is ranked whole.
-
-    With more than ``groups`` groups only those of more than ``task_rows`` rows are done
-    this way; the others are sorted whole, one shuffle for all of them.
+    The bands are broadcast while they are few; else they are joined by group.
     """
     keys, each = _keys(key), range(len(quotas))
     counts = df.groupBy(*group).agg(F.count("*").alias("n"))
-    sizes = counts
     for i in each:
         share = F.col(f"_q{i}") / F.col("n")
         spread = F.lit(reach) * (F.sqrt(share * (1.0 - share) / F.col("n")) + 1.0 / F.col("n"))
@@ -72,16 +63,7 @@ def hash_blocks(
         )
     apart = _all([F.col(f"_hi{i}") < F.col(f"_lo{i + 1}") for i in each[:-1]])
     names = [f"{part}{i}" for part in ("_q", "_lo", "_hi") for i in each]
-    bands = small(counts.select(_grouped(group).alias("_of"), apart.alias("_apart"), *names), groups)
-    if bands is None:
-        large = bounded(sizes.where(F.col("n") > task_rows).select(_grouped(group).alias("_of")))
-        keyed = df.select("*", _grouped(group).alias("_group"))
-        same = keyed["_group"] == large["_of"]
-        rest = _sorted_blocks(keyed.join(large, same, "left_anti").select(*df.columns), group, quotas, keys, seed, name)
-        if large.isEmpty():
-            return rest
-        hot = keyed.join(large, same, "left_semi").select(*df.columns)
-        return rest.unionByName(hash_blocks(hot, group, quotas, keys, seed, name, reach, 2**31 - 2))
+    bands = bounded(counts.select(_grouped(group).alias("_of"), apart.alias("_apart"), *names))
     tagged = df.select("*", _grouped(group).alias("_group"), unit(keys, seed).alias("_u"))
     found = tagged.join(bands, tagged["_group"] == bands["_of"]).groupBy("_of", "_apart", *names).agg(
         *[F.count_if(F.col("_u") < F.col(f"_lo{i}")).alias(f"_below{i}") for i in each],
@@ -117,20 +99,6 @@ def hash_blocks(
     return settled.select(*df.columns, name).unionByName(edge.select(*df.columns, name))
 
 
-def _sorted_blocks(
-    df: DataFrame, group: Sequence[str], quotas: Sequence[Column], keys: Sequence[str], seed: int | str, name: str
-) -> DataFrame:
-    """The blocks of groups small enough to be sorted in one task each."""
-    # Packed rows keep the names the quotas use apart from the table's own.
-    packed = df.select(F.struct(*df.columns).alias("_row"), *group, F.struct(unit(keys, seed), *keys).alias("_place"))
-    whole = Window.partitionBy(*group)
-    ranked = packed.withColumn("n", F.count("*").over(whole)).withColumn(
-        "_rank", F.row_number().over(whole.orderBy("_place"))
-    )
-    beyond = [(F.col("_rank") > F.least(F.greatest(q.cast("bigint"), F.lit(0)), F.col("n"))).cast("int") for q in quotas]
-    return ranked.select("_row.*", reduce(lambda a, b: a + b, beyond).alias(name))
-
-
 def smallest_marked(
     df: DataFrame,
     group: Sequence[str],

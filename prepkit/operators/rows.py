@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from prepkit.functions.cells import inside, missing_share
 from prepkit.functions.chance import unit
+from prepkit.operators.columns import columns_of
 from prepkit.operators.lookup import bounded
 from prepkit.operators.profile import missing_totals, quantiles
 from prepkit.operators.ranking import smallest_marked
@@ -47,7 +48,7 @@ def split_by_null_pattern(
 
 def drop_sparse_rows(df: DataFrame, threshold: float = 0.9, inclusive: bool = False) -> DataFrame:
     """Rows whose share of missing cells is below the threshold, or at it when ``inclusive``."""
-    share = missing_share(df.columns)
+    share = missing_share(df.columns, columns_of(df, "float"))
     return df.where(share <= threshold if inclusive else share < threshold)
 
 
@@ -114,8 +115,9 @@ def group_sizes(df: DataFrame, by: Sequence[str], at_least: int = 1) -> DataFram
 
 def rows_in_large_groups(df: DataFrame, by: Sequence[str], at_least: int) -> DataFrame:
     """Rows of the groups that have at least that many."""
-    large = bounded(group_sizes(df, by, at_least).select(*by))
-    return df.join(large, list(by), "left_semi")
+    large = bounded(group_sizes(df, by, at_least).select(*[F.col(c).alias(f"_{c}") for c in by]))
+    same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(large[f"_{c}"]) for c in by])
+    return df.join(large, same, "left_semi")
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

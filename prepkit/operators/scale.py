@@ -86,28 +86,29 @@ def standardise(df: DataFrame, columns: Sequence[str], centre: bool = False, pop
     return df.select(*[scaled(c) if c in chosen else F.col(c) for c in df.columns])
 
 
-def label_codes(df: DataFrame, column: str, small: int = 10_000) -> DataFrame:
-    """``value, code``: the distinct non-null values numbered in sorted order from 0.
+def label_codes(df: DataFrame, column: str) -> DataFrame:
+    """``value, code``: the distinct non-null values numbered in Spark's order from 0, NaN last.
 
-    Up to ``small`` values are numbered after sorting them on the driver; more are
-    ranked in slices across the cluster.
+    Values are ranked in slices, so their number is not bounded by a task or the driver.
     """
     values = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.lit(1).alias("one"))
-    rows = values.limit(small + 1).collect()
-    if len(rows) <= small:
-        kind = df.schema[column].dataType.simpleString()
-        ordered = sorted(r["value"] for r in rows)
-        codes = df.sparkSession.createDataFrame([(v, i) for i, v in enumerate(ordered)], f"value {kind}, code int")
-        return F.broadcast(codes)
     return running_totals(values, "value", "one").select("value", F.col("before").cast("int").alias("code"))
 
 
 def label_encode(df: DataFrame, columns: Sequence[str], suffix: str = "_encoded") -> DataFrame:
     """Add ``{c}_encoded``, the position of the value among the column's sorted values."""
+    kinds: dict[str, list[str]] = {}
     for c in columns:
-        codes = label_codes(df, c).select(F.col("value").alias("_value"), F.col("code").alias(f"{c}{suffix}"))
-        df = df.join(codes, df[c] == codes["_value"], "left").drop("_value")
-    return df
+        kinds.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
+    for kind, chosen in kinds.items():
+        # one pass finds the values of all columns of a type, and one ranking numbers them within each
+        cells = df.select(*[F.col(c).alias(c) for c in chosen]).unpivot([], chosen, "_of", "_value").where("_value IS NOT NULL")
+        ranked = running_totals(cells.groupBy("_of", "_value").agg(F.lit(1).alias("_one")), "_value", "_one", ["_of"])
+        for c in chosen:
+            codes = bounded(ranked.where(F.col("_of") == c).select("_value", F.col("before").cast("int").alias(f"{c}{suffix}")))
+            df = df.join(codes, df[c] == codes["_value"], "left").drop("_value")
+    return df.select(*[c for c in df.columns if not c.endswith(suffix) or c[: -len(suffix)] not in columns],
+                     *[f"{c}{suffix}" for c in columns])
 
 
 def frequency_index(df: DataFrame, column: str, name: str) -> DataFrame:

@@ -124,10 +124,9 @@ def age_rates_fine(pages: DataFrame) -> DataFrame:
 
 def rate_map(table: DataFrame) -> dict[str, float]:
     """A two-column rate table as a mapping, for rates used as literals (a few brackets)."""
-    found = table.limit(1001).collect()
-    if len(found) > 1000:
+    if lookup.small(table) is None:
         raise ValueError("a rate table has a row per bracket; join larger ones with lookup_default")
-    return {r[0]: r[1] for r in found}
+    return {r[0]: r[1] for r in table.collect()}
 
 
 # --- heart disease ------------------------------------------------------------------

@@ -25,8 +25,8 @@ def label_encode(spark: SparkSession, folder: str) -> DataFrame:
 SELECT c_name AS value, (row_number() OVER (ORDER BY c_name) - 1)::int AS code FROM customer GROUP BY c_name
 """)
 def label_codes_sliced(spark: SparkSession, folder: str) -> DataFrame:
-    """The way taken for columns of very many values, forced by a small limit."""
-    return scale.label_codes(table(spark, folder, "customer"), "c_name", small=100)
+    """Values ranked in slices across the cluster."""
+    return scale.label_codes(table(spark, folder, "customer"), "c_name")
 
 
 @query(DIRTY + """

@@ -96,8 +96,8 @@ def text_lines(spark: SparkSession, folder: str) -> DataFrame:
 def listed_inputs(spark: SparkSession, folder: str) -> DataFrame:
     """The files of the data folder that hold the orders, picked by name."""
     found = readers.list_inputs(spark, folder, "orders*.parquet")
-    path = readers.pick_input(spark, folder, "orders*.parquet")
-    n_rows = readers.read_parquet(spark, path).agg(F.count("*").alias("n_rows"))
+    paths = [r["path"] for r in found.select("path").collect()]
+    n_rows = readers.read_parquet(spark, paths).agg(F.count("*").alias("n_rows"))
     listed = found.agg(F.count("*").cast("int").alias("n_files"), (F.sum("length") > 0).alias("any_bytes"))
     return attach_scalars(listed, n_rows)
 

@@ -68,7 +68,10 @@ def scalar_broadcast(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(joined, 6, "gap")
 
 
-@query("SELECT doc_id, lang, n_chars, quality, toxic FROM documents JOIN labels USING (doc_id)")
+@query("""
+SELECT doc_id, lang, n_chars, quality, toxic FROM (SELECT * FROM documents WHERE lang <> 'es') FULL JOIN labels USING (doc_id)
+""")
 def align_by_key(spark: SparkSession, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents").select("doc_id", "lang", "n_chars")
+    """Documents and labels side by side, rows of one side only among them."""
+    documents = table(spark, folder, "documents").where("lang <> 'es'").select("doc_id", "lang", "n_chars")
     return lookup.align_by_key(documents, table(spark, folder, "labels"), "doc_id")

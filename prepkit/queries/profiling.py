@@ -173,9 +173,10 @@ def normality_by_bin(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("""
 WITH m AS (SELECT min(value) AS lo, max(value) AS hi FROM events),
-b AS (SELECT least(floor((value - lo) / ((hi - lo) / 30))::int, 29) AS bin, lo, hi FROM events, m)
-SELECT bin, round(lo + bin * ((hi - lo) / 30), 6) AS lo, round(lo + bin * ((hi - lo) / 30) + (hi - lo) / 30, 6) AS hi, count(*) AS n
-FROM b GROUP BY bin, b.lo, b.hi
+b AS (SELECT least(floor((value - lo) / ((hi - lo) / 30))::int, 29) AS bin FROM events, m),
+g AS (SELECT unnest(range(30))::int AS bin)
+SELECT g.bin, round(lo + g.bin * ((hi - lo) / 30), 6) AS lo, round(lo + g.bin * ((hi - lo) / 30) + (hi - lo) / 30, 6) AS hi, count(b.bin) AS n
+FROM g CROSS JOIN m LEFT JOIN b ON b.bin = g.bin GROUP BY g.bin, lo, hi
 """)
 def histogram(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(profile.histogram(table(spark, folder, "events"), "value", 30), 6, "lo", "hi")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -31,15 +32,18 @@ def build_session(app: str = "prepkit", master: str | None = None, **conf: str)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``.
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or what ``setCheckpointDir`` was given.
 
-    Only where the cluster names none (tests, a single machine) is a local folder made,
-    and it is then recorded in the session, so that later calls share it.
+    Only a session on a single machine that names none gets a local folder, recorded in
+    the session, so that later calls share it. On a cluster that is an error: executors
+    would each write to a disk of their own.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         base = spark.conf.get("prepkit.scratch.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="prepkit-")
         spark.conf.set("prepkit.scratch.dir", base)
     return base
@@ -51,6 +55,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def ready_checkpoints(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint()`` usable where the cluster named no folder."""
-    if not spark.conf.get("spark.checkpoint.dir", None):
+    """Make ``DataFrame.checkpoint()`` usable where no folder was named; one that was stays."""
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))

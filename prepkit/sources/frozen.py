@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from prepkit.session import scratch_path
 
+_WRITTEN: list[tuple[SparkSession, str]] = []
+
 
 def frozen(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back.
@@ -16,4 +18,18 @@ def frozen(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    _WRITTEN.append((df.sparkSession, path))
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the copies made in this session, and tell how many there were.
+
+    Frames that read them are lazy, so call it when their results are saved.
+    """
+    mine = [entry for entry in _WRITTEN if entry[0] is spark]
+    for entry in mine:
+        path = spark._jvm.org.apache.hadoop.fs.Path(entry[1])
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _WRITTEN.remove(entry)
+    return len(mine)

@@ -15,11 +15,12 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwr
     df.write.mode(mode).option("header", header).csv(path)
 
 
-def write_single_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite", limit: int = 1_000_000) -> None:
-    """One CSV part, for report-sized tables only: more than ``limit`` rows is an error."""
-    if df.limit(limit + 1).count() > limit:
-        raise ValueError(f"more than {limit} rows: use write_csv, which writes in parallel")
-    df.coalesce(1).write.mode(mode).option("header", header).csv(path)
+def write_single_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
+    """One CSV part, as a single file asks for: rows are computed in parallel and streamed through one writing task.
+
+    For anything but a report use ``write_csv``.
+    """
+    df.repartition(1).write.mode(mode).option("header", header).csv(path)
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:

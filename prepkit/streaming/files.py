@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from prepkit.operators.profile import word_counts
-from prepkit.session import scratch_path
 
 
 def arriving_files(spark: SparkSession, folder: str, schema: str, fmt: str = "csv", files_per_batch: int = 1000,
@@ -24,17 +23,21 @@ def arriving_files(spark: SparkSession, folder: str, schema: str, fmt: str = "cs
 
 
 def clean_arriving(
-    stream: DataFrame, clean: Callable[[DataFrame], DataFrame], path: str, checkpoint: str | None = None
+    stream: DataFrame, clean: Callable[[DataFrame], DataFrame], path: str, checkpoint: str
 ) -> StreamingQuery:
-    """Apply a row operator to all files there now and append the rows to parquet, then stop."""
-    spark = stream.sparkSession
+    """Apply a row operator to all files there now and append the rows to parquet, then stop.
+
+    ``checkpoint`` holds the progress and goes with ``path``: each later run must name the
+    same one, since the sink takes batches it already has as written.
+    """
     writer = clean(stream).writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
-    return writer.option("checkpointLocation", checkpoint or scratch_path(spark, "progress")).start(path)
+    return writer.option("checkpointLocation", checkpoint).start(path)
+
 
+def running_word_counts(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Token counts over all lines seen so far, as parquet in ``path``, written anew by each batch."""
+    def put(counts: DataFrame, batch: int) -> None:
+        counts.write.mode("overwrite").parquet(path)
 
-def running_word_counts(stream: DataFrame, name: str, checkpoint: str | None = None) -> StreamingQuery:
-    """Token counts over all lines seen so far, kept up in the in-memory table ``name``."""
-    spark = stream.sparkSession
-    writer = word_counts(stream, "value").writeStream.format("memory").queryName(name).outputMode("complete")
-    writer = writer.option("checkpointLocation", checkpoint or scratch_path(spark, "counts"))
-    return writer.trigger(availableNow=True).start()
+    writer = word_counts(stream, "value").writeStream.outputMode("complete").foreachBatch(put)
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -71,7 +71,7 @@ PAGE = """<html><ul class="other"><li>zero</li></ul><ul class="block-list wide">
 <li>women (10.1%)</li></ul>
 <div class="chart-data-wrapper"><pre class="chart-caption">Other</pre><pre class="chart-data">[[1]]</pre></div>
 <div class="chart-data-wrapper"><pre class="chart-caption">Daily smokers by age, 2022</pre>
-<pre class="chart-data">[["15-17","18-24"],[[1.6],[7.3]]]</pre></div></html>"""
+<pre class="chart-data">[["15-17","18-24"],[[1.6,0.4],[7.3,1.1]]]</pre></div></html>"""
 
 
 def test_lists_and_charts_of_a_page(spark):
@@ -82,6 +82,23 @@ def test_lists_and_charts_of_a_page(spark):
     assert found[1] == (None, None)
 
 
+def test_character_references_are_decoded(spark):
+    data = [("18&ndash;24 years",), ("a &lt;b&gt; &amp;lt; &#8211;&#x41;!",), ("&#0; &nope; & plain",), (None,)]
+    got = values(spark, data, "t string", markup.decoded("t"))
+    assert got == [("18\u201324 years",), ("a <b> &lt; \u2013A!",), ("&#0; &nope; & plain",), (None,)]
+
+
+def test_a_class_is_taken_literally(spark):
+    page = '<ul class="a.b"><li>dot</li></ul><ul class="axb"><li>x</li></ul>'
+    assert values(spark, [(page,)], "html string", markup.list_items("html", 0, "a.b")) == [(["dot"],)]
+    assert values(spark, [(page,)], "html string", markup.list_items("html", 1, "a.b")) == [(None,)]
+
+
+def test_nan_lies_in_no_range(spark):
+    got = values(spark, [(float("nan"),), (80.0,)], "x double", cells.bracket("x", cells.AGE_BRACKETS_FINE), cells.inside("x", 0, None))
+    assert got == [(None, False), ("75+", True)]
+
+
 def test_tokens_keep_empty_ones(spark):
     df = spark.createDataFrame([("a  b\n c",)], "t string").select(F.explode(markup.tokens("t")))
     assert [r[0] for r in df.collect()] == ["a", "", "b", "", "c"]

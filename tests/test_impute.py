@@ -1,3 +1,5 @@
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,10 +78,24 @@ def test_label_codes_and_unseen(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("b",)], "s string")
     assert [r["s_encoded"] for r in scale.label_encode(df, ["s"]).orderBy("s").collect()] == [None, 0, 1, 1]
     many = spark.range(3000).select(F.format_string("v%05d", "id").alias("s"))
-    codes = {r["value"]: r["code"] for r in scale.label_codes(many, "s", small=10).collect()}
+    codes = {r["value"]: r["code"] for r in scale.label_codes(many, "s").collect()}
     assert codes == {f"v{i:05d}": i for i in range(3000)}
 
 
+def test_label_codes_put_nan_last(spark):
+    df = spark.createDataFrame([(3.0,), (float("nan"),), (1.0,), (2.0,)], "x double")
+    assert [r["x_encoded"] for r in scale.label_encode(df, ["x"]).collect()] == [2, 3, 0, 1]
+
+
+def test_nan_is_a_gap_and_decimals_stay_decimals(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,), (3.0,)], "x double")
+    assert [r["x"] for r in impute.guarded_mean_repair(df, {"x": (0, None)}).collect()] == [1.0, 2.0, 2.0, 3.0]
+    assert [r["x"] for r in impute.mean_fill(df, ["x"]).collect()] == [1.0, 2.0, 2.0, 3.0]
+    big = Decimal("12345678901234567.89")
+    money = impute.mode_fill(spark.createDataFrame([(big,), (big,), (None,)], "m decimal(20,2)"), ["m"])
+    assert [r["m"] for r in money.collect()] == [big] * 3 and money.dtypes == [("m", "decimal(20,2)")]
+
+
 def test_frequency_index_equals_the_indexer(spark):
     from pyspark.ml.feature import StringIndexer
 

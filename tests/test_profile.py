@@ -105,12 +105,22 @@ def test_binned_stats_equal_pandas(spark):
 def test_histogram_counts_every_value_and_closes_the_last_bin(spark):
     df = spark.createDataFrame([(0.0,), (1.0,), (9.99,), (10.0,), (None,)], "x double")
     found = {r["bin"]: r["n"] for r in profile.histogram(df, "x", 10).collect()}
-    assert found == {0: 1, 1: 1, 9: 2}
+    assert found == {**dict.fromkeys(range(10), 0), 0: 1, 1: 1, 9: 2}
     flat = spark.createDataFrame([(2.0,), (2.0,)], "x double")
-    assert [(r["bin"], r["n"]) for r in profile.histogram(flat, "x", 10).collect()] == [(0, 2)]
+    assert {r["bin"]: r["n"] for r in profile.histogram(flat, "x", 10).collect()} == {**dict.fromkeys(range(10), 0), 0: 2}
     assert profile.histogram(df.where("x > 99"), "x").collect() == []
 
 
+def test_infinities_and_negative_zero(spark):
+    ends = spark.createDataFrame([(float("inf"),), (float("inf"),), (float("-inf"),), (1.0,)], "x double")
+    want = ends.agg(F.percentile("x", F.array(*[F.lit(p) for p in (0.0, 0.2, 0.5, 0.9, 1.0)]))).first()[0]
+    for ways in ({}, {"buffer_values": 0, "gathered_values": 0}):
+        assert profile.quantiles(ends, ["x"], [0.0, 0.2, 0.5, 0.9, 1.0], **ways)["x"] == want
+    zeros = spark.createDataFrame([(0.0,), (-0.0,), (1.0,)], "x double")
+    assert profile.count_distinct(zeros, ["x"]).first()["n_distinct"] == 2
+    assert profile.value_counts(zeros, ["x"]).count() == 2
+
+
 def test_density_integrates_to_about_one(spark):
     df = spark.range(4000).select((F.col("id") % 97).cast("double").alias("x"))
     found = sorted((r["x"], r["density"]) for r in profile.density(df, "x", points=80).collect())

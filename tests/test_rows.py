@@ -34,17 +34,30 @@ def test_smallest_marked_equals_the_plain_window(spark):
         assert {r["id"]: r["picked"] for r in got.collect()} == want
 
 
-@pytest.mark.parametrize("task_rows", [100, 10_000])
-def test_blocks_of_very_many_groups(spark, task_rows):
-    """More groups than are broadcast: the hot ones by bands, the others sorted; a column named n is kept."""
+def test_blocks_of_more_groups_than_are_broadcast(spark, monkeypatch):
+    """The bands are joined instead, and nothing else changes; a column named n is kept."""
     df = skewed(spark).withColumn("n", F.col("id") * 2)
     ends = [F.ceil(F.col("n") * i / 3) for i in (1, 2)]
     want = {r["id"]: (r["n"], r["block"]) for r in ranking.hash_blocks(df, ["g"], ends, "id", 9).collect()}
-    got = ranking.hash_blocks(df, ["g"], ends, "id", 9, groups=2, task_rows=task_rows)
+    monkeypatch.setattr(ranking, "bounded", lambda df: df)
+    got = ranking.hash_blocks(df, ["g"], ends, "id", 9)
     assert got.columns == ["id", "g", "n", "block"]
     assert {r["id"]: (r["n"], r["block"]) for r in got.collect()} == want
 
 
+def test_missing_keys_lose_no_rows(spark):
+    """Rows without a key are drawn, split and sampled like the others."""
+    df = spark.range(1000).withColumn("k", F.when(F.col("id") % 10 != 0, F.col("id"))).withColumn("g", F.col("id") % 3)
+    parts = split.random_split(df, [0.8, 0.2], "k")
+    assert sum(p.count() for p in parts) == 1000
+    assert split.with_part(df, "g", "k").count() == 1000
+    assert split.with_folds(df, "k").where("fold IS NULL").count() == 0
+    assert split.with_folds(df, "k", label="g").groupBy("fold").count().count() == 5
+    assert rows.sample_per_group(df, ["g"], 400, "k").count() == 1000
+    both = split.with_folds(df, ["k", "g"]).where("k IS NULL").select("fold").distinct().count()
+    assert both > 1
+
+
 def test_running_totals_equal_the_plain_window(spark):
     df = skewed(spark).withColumn("v", (F.col("id") * 37 % 1013)).groupBy("g", "v").agg(F.count("*").alias("n"))
     w = Window.partitionBy("g")

@@ -1,3 +1,4 @@
+import gzip
 import json
 
 import pytest
@@ -74,12 +75,60 @@ def test_malformed_rows_are_set_aside(spark, tmp_path):
     assert sorted(r["_corrupt_record"] for r in bad.collect()) == ["3,4.0,5", "bad,3.0"]
 
 
-def test_single_file_and_its_limit(spark, tmp_path):
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("b,a\n2,1\n")
+    (tmp_path / "b.csv").write_text("a,c,b\n3,x,4\n")
+    (tmp_path / "c.csv").write_text("a\n5\n")
+    got = readers.read_csv(spark, str(tmp_path), schema="a int, b int")
+    assert sorted(map(tuple, got.collect()), key=str) == [(1, 2), (3, 4), (5, None)]
+    good, bad = readers.read_csv_checked(spark, str(tmp_path / "a.csv"), "a int, b int")
+    assert (good.collect(), bad.collect()) == ([(1, 2)], [])
+    assert sorted(tuple(r)[:2] for r in readers.ingest_folder(spark, str(tmp_path), "a int, b int").collect())[0] == (1, 2)
+
+
+def test_folder_with_packed_and_loud_names(spark, tmp_path):
+    (tmp_path / "A.CSV").write_text("k,v\n1,1.0\n")
+    (tmp_path / "b.csv.gz").write_bytes(gzip.compress(b"v,k\n2.0,2\n"))
+    (tmp_path / "c.jsonl").write_text('{"k": 3, "v": 3.0}\n')
+    (tmp_path / "d.json.gz").write_bytes(gzip.compress(b'{"k": 4, "v": 4.0}\n'))
+    (tmp_path / "x.dat").write_text("?")
+    with pytest.warns(UserWarning, match="1 files of no known format"):
+        whole = readers.ingest_folder(spark, str(tmp_path), "k int, v double")
+    assert sorted((r["k"], r["v"]) for r in whole.collect()) == [(1, 1.0), (2, 2.0), (3, 3.0), (4, 4.0)]
+
+
+def test_nan_of_a_stored_table_is_missing(spark, tmp_path):
+    spark.createDataFrame([(1.0,), (float("nan"),)], "x double").write.parquet(str(tmp_path / "p"))
+    assert readers.read_parquet(spark, str(tmp_path / "p")).where("x IS NULL").count() == 1
+
+
+def test_the_shared_folder(spark, monkeypatch):
+    from prepkit import session
+    from prepkit.sources.frozen import frozen, release
+
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default=None: None)
+
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(Cluster)
+    Cluster.sparkContext.getCheckpointDir = staticmethod(lambda: "hdfs://mine")
+    assert session.shared_folder(Cluster) == "hdfs://mine"
+    before = spark.sparkContext.getCheckpointDir()
+    session.ready_checkpoints(spark)
+    assert spark.sparkContext.getCheckpointDir() == before
+    kept = frozen(spark.range(3), "kept")
+    assert kept.count() == 3 and release(spark) >= 1 and release(spark) == 0
+
+
+def test_single_file(spark, tmp_path):
     path = tmp_path / "one"
     writers.write_single_csv(spark.range(10).repartition(4), str(path))
     assert len(list(path.glob("part-*.csv"))) == 1
-    with pytest.raises(ValueError):
-        writers.write_single_csv(spark.range(11), str(tmp_path / "two"), limit=10)
 
 
 def test_table_modes_and_dropping(spark):
@@ -139,8 +188,13 @@ def test_stream_word_counts(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.txt").write_text("a b a\n")
     stream = streaming.arriving_files(spark, str(tmp_path / "in"), "value string", "text")
-    streaming.running_word_counts(stream, "words_seen", str(tmp_path / "p")).awaitTermination()
-    assert {r["token"]: r["n"] for r in spark.table("words_seen").collect()} == {"a": 2, "b": 1}
+    out = str(tmp_path / "out")
+    streaming.running_word_counts(stream, out, str(tmp_path / "p")).awaitTermination()
+    assert {r["token"]: r["n"] for r in spark.read.parquet(out).collect()} == {"a": 2, "b": 1}
+    (tmp_path / "in" / "b.txt").write_text("b c\n")
+    again = streaming.arriving_files(spark, str(tmp_path / "in"), "value string", "text")
+    streaming.running_word_counts(again, out, str(tmp_path / "p")).awaitTermination()
+    assert {r["token"]: r["n"] for r in spark.read.parquet(out).collect()} == {"a": 2, "b": 2, "c": 1}
 
 
 def test_rate_tables_from_stored_pages(spark):
