@@ -6,23 +6,27 @@ import numpy as np
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes sorted by at least their first ``depth`` symbols, by prefix doubling; ties stay by place."""
+    """Suffixes sorted by at least their first ``depth`` symbols, by prefix doubling; symbols are under 512."""
     n = len(text)
-    rank, width = text.astype(np.int64), 1
+    rank = np.zeros(n, np.int64)
+    for k in range(7):  # seven symbols of nine bits make the first key
+        rank <<= 9
+        rank[: n - k] += text[k:]
+    width = 7
     while True:
+        order = np.argsort(rank)
         if width >= depth:
-            return np.argsort(rank, kind="stable")
-        after = np.zeros(n, np.int64)
-        after[: max(0, n - width)] = rank[width:] + 1
-        pair = rank * (int(after.max()) + 1) + after
-        order = np.argsort(pair, kind="stable")
+            return order
         fresh = np.ones(n, bool)
-        fresh[1:] = pair[order[1:]] != pair[order[:-1]]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(fresh) - 1
-        width *= 2
+        ranked = rank[order]
+        fresh[1:] = ranked[1:] != ranked[:-1]
         if fresh.all():
             return order
+        rank = np.empty(n, np.int64)
+        rank[order] = np.cumsum(fresh)
+        rank *= n + 1
+        rank[: n - width] += rank[width:] // (n + 1)
+        width *= 2
 
 
 def repeat_groups(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -37,7 +41,7 @@ def repeat_groups(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray
     order = suffix_order(text, length + 1)
     before = text[order - 1]
     back = np.empty(n, np.int64)  # from each row of the transform to the row of the suffix one symbol longer
-    back[np.argsort(before, kind="stable")] = np.arange(n)
+    back[np.argsort(before.astype(np.uint16), kind="stable")] = np.arange(n)
     known = np.zeros(n + 1, bool)
     known[0] = known[n] = True
     low, high = np.array([0]), np.array([n])
@@ -54,7 +58,7 @@ def repeat_groups(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray
             if not len(rows):
                 break
         to = back[rows]
-        place = np.argsort(to, kind="stable")
+        place = np.argsort(to)
         to, owner, symbol = to[place], owner[place], before[rows[place]]
         cut = np.flatnonzero((owner[1:] != owner[:-1]) | (symbol[1:] != symbol[:-1])) + 1
         first, last = np.concatenate([[0], cut]), np.concatenate([cut, [len(to)]]) - 1
