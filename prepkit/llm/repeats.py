@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +24,9 @@ from prepkit.llm.twice import Repeats, passing
 
 LENGTH, GRAM = 100, 32
 #: Windows to a segment at most, bytes to a shard, segments of a key beyond which its windows are dealt out singly.
-SEGMENT_WINDOWS, SHARD_BYTES, KEY_SEGMENTS = 512, 1 << 20, 4096
+SEGMENT_WINDOWS, SHARD_BYTES, KEY_SEGMENTS = 512, 1 << 19, 4096
 #: Texts held as Python objects at once, and bytes worked on at once.
-AT_ONCE, PIECE = 500, 1 << 20
+AT_ONCE, PIECE = 500, 1 << 19
 
 _BASE, _BASE2 = U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F)
 
@@ -196,7 +197,7 @@ def _window_hashes(length: int):
     return run
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], hand_on: bool) -> Iterator[pa.RecordBatch]:
     """(id, n_bytes, n_removed, n_spans, kept_sha256, kept) of each text without its marked stretches."""
     for whole in batches:
         for at in range(0, whole.num_rows, AT_ONCE):
@@ -220,7 +221,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 gone.append(len(raw) - len(out))
                 spans.append(len(runs))
                 sha.append(hashlib.sha256(out).hexdigest())
-                left.append(out)
+                left.append(out if hand_on else None)
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha, pa.string()),
                  pa.array(left, pa.binary())], ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
@@ -265,8 +266,9 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, key_segments: int = K
     return folded.unionByName(marked).unionByName(single)
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256, kept) for each row of ``docs``.
+def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", hand_on: bool = True,
+                   **how) -> DataFrame:
+    """(id, n_bytes, n_removed, n_spans, kept_sha256, kept) for each row of ``docs``; ``kept`` only if ``hand_on``.
 
     Texts are taken as UTF-8 bytes, null as empty. A byte goes if it lies in a ``length``-byte string that also starts
     earlier: in a document of a smaller id, or earlier in the same one; all is judged on the input. ``kept`` holds the
@@ -288,9 +290,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     marks = stored(marks, "repeat-marks")
     joined = rows.join(marks, (F.col("at") == F.col("m1")) & (F.col("tie") == F.col("m2")), "left").select("id", "text", "marks", "copy")
     kind = joined.schema["id"].dataType.simpleString()
-    return joined.mapInArrow(_cut, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return joined.mapInArrow(partial(_cut, hand_on=hand_on), f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
 def digests(docs: DataFrame) -> DataFrame:
     """Sizes and digest of what is left of each document."""
-    return remove_repeats(docs).select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return remove_repeats(docs, hand_on=False).select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
