@@ -160,7 +160,7 @@ def grid_search(
     """
     label = model.getLabelCol()
     if metric == "areaUnderROC":
-        evaluator: Any = BinaryClassificationEvaluator(labelCol=label, metricName=metric)
+        evaluator: Any = BinaryClassificationEvaluator(labelCol=label, metricName=metric, numBins=0)
     elif metric == "positive_f1":
         evaluator = MulticlassClassificationEvaluator(labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0)
     else:

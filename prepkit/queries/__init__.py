@@ -2,6 +2,7 @@
 
 from prepkit.queries import (  # noqa: F401
     cleaning,
+    closed_forms,
     encoding,
     files,
     flagship,

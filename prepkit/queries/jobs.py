@@ -73,6 +73,174 @@ def heart_filled(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(filled.select("event_id", "trestbps", "smoke"), 6, "trestbps")
 
 
+@query(CENSUS_SQL + """
+, m AS (SELECT unnest(['age', 'workclass', 'marital_status', 'capital_gain']) AS "column")
+SELECT "column", CASE "column" WHEN 'marital_status' THEN (SELECT count(*) FILTER (status IS NULL) FROM c) ELSE 0 END AS n_missing FROM m
+""")
+def census_missing(spark: SparkSession, folder: str) -> DataFrame:
+    found = jobs.census(spark, _census_files(spark, folder)).missing
+    return found.where(F.col("column").isin("age", "workclass", "marital_status", "capital_gain"))
+
+
+@query(CENSUS_SQL + """
+SELECT 'divorced' AS part, count(*) AS n, sum(gain)::bigint AS gain FROM d WHERE status = 'Divorced'
+UNION ALL SELECT '30 to 50', count(*), sum(gain)::bigint FROM d WHERE age BETWEEN 30 AND 50
+""")
+def census_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """The divorced rows and those aged 30 to 50, summed up."""
+    done = jobs.census(spark, _census_files(spark, folder))
+    parts = [df.agg(F.lit(name).alias("part"), F.count("*").alias("n"), F.sum("capital_gain").alias("gain"))
+             for name, df in (("divorced", done.divorced), ("30 to 50", done.aged_30_to_50))]
+    return parts[0].unionByName(parts[1])
+
+
+@query("""
+WITH p AS (SELECT *, row_number() OVER (PARTITION BY p_name ORDER BY CASE p_size % 3 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 2 END, p_partkey) AS i FROM part)
+SELECT p_name AS car_model, p_size::int AS year_of_manufacture, round_even(p_retailprice / 7.0::double, 2) AS price, p_brand AS fuel FROM p WHERE i = 1
+""")
+def used_cars(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts as cars over files of three formats, the CSV columns in another order: the first of each model, prices rounded."""
+    path = scratch_path(spark, "cars")
+    cars = table(spark, folder, "part").select(
+        F.col("p_name").alias("car_model"), F.col("p_size").cast("int").alias("year_of_manufacture"),
+        (F.col("p_retailprice") / 7.0).alias("price"), F.col("p_brand").alias("fuel"), F.col("p_partkey").alias("k"),
+    ).orderBy("k")
+    part = F.col("year_of_manufacture") % 3
+    writers.write_csv(cars.where(part == 0).select("fuel", "price", "year_of_manufacture", "car_model"), f"{path}/a")
+    writers.write_jsonl(cars.where(part == 1).drop("k"), f"{path}/b")
+    writers.write_xml(cars.where(part == 2).drop("k"), f"{path}/c")
+    return jobs.used_cars(spark, path)
+
+
+RATE_PAGES_SQL = "WITH r AS (SELECT c_custkey, (c_custkey % 90)::int AS k FROM customer) "
+
+
+def _rate_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages as the two stored ones are built, a figure of each customer in them; dashes as character references."""
+    k = (F.col("c_custkey") % 90).cast("int").cast("string")
+    cut = [[F.lit(t) if t != "K" else k for t in part.split("~")] for part in (
+        '<ul class="wide block-list"><li>first</li></ul><ul class="block-list"><li>About one in ten <b>men</b> (~K~.5%)</li>'
+        "<li>women (~K~.1%)</li></ul>",
+        '<ul class="block-list"><li>aged 18&ndash;24 years (~K~.2%)</li><li>aged 25&#8211;44 years (~K~.4%)</li>'
+        "<li>aged 65 years and older (~K~.3%)</li><li>others (1%)</li></ul>",
+        '<div class="chart-data-wrapper"><pre class="chart-caption">' + jobs.RATE_CAPTION + '</pre><pre class="chart-data">[[1],[2],[3],[4],[5],[6],[7],'
+        "[[~K~.6,0.1],[~K~.7,0.2,0.3],[1.5]]]</pre></div>",
+    )]
+    html = F.concat(*[x for part in cut for x in part])
+    return table(spark, folder, "customer").select("c_custkey", html.alias("html"))
+
+
+def _rates(df: DataFrame, by: str) -> DataFrame:
+    return rounded(df.groupBy(by).agg(F.count("*").alias("n"), F.sum("percentage").alias("total")), 6, "total")
+
+
+@query(RATE_PAGES_SQL + """
+SELECT 'male' AS gender, count(*) AS n, round(sum((k + 0.5) / 100.0::double), 6) AS total FROM r
+UNION ALL SELECT 'female', count(*), round(sum((k + 0.1) / 100.0::double), 6) FROM r
+""")
+def rates_by_sex(spark: SparkSession, folder: str) -> DataFrame:
+    return _rates(jobs.sex_rates(_rate_pages(spark, folder)), "gender")
+
+
+@query(RATE_PAGES_SQL + """
+SELECT '18–24 years' AS age_range, count(*) AS n, round(sum((k + 0.2) / 100.0::double), 6) AS total FROM r
+UNION ALL SELECT '25–44 years', count(*), round(sum((k + 0.4) / 100.0::double), 6) FROM r
+UNION ALL SELECT '65 years and older', count(*), round(sum((k + 0.3) / 100.0::double), 6) FROM r
+""")
+def rates_by_coarse_age(spark: SparkSession, folder: str) -> DataFrame:
+    return _rates(jobs.age_rates_coarse(_rate_pages(spark, folder)), "age_range")
+
+
+@query(RATE_PAGES_SQL + """
+SELECT '15-17' AS age_range, count(*) AS n, round(sum((k + 0.6) / 100.0::double), 6) AS total FROM r
+UNION ALL SELECT '18-24', count(*), round(sum((k + 0.7) / 100.0::double), 6) FROM r
+UNION ALL SELECT '25-34', count(*), round(sum(0.015::double), 6) FROM r
+""")
+def rates_by_fine_age(spark: SparkSession, folder: str) -> DataFrame:
+    return _rates(jobs.age_rates_fine(_rate_pages(spark, folder)), "age_range")
+
+
+def _flights(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The flight job on items: quantity for distance, price for air time, tax and discount for delays, some missing."""
+    flights = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").alias("Distance"), F.col("l_extendedprice").alias("AirTime"),
+        F.col("l_tax").alias("DepDelay"), F.when(F.col("l_linestatus") == "O", F.col("l_discount")).alias("ArrDelay"),
+        F.when(F.col("l_returnflag") == "R", F.col("l_tax")).alias("LateAircraftDelay"),
+    )
+    return jobs.flights(flights, 10.0, ["DepDelay", "ArrDelay", "LateAircraftDelay"])
+
+
+FLIGHTS_SQL = """
+WITH f AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_quantity AS d, l_extendedprice AS a, l_tax AS dep,
+  CASE WHEN l_linestatus = 'O' THEN l_discount END AS arr, CASE WHEN l_returnflag = 'R' THEN l_tax END AS late FROM lineitem)
+"""
+
+
+@query(FLIGHTS_SQL + """
+SELECT CASE WHEN arr IS NOT NULL AND late IS NOT NULL THEN 'Both' WHEN arr IS NOT NULL THEN 'Only Arrival' ELSE 'Only Late Aircraft' END AS type,
+  count(*) AS n, round(sum(coalesce(arr, 0)), 4) AS arr, round(sum(coalesce(late, 0)), 4) AS late
+FROM f WHERE arr IS NOT NULL OR late IS NOT NULL GROUP BY 1
+""")
+def flights_by_pattern(spark: SparkSession, folder: str) -> DataFrame:
+    found = _flights(spark, folder)["pattern"].groupBy("type").agg(
+        F.count("*").alias("n"), F.sum("ArrDelay").alias("arr"), F.sum("LateAircraftDelay").alias("late"))
+    return rounded(found, 4, "arr", "late")
+
+
+def _pair_sql(test: str) -> str:
+    cells = {"DepDelay": "dep", "ArrDelay": "arr", "LateAircraftDelay": "late"}
+    rows = []
+    for a, b in (("DepDelay", "ArrDelay"), ("DepDelay", "LateAircraftDelay"), ("ArrDelay", "LateAircraftDelay")):
+        x, y = (f"CASE WHEN {cells[c]} {test} 0 THEN {cells[c]} END" for c in (a, b))
+        rows.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({x}, {y}), 6) AS r, count(*) FILTER (({x}) IS NOT NULL AND ({y}) IS NOT NULL) AS n FROM f")
+    return FLIGHTS_SQL + " UNION ALL ".join(rows)
+
+
+@query(_pair_sql(">"))
+def flight_correlations(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(_flights(spark, folder)["correlations"], 6, "r")
+
+
+@query(_pair_sql(">="))
+def flight_correlations_from_zero(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(_flights(spark, folder)["correlations_from_zero"], 6, "r")
+
+
+def _box_sql(source: str) -> str:
+    rows = []
+    for name, c in (("DepDelay", "dep"), ("ArrDelay", "arr"), ("LateAircraftDelay", "late")):
+        rows.append(f"""SELECT '{name}' AS "column", round(q1, 6) AS q1, round(q2, 6) AS median, round(q3, 6) AS q3, round(q3 - q1, 6) AS iqr,
+          round(min(x) FILTER (x >= q1 - 1.5 * (q3 - q1) AND x <= q3 + 1.5 * (q3 - q1)), 6) AS whisker_lo,
+          round(max(x) FILTER (x >= q1 - 1.5 * (q3 - q1) AND x <= q3 + 1.5 * (q3 - q1)), 6) AS whisker_hi,
+          count(*) FILTER (x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1)) AS n_outliers
+        FROM (SELECT {c} AS x FROM {source}), (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5) AS q2, quantile_cont({c}, 0.75) AS q3 FROM {source})
+        GROUP BY q1, q2, q3""")
+    return FLIGHTS_SQL + ", late_ones AS (SELECT * FROM f WHERE dep >= 0 AND arr >= 0) " + " UNION ALL ".join(rows)
+
+
+BOX_FIGURES = ("q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi")
+
+
+@query(_box_sql("f"))
+def flight_boxes(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(_flights(spark, folder)["boxes"], 6, *BOX_FIGURES)
+
+
+@query(_box_sql("late_ones"))
+def flight_late_boxes(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(_flights(spark, folder)["late_boxes"], 6, *BOX_FIGURES)
+
+
+@query(FLIGHTS_SQL + """
+SELECT 'Distance' AS "column", round(sum(power(d - m, 3)) / count(*) / power(var_pop(d), 1.5), 5) AS skew,
+  round(sum(power(d - m, 4)) / count(*) / power(var_pop(d), 2) - 3, 5) AS kurtosis FROM f, (SELECT avg(d) AS m FROM f)
+UNION ALL SELECT 'AirTime', round(sum(power(a - m, 3)) / count(*) / power(var_pop(a), 1.5), 5),
+  round(sum(power(a - m, 4)) / count(*) / power(var_pop(a), 2) - 3, 5) FROM f, (SELECT avg(a) AS m FROM f)
+""")
+def flight_shape(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(_flights(spark, folder)["shape"], 5, "skew", "kurtosis")
+
+
 @query("""
 WITH f AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_quantity AS d, l_extendedprice AS a FROM lineitem)
 SELECT (ceil(d / 10.0::double) - 1)::int AS bin, round(avg(a), 4) AS mean, round(stddev_samp(a), 4) AS std, round(skewness(a), 5) AS skew,
