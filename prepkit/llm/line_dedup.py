@@ -57,8 +57,6 @@ def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_keys(rows: DataFrame, min_docs: int, min_chars: int, most_bytes: int = MOST_BYTES) -> tuple[DataFrame, DataFrame]:
     """((id, key) of the suspected lines, (key, n_docs, first_id) of the keys in at least ``min_docs`` documents).
-
-    The filters need ``min_docs`` of 2 or more, since they find what occurs twice.
     """
     keys = F.filter(F.array_distinct(F.transform(_lines("text"), line_key)), lambda k: F.char_length(k) >= min_chars)
     listed = rows.select("id", F.explode(keys).alias("key")).withColumn("hash", F.xxhash64("key"))
@@ -81,6 +79,8 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep: st
     """
     if keep not in ("none", "first"):
         raise ValueError(f"keep must be 'none' or 'first', not {keep!r}")
+    if min_docs < 2:
+        raise ValueError("the filters find what occurs twice: min_docs must be 2 or more")
     rows = packed(docs, id_col, text_col)
     known = F.struct(F.coalesce(F.col("id").cast("long"), F.lit(0)).alias("n"), F.col("id").isNull().alias("no_id"))
     suspects, found = repeated_keys(rows.select(known.alias("id"), "text"), min_docs, min_chars, most_bytes)

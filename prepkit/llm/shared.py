@@ -2,33 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prepkit.session import scratch_path
+from prepkit.sources.frozen import frozen
 
 #: Rows and bytes up to which a measured table may be broadcast.
 SMALL_ROWS, SMALL_BYTES = 200_000, 32 << 20
 
-_WRITTEN: list[tuple[SparkSession, str]] = []
-
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: cuts lineage and survives lost executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    _WRITTEN.append((df.sparkSession, path))
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def forget(spark: SparkSession) -> int:
-    """Delete the tables ``stored`` wrote for this session; call it once their results are saved."""
-    mine = [x for x in _WRITTEN if x[0] is spark]
-    for _, path in mine:
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-        _WRITTEN.remove((spark, path))
-    return len(mine)
+    return frozen(df, name)
 
 
 def measured(df: DataFrame, *texts: str) -> tuple[int, int]:

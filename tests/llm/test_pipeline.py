@@ -2,7 +2,7 @@ import corpus_pipeline
 import pytest
 
 from prepkit.llm import registry
-from prepkit.llm.shared import forget
+from prepkit.sources.frozen import release
 
 SF = "/root/testdata/sf0.001"
 
@@ -62,6 +62,6 @@ def test_queries_with_sql_equal_it(spark):
         assert table_of(df.columns, df.collect()) == table_of([d[0] for d in found.description], found.fetchall()), name
 
 
-def test_written_tables_can_be_forgotten(spark):
+def test_written_tables_can_be_released(spark):
     registry.QUERIES["op7_mix_sources"](spark, SF).collect()
-    assert forget(spark) > 0 and forget(spark) == 0
+    assert release(spark) > 0 and release(spark) == 0
