@@ -132,6 +132,19 @@ def rate_by_bracket(value: str | Column, brackets: Sequence[Bracket], rates: Map
     return plain * (factor if isinstance(factor, Column) else F.lit(float(factor)))
 
 
+def check_indexable(df: DataFrame, strings: Sequence[str], limit: int = 10_000) -> None:
+    """Raise if a string column has more values than an index held by the driver and the model should.
+
+    One approximate pass over all columns; within its error, a column near the limit may go either way.
+    """
+    if not strings:
+        return
+    found = df.agg(*[F.approx_count_distinct(c).alias(c) for c in strings]).first()
+    wide = {c: found[c] for c in strings if found[c] > limit}
+    if wide:
+        raise ValueError(f"too many values to index, encode them by frequency_index or leave them out: {wide}")
+
+
 def index_and_impute(numeric: Sequence[str], strings: Sequence[str]) -> Pipeline:
     """ML stages: mean-filled numbers as ``Imputed{c}``, mode-filled indexes as ``Imputed{c}Index``.
 

@@ -21,6 +21,7 @@ from prepkit.functions.markup import tokens
 from prepkit.operators.columns import columns_of, nan_to_null
 from prepkit.operators.lookup import bounded
 from prepkit.operators.ranking import running_totals
+from prepkit.sources.frozen import frozen
 
 # Distinct values a single exact-percentile buffer may hold.
 BUFFER_VALUES = 200_000
@@ -181,17 +182,44 @@ class _Target:
             self.k, self.inside, self.lo = self.k - passed, self.inside - passed, b
 
 
-def _order_statistics(df: DataFrame, wanted: Mapping[str, set[int]], counts: Mapping[str, int], limit: int,
-                      accuracy: int) -> dict[tuple[str, int], Any]:
-    """Exact order statistics of large columns by narrowing intervals.
+def _settle(df: DataFrame, placed: Sequence[tuple[Sequence[_Target], Any, Any]]) -> None:
+    """Count the cells around each pair of bounds, all pairs in one aggregate, and narrow their targets."""
+    tests = []
+    for i, (group, a, b) in enumerate(placed):
+        cell = group[0].cell()
+        tests += [
+            F.count_if(cell < F.lit(a)).alias(f"{i} below"),
+            F.count_if(cell == F.lit(a)).alias(f"{i} a"),
+            F.count_if((cell > F.lit(a)) & (cell < F.lit(b))).alias(f"{i} between"),
+            F.count_if((cell == F.lit(b)) & F.lit(b > a)).alias(f"{i} b"),
+        ]
+    found = df.agg(*tests).first()
+    for i, (group, a, b) in enumerate(placed):
+        for t in group:
+            t.advance(a, b, *[found[f"{i} {part}"] for part in ("below", "a", "between", "b")])
+
 
-    Each round asks an approximate percentile for two bounds around every wanted rank and
-    counts the cells around them; only scalars come back. The bounds themselves leave the
+def _order_statistics(df: DataFrame, first: Sequence[tuple[Sequence[_Target], Any, Any]], limit: int, accuracy: int) -> None:
+    """Find the exact values of the targets, given bounds around each group of them.
+
+    The cells around the bounds are counted, and the few left inside intervals are put
+    aside; from then on only those are read. Each further round asks an approximate
+    percentile for two bounds around every wanted rank. The bounds themselves leave the
     interval, so a value held by many rows cannot stall the narrowing.
     """
-    targets = {(c, k): _Target(c, k, counts[c]) for c, ks in wanted.items() for k in ks}
+    targets = [t for group, _, _ in first for t in group]
+    _settle(df, first)
+    left = [t for t in targets if t.value is None]
+    if not left:
+        return
+    inside: dict[str, Column] = {}
+    for members in _by_interval(left):
+        held = members[0].cell().isNotNull()
+        inside[members[0].column] = inside[members[0].column] | held if members[0].column in inside else held
+    cells = df.select(*[F.when(test, F.col(c)).alias(c) for c, test in inside.items()])
+    df = frozen(cells.dropna("all"), "narrowed")
     while True:
-        open_ = [t for t in targets.values() if t.value is None and t.inside > limit]
+        open_ = [t for t in targets if t.value is None and t.inside > limit]
         if not open_:
             break
         # One aggregate serves all ranks of an interval, and one pair of bounds serves neighbours.
@@ -199,30 +227,17 @@ def _order_statistics(df: DataFrame, wanted: Mapping[str, set[int]], counts: Map
         margin = 2.0 / accuracy
         asked = []
         for i, (members, groups) in enumerate(pairs):
-            inside = members[0].inside
+            size = members[0].inside
             shares = [
                 share for group in groups
-                for share in (max(group[0].k / inside - margin, 0.0), min((group[-1].k + 1) / inside + margin, 1.0))
+                for share in (max(group[0].k / size - margin, 0.0), min((group[-1].k + 1) / size + margin, 1.0))
             ]
             asked.append(F.percentile_approx(members[0].cell(), shares, accuracy).alias(str(i)))
         guesses = df.agg(*asked).first()
-        placed = [
+        _settle(df, [
             (group, *guesses[str(i)][2 * j : 2 * j + 2]) for i, (_, groups) in enumerate(pairs) for j, group in enumerate(groups)
-        ]
-        tests = []
-        for i, (group, a, b) in enumerate(placed):
-            cell = group[0].cell()
-            tests += [
-                F.count_if(cell < F.lit(a)).alias(f"{i} below"),
-                F.count_if(cell == F.lit(a)).alias(f"{i} a"),
-                F.count_if((cell > F.lit(a)) & (cell < F.lit(b))).alias(f"{i} between"),
-                F.count_if((cell == F.lit(b)) & F.lit(b > a)).alias(f"{i} b"),
-            ]
-        found = df.agg(*tests).first()
-        for i, (group, a, b) in enumerate(placed):
-            for t in group:
-                t.advance(a, b, *[found[f"{i} {part}"] for part in ("below", "a", "between", "b")])
-    rest = _by_interval([t for t in targets.values() if t.value is None])
+        ])
+    rest = _by_interval([t for t in targets if t.value is None])
     if rest:
         sorted_cells = [F.sort_array(F.collect_list(members[0].cell())) for members in rest]
         gathered = df.agg(*[
@@ -232,7 +247,6 @@ def _order_statistics(df: DataFrame, wanted: Mapping[str, set[int]], counts: Map
         for i, members in enumerate(rest):
             for t, value in zip(members, gathered[str(i)]):
                 t.value = value
-    return {key: t.value for key, t in targets.items()}
 
 
 def _by_interval(targets: Sequence[_Target]) -> list[list[_Target]]:
@@ -254,23 +268,28 @@ def _neighbours(members: Sequence[_Target]) -> list[list[_Target]]:
     return groups
 
 
-def quantiles(
+def _quantiles_and(
     df: DataFrame,
     columns: Sequence[str],
     probs: Sequence[float],
+    also: Sequence[Column] = (),
     buffer_values: int = BUFFER_VALUES,
     gathered_values: int = GATHERED_VALUES,
     accuracy: int = 1_000,
-) -> dict[str, list[float | None]]:
-    """Exact quantiles with linear interpolation, NULLs ignored.
+) -> tuple[dict[str, list[float | None]], Any]:
+    """Exact quantiles, and the row of the aggregates ``also`` (named), which the first scan takes along.
 
-    Columns of few distinct values go through one ``percentile`` aggregate; the others
-    are narrowed down by repeated scans that exchange scalars only, without a shuffle.
+    At most three scans read ``df`` whole: counts with bounds around the quantiles, the
+    cells around the bounds, and the few cells inside them, which are put aside.
     """
     df = nan_to_null(df.select(*dict.fromkeys(columns)))
+    margin = 2.0 / accuracy
+    shares = [min(max(p + side, 0.0), 1.0) for p in probs for side in (-margin, margin)]
     probe = df.agg(
         *[F.count(c).alias(f"{c} n") for c in columns],
         *[F.approx_count_distinct(c, 0.05).alias(f"{c} d") for c in columns],
+        *[F.percentile_approx(c, shares, accuracy).alias(f"{c} b") for c in columns],
+        *also,
     ).first()
     out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns if not probe[f"{c} n"]}
     few = [c for c in columns if c not in out and probe[f"{c} d"] <= buffer_values]
@@ -280,16 +299,39 @@ def quantiles(
         row = df.agg(*[F.percentile(c, asked).alias(c) for c in few]).first()
         out.update({c: list(row[c]) for c in few})
     if many:
-        places = {c: [p * (probe[f"{c} n"] - 1) for p in probs] for c in many}
-        wanted = {c: {math.floor(x) for x in xs} | {math.ceil(x) for x in xs} for c, xs in places.items()}
-        counts = {c: probe[f"{c} n"] for c in many}
-        found = _order_statistics(df, wanted, counts, gathered_values, accuracy)
-        for c, xs in places.items():
+        found: dict[tuple[str, int], _Target] = {}
+        first = []
+        for c in many:
+            n = probe[f"{c} n"]
+            for i, p in enumerate(probs):
+                x = p * (n - 1)
+                group = [found.setdefault((c, k), _Target(c, k, n)) for k in {math.floor(x), math.ceil(x)} if (c, k) not in found]
+                if group:
+                    first.append((group, *probe[f"{c} b"][2 * i : 2 * i + 2]))
+        _order_statistics(df, first, gathered_values, accuracy)
+        for c in many:
             out[c] = []
-            for x in xs:
-                low, high = float(found[c, math.floor(x)]), float(found[c, math.ceil(x)])
+            for p in probs:
+                x = p * (probe[f"{c} n"] - 1)
+                low, high = float(found[c, math.floor(x)].value), float(found[c, math.ceil(x)].value)
                 out[c].append(low if low == high else low * (math.ceil(x) - x) + high * (x - math.floor(x)))
-    return {c: out[c] for c in columns}
+    return {c: out[c] for c in columns}, probe
+
+
+def quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probs: Sequence[float],
+    buffer_values: int = BUFFER_VALUES,
+    gathered_values: int = GATHERED_VALUES,
+    accuracy: int = 1_000,
+) -> dict[str, list[float | None]]:
+    """Exact quantiles with linear interpolation, missing cells ignored.
+
+    Columns of few distinct values go through one ``percentile`` aggregate; the others
+    are narrowed down by bounds and counts, without a shuffle of their values.
+    """
+    return _quantiles_and(df, columns, probs, (), buffer_values, gathered_values, accuracy)[0]
 
 
 def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float], approximate: bool = False) -> DataFrame:
@@ -347,26 +389,16 @@ def group_quantiles(
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``column, n, mean, std, min, q25, q50, q75, max`` of numeric columns."""
-    found = quantiles(df, columns, [0.25, 0.5, 0.75])
-
-    def quantile(c: str, i: int) -> Column:
-        return F.lit(found[c][i]).cast("double")
-
-    return _long([
-        {
-            "column": F.lit(c),
-            "n": F.count(c),
-            "mean": F.avg(c),
-            "std": F.stddev_samp(c),
-            "min": F.min(F.col(c).cast("double")),
-            "q25": quantile(c, 0),
-            "q50": quantile(c, 1),
-            "q75": quantile(c, 2),
-            "max": F.max(F.col(c).cast("double")),
-        }
-        for c in columns
-    ], df)
+    """``column, n, mean, std, min, q25, q50, q75, max`` of numeric columns; NaN counts as missing."""
+    moments = []
+    for c in columns:
+        cell = F.col(c).cast("double")
+        moments += [F.avg(c).cast("double").alias(f"{c} mean"), F.stddev_samp(c).alias(f"{c} std"),
+                    F.min(cell).alias(f"{c} min"), F.max(cell).alias(f"{c} max")]
+    found, row = _quantiles_and(df, columns, [0.25, 0.5, 0.75], moments)
+    rows = [(c, row[f"{c} n"], row[f"{c} mean"], row[f"{c} std"], row[f"{c} min"], *found[c], row[f"{c} max"]) for c in columns]
+    kinds = "column string, n bigint, mean double, std double, min double, q25 double, q50 double, q75 double, max double"
+    return df.sparkSession.createDataFrame(rows, kinds)
 
 
 def corr_matrix(

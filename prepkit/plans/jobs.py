@@ -230,7 +230,9 @@ def passengers(
 ) -> tuple[models.Search, DataFrame]:
     """Forest over filled, multiplied and squared columns, chosen by AUC: the search and ``auc, max_depth``."""
     roles = Roles.of(df, label, [key, *ignored])
-    train, test = split.random_split(frozen(df, "passengers"), [share, 1.0 - share], key, seed)
+    kept = frozen(df, "passengers")
+    impute.check_indexable(kept, roles.categorical)
+    train, test = split.random_split(kept, [share, 1.0 - share], key, seed)
     stages = models.passenger_stages(roles.numerical, roles.categorical)
     search = models.grid_search(train, stages, models.classifier("Random Forest", label, seed=seed),
                                 grid or models.FOREST_GRID, key, "areaUnderROC", folds, stratify=False, seed=seed)

@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prepkit.operators.lookup import join_keep_left
-from prepkit.operators.scale import fit_minmax, scaling_table
+from prepkit.operators.scale import fit_minmax, load_scalings, scaling_table
 from prepkit.operators.split import random_split, with_part
 from prepkit.plans import jobs, models, robustness, scoring
 from prepkit.queries.registry import dirty, query, rounded, table, unit_sql
+from prepkit.session import scratch_path
 from prepkit.sources.frozen import frozen
+from prepkit.sources.readers import read_parquet
+from prepkit.sources.writers import write_parquet
 
 FEATURES = ["n_chars", "n_tokens", "n_lines", "n_digits"]
 
@@ -201,6 +204,24 @@ def engineered_scalings(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(rounded(found, 4, "data_min", "data_max"), 8, "scale", "min")
 
 
+@query("""
+WITH t AS (SELECT p_size::double AS a, p_retailprice AS b FROM part),
+u AS (SELECT 'p_size' AS name, min(a) AS lo, max(a) AS hi FROM t UNION ALL SELECT 'p_retailprice', min(b), max(b) FROM t
+  UNION ALL SELECT 'p_size*p_retailprice', min(a * b), max(a * b) FROM t)
+SELECT name, round(lo, 4) AS data_min, round(hi, 4) AS data_max, round(1 / (hi - lo), 8) AS scale, round(-lo / (hi - lo), 8) AS min FROM u
+""")
+def appended_scalings(spark: SparkSession, folder: str) -> DataFrame:
+    """Scalings of the raw columns stored as a table, those of the products appended to it, all read again."""
+    names = ["p_size", "p_retailprice"]
+    part = table(spark, folder, "part").select(F.col("p_size").cast("double").alias("p_size"), "p_retailprice")
+    path = scratch_path(spark, "scalings")
+    write_parquet(scaling_table(spark, fit_minmax(part, names)), path)
+    made = robustness.engineered(part, names, "product")
+    write_parquet(scaling_table(spark, fit_minmax(made, [c for c in made.columns if c not in names])), path, mode="append")
+    stored = scaling_table(spark, load_scalings(read_parquet(spark, path)))
+    return rounded(rounded(stored, 4, "data_min", "data_max"), 8, "scale", "min")
+
+
 @query("""
 SELECT quality::double AS quality, count(*) AS n, round((SELECT count(*) FROM labels JOIN documents USING (doc_id)) /
   (2.0::double * count(*)), 6) AS weight FROM labels JOIN documents USING (doc_id) GROUP BY 1

@@ -228,3 +228,12 @@ def test_flight_job(spark):
     assert [r["median"] for r in got] == pytest.approx(list(want["median"]))
     assert done["pattern"].groupBy("type").count().count() == 2
     assert {r["column"]: r["q1"] >= 0 for r in done["positive_boxes"].collect()}["DepDelay"]
+
+
+def test_columns_of_too_many_values_are_not_indexed(spark):
+    from prepkit.operators.impute import check_indexable
+
+    df = spark.range(2000).select(F.col("id").cast("string").alias("wide"), (F.col("id") % 3).cast("string").alias("narrow"))
+    check_indexable(df, ["narrow"], 100)
+    with pytest.raises(ValueError, match="wide"):
+        check_indexable(df, ["wide", "narrow"], 100)
