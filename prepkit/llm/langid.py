@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from prepkit.llm.shared import fold_of, packed, stored, text_of
+from prepkit.llm.shared import bounded, fold_of, may_be_among, packed, stored, text_of
 from prepkit.llm.shingles import U, bytes_of, mixed, pieces
 
 #: Rows learned from, for each language and in all; size of the hashed counts.
@@ -181,8 +181,10 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE, sample: int = SAMPL
     known = docs.where(F.col(f"`{lang_col}`").isNotNull() & F.col(f"`{id_col}`").isNotNull()).where(fold_of(id_col) != 0)
     ids = known.select(F.col(f"`{id_col}`").alias("at"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
     ids = ids.withColumn("hash", F.xxhash64("at"))
+    sizes = stored(ids.groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("n")), "lang-sizes")
+    low = ids.join(bounded(sizes, "of"), F.col("lang") == F.col("of")).where(may_be_among("hash", per_language, F.col("n")))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("hash", "at"))
-    chosen = ids.withColumn("rank", rank).where(F.col("rank") <= per_language).orderBy("rank", "hash", "at").limit(sample)
+    chosen = low.withColumn("rank", rank).where(F.col("rank") <= per_language).orderBy("rank", "hash", "at").limit(sample)
     chosen = stored(chosen.select("at", "lang").distinct(), "lang-sample")
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang_col}`").cast("string").alias("lang"), text_of(text_col).alias("text"))
     rows = texts.join(F.broadcast(chosen.withColumnRenamed("lang", "of")), (F.col("id") == F.col("at")) & (F.col("lang") == F.col("of")))

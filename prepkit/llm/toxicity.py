@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prepkit.llm.shared import fold_of, packed, stored, text_of, unpacked
+from prepkit.llm.shared import fold_of, may_be_among, packed, stored, text_of, unpacked
 
 WORD = re.compile(r"[^\W_]+")
 QUOTES = re.compile(r"[\"“”„«»‹›]")
@@ -173,7 +173,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int =
     """
     chosen = labels.where(f"{id_col} IS NOT NULL AND toxic IS NOT NULL").where(fold_of(id_col) != 0)
     chosen = chosen.groupBy(F.col(id_col).alias("id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    chosen = stored(chosen.orderBy(F.xxhash64("id"), "id").limit(sample), "toxic-sample")
+    chosen = stored(chosen.withColumn("hash", F.xxhash64("id")), "toxic-labels")
+    low = chosen.where(may_be_among("hash", sample, F.lit(max(1, chosen.count()))))
+    chosen = stored(low.orderBy("hash", "id").limit(sample).select("id", "toxic"), "toxic-sample")
     rows = docs.select(F.col(f"`{id_col}`").alias("at"), text_of(text_col).alias("text"))
     rows = rows.join(F.broadcast(chosen), F.col("at") == F.col("id")).select("toxic", "text").distinct()
     rows = stored(rows, "toxic-texts")

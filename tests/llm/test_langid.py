@@ -58,3 +58,13 @@ def test_odd_rows(odd, odd_rows, empty, docs, spoken):
     assert langid.identified(empty).collect() == []
     assert {r.lang_pred for r in langid.identified(docs([(i, "words here", None, "a") for i in range(9)])).collect()} == {"und"}
     assert {r.lang_pred for r in langid.identified(docs([(i, "words here", "aa", "a") for i in range(9)])).collect()} == {"aa"}
+
+
+def test_the_sample_holds_the_smallest_hashes(spark):
+    from pyspark.sql import functions as F
+
+    from prepkit.llm.shared import may_be_among
+    ids = spark.range(20_000).withColumn("hash", F.xxhash64("id"))
+    low = ids.where(may_be_among("hash", 500, F.lit(20_000)))
+    assert 1_500 < low.count() < 2_500
+    assert low.orderBy("hash").limit(500).collect() == ids.orderBy("hash").limit(500).collect()
