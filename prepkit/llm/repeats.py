@@ -159,19 +159,26 @@ def _marks(rows: list[dict], length: int) -> tuple[list, list, list, list]:
 
 
 def _shards(length: int):
-    """Rows sorted by shard, one run to a shard."""
+    """Rows sorted by shard and key, one run to a shard; keys of a single segment that cannot repeat itself are skipped."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def emit(rows):
             return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _marks(rows, length)], ["first", "tie", "start", "stop"])
 
-        held, shard = [], None
+        held, same, at = [], [], None
         for b in batches:
             for r in b.to_pylist():
-                if r["shard"] != shard and held:
-                    yield emit(held)
-                    held = []
-                shard = r["shard"]
-                held.append(r)
+                now = (r["shard"], r["key"])
+                if now != at:
+                    if len(same) > 1 or same and same[0]["again"]:
+                        held += same
+                    same = []
+                    if at and now[0] != at[0] and held:
+                        yield emit(held)
+                        held = []
+                at = now
+                same.append(r)
+        if len(same) > 1 or same and same[0]["again"]:
+            held += same
         if held:
             yield emit(held)
 
@@ -253,12 +260,14 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, key_segments: int = K
     sizes = stored(sizes, "repeat-keys")
     total = sizes.where(F.col("segments") <= key_segments).agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     shards = max(1, -(-total // shard_bytes))
-    rest = distinct.join(sizes.select("key", "segments"), "key").select("key", "segments", "lead.first", "lead.tie", "lead.start", "bytes")
-    few = rest.where(F.col("segments") <= key_segments).withColumn("shard", F.pmod(F.xxhash64("key", F.lit(3)), F.lit(shards)))
-    dealt = few.select("shard", "first", "tie", "start", "bytes").repartition("shard").sortWithinPartitions("shard")
+    hot = bounded(sizes.where(F.col("segments") > key_segments).select(F.col("key").alias("hot")))
+    few = distinct.join(hot, F.col("key") == F.col("hot"), "left_anti")
+    few = few.withColumn("shard", F.pmod(F.xxhash64("key", F.lit(3)), F.lit(shards)))
+    dealt = few.select("shard", "key", "again", "lead.first", "lead.tie", "lead.start", "bytes")
+    dealt = dealt.repartition("shard").sortWithinPartitions("shard", "key")
     marked = dealt.mapInArrow(_shards(length), "first long, tie long, start long, stop long")
 
-    many = rest.where(F.col("segments") > key_segments).select("first", "tie", "start", "bytes")
+    many = distinct.join(hot, F.col("key") == F.col("hot")).select("lead.first", "lead.tie", "lead.start", "bytes")
     windows = many.mapInArrow(_window_hashes(length), "one long, two long, first long, tie long, start long")
     heads = windows.groupBy("one", "two").agg(F.min(place).alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     single = windows.join(heads, ["one", "two"]).where(place != F.col("lead"))
