@@ -17,7 +17,7 @@ def frozen(df: DataFrame, name: str) -> DataFrame:
     by size, while a cached frame keeps every partition of the plan that made it.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     _WRITTEN.append((df.sparkSession, path))
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
