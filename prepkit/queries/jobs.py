@@ -112,6 +112,57 @@ def used_cars(spark: SparkSession, folder: str) -> DataFrame:
     return jobs.used_cars(spark, path)
 
 
+HEART_SQL = DIRTY + """
+, h AS (SELECT event_id, age, CASE WHEN sex = 'male' THEN 1.0::double ELSE 0 END AS sex, value AS trestbps, value / 2 AS thalach,
+  CASE WHEN event_id % 10 <> 0 THEN (event_id % 60) / 10.0::double END AS oldpeak, nullif(event_id % 23, 0)::double AS thaldur,
+  flag::double AS fbs, CASE WHEN event_id % 9 <> 0 THEN (event_id % 2)::double END AS painloc,
+  CASE WHEN event_id % 4 <> 0 THEN (event_id % 3 + 1)::double END AS slope, CASE WHEN event_id % 5 <> 0 THEN (event_id % 4 + 1)::double END AS cp FROM dirty),
+fits AS (SELECT avg(trestbps) FILTER (trestbps >= 100) AS m1, avg(thalach) AS m2, avg(oldpeak) FILTER (oldpeak BETWEEN 0 AND 4) AS m3, avg(thaldur) AS m4,
+  (SELECT fbs FROM h WHERE fbs <= 1 GROUP BY fbs ORDER BY count(*) DESC, fbs LIMIT 1) AS o1,
+  (SELECT painloc FROM h WHERE painloc IS NOT NULL GROUP BY painloc ORDER BY count(*) DESC, painloc LIMIT 1) AS o2,
+  (SELECT slope FROM h WHERE slope IS NOT NULL GROUP BY slope ORDER BY count(*) DESC, slope LIMIT 1) AS o3,
+  (SELECT cp FROM h WHERE cp IS NOT NULL GROUP BY cp ORDER BY count(*) DESC, cp LIMIT 1) AS o4 FROM h)
+"""
+
+
+@query(HEART_SQL + """
+SELECT event_id, round(CASE WHEN trestbps >= 100 THEN trestbps ELSE m1 END, 6) AS trestbps, round(coalesce(thalach, m2), 6) AS thalach,
+  round(CASE WHEN oldpeak BETWEEN 0 AND 4 THEN oldpeak ELSE m3 END, 6) AS oldpeak, round(coalesce(thaldur, m4), 6) AS thaldur,
+  CASE WHEN fbs <= 1 THEN fbs ELSE o1 END AS fbs, coalesce(painloc, o2) AS painloc, coalesce(slope, o3) AS slope, coalesce(cp, o4) AS cp
+FROM h, fits
+""")
+def heart_cleaned(spark: SparkSession, folder: str) -> DataFrame:
+    """The heart-disease cleaning with gaps and bad values in the columns it repairs by means and by modes."""
+    k = F.col("event_id")
+    df = dirty(spark, folder)
+    given = {
+        "age": F.col("age"), "sex": (F.col("sex") == "male").cast("double"), "trestbps": F.col("value"), "thalach": F.col("value") / 2,
+        "oldpeak": F.when(k % 10 != 0, (k % 60) / 10.0), "thaldur": F.nullif(k % 23, F.lit(0)), "fbs": F.col("flag"),
+        "painloc": F.when(k % 9 != 0, k % 2), "slope": F.when(k % 4 != 0, k % 3 + 1), "cp": F.when(k % 5 != 0, k % 4 + 1),
+    }
+    columns = [given.get(c, F.lit(1.0)).cast("string").alias(c) for c in jobs.HEART_COLUMNS]
+    clean = jobs.heart_clean(df.select("event_id", *columns), "event_id")
+    numbers = ["trestbps", "thalach", "oldpeak", "thaldur"]
+    return rounded(clean.select("event_id", *numbers, "fbs", "painloc", "slope", "cp"), 6, *numbers)
+
+
+@query(HEART_SQL + """
+, c AS (SELECT event_id, CASE WHEN trestbps >= 100 THEN trestbps ELSE m1 END AS x FROM h, fits),
+q AS (SELECT quantile_cont(x, 0.25) AS a, quantile_cont(x, 0.75) AS b FROM c),
+k AS (SELECT CASE WHEN x BETWEEN a - 1.5 * (b - a) AND b + 1.5 * (b - a) THEN x END AS x FROM c, q),
+f AS (SELECT coalesce(x, (SELECT x FROM k WHERE x IS NOT NULL GROUP BY x ORDER BY count(*) DESC, x LIMIT 1)) AS x FROM k)
+SELECT round(quantile_cont(x, 0.25), 6) AS q1, round(quantile_cont(x, 0.5), 6) AS median, round(quantile_cont(x, 0.75), 6) AS q3 FROM f
+""")
+def heart_profiled(spark: SparkSession, folder: str) -> DataFrame:
+    """The profile of the cleaned heart columns: the box of blood pressure after masking and filling."""
+    k = F.col("event_id")
+    columns = [(F.col("value") if c == "trestbps" else (k % 2).cast("double") if c in jobs.HEART_ROLES.binary else F.lit(1.0)).cast("string").alias(c)
+               for c in jobs.HEART_COLUMNS]
+    clean = jobs.heart_clean(dirty(spark, folder).select("event_id", *columns), "event_id")
+    boxes = jobs.heart_profile(clean, jobs.HEART_ROLES)["boxes"].where(F.col("column") == "trestbps")
+    return rounded(boxes.select("q1", "median", "q3"), 6, "q1", "median", "q3")
+
+
 RATE_PAGES_SQL = "WITH r AS (SELECT c_custkey, (c_custkey % 90)::int AS k FROM customer) "
 
 
