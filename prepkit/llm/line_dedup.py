@@ -89,7 +89,9 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep: st
         F.collect_set("key").alias("all"),
         F.collect_set(F.when((F.col("id") == F.col("first_id")) & F.lit(keep == "first"), F.col("key"))).alias("first"),
     ).withColumnRenamed("id", "at")
-    joined = rows.withColumn("known", known).join(stored(marks, "line-marks"), F.col("known") == F.col("at"), "left")
+    # always a shuffle of the texts, so that the plan is the same at any size of the marks
+    marks = stored(marks, "line-marks").hint("merge")
+    joined = rows.withColumn("known", known).join(marks, F.col("known") == F.col("at"), "left")
     schema = joined.select("row").schema
     out = "row " + schema["row"].dataType.simpleString() + ", kept string, n_lines long, n_dropped long, kept_sha256 string"
     return joined.select("row", "text", "all", "first").mapInArrow(_cleaned, out)
