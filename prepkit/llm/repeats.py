@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prepkit.llm.bwt import repeat_groups
-from prepkit.llm.shared import bounded, stored
+from prepkit.llm.shared import bounded, stored, sweep
 from prepkit.llm.shingles import U, bytes_of, mixed, pieces, powers
 from prepkit.llm.twice import Repeats, passing
 
@@ -39,12 +39,19 @@ def _inverse(odd: np.uint64) -> np.uint64:
 
 
 def rolling(data: np.ndarray, length: int, base: np.uint64 = _BASE) -> np.ndarray:
-    """A hash of each ``length`` bytes: differences of prefix sums, moved back by the inverse power of their place."""
+    """A hash of each ``length`` bytes: differences of prefix sums, moved back by the inverse power of their place.
+
+    Its high bits are well mixed, its low ones are not.
+    """
     n = len(data) - length + 1
     if n <= 0:
         return np.zeros(0, U)
-    sums = np.concatenate([np.zeros(1, U), np.cumsum((data.astype(U) + U(1)) * powers(base, len(data)))])
-    return mixed((sums[length:] - sums[:n]) * powers(_inverse(base), n))
+    terms = (data.astype(np.uint16) + np.uint16(1)) * powers(base, len(data))
+    sums = np.cumsum(terms)
+    out = sums[length - 1:].copy()
+    out[1:] -= sums[: n - 1]
+    out *= powers(_inverse(base), n)
+    return out
 
 
 def over(values: np.ndarray, width: int, pick=np.minimum) -> np.ndarray:
@@ -78,10 +85,10 @@ def segments_of(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.n
         return none
     hashes = rolling(data, gram)
     least = over(hashes, width)
-    owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    owner = np.repeat(np.arange(len(starts) - 1, dtype=np.int32), np.diff(starts))
     whole = owner[:n] == owner[length - 1:]
     head = whole.copy()
-    head[1:] &= ~whole[:-1] | (least[1:] != least[:-1]) | (owner[1:n] != owner[: n - 1])
+    head[1:] &= ~whole[:-1] | (least[1:] != least[:-1])
     at = np.flatnonzero(head)
     if not len(at):
         return none
@@ -198,7 +205,7 @@ def _window_hashes(length: int):
                 row = pa.array(owner[at] + lo)
                 first = b.column("start").to_numpy()[lo:hi][owner[at]] + at - begin[owner[at]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rolling(mine, length, x)[at].view(np.int64)) for x in (_BASE, _BASE2)]
+                    [pa.array(mixed(rolling(mine, length, x)[at]).view(np.int64)) for x in (_BASE, _BASE2)]
                     + [b.column("first").take(row), b.column("tie").take(row), pa.array(first)], ["one", "two", "first", "tie", "start"])
 
     return run
@@ -247,10 +254,12 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, key_segments: int = K
     if shared is None:
         found = twice.suspected(found, "key")
     found = stored(found, "repeat-segments")
+    sweep(texts.sparkSession)
     place = F.struct("first", "tie", "start")
     distinct = stored(found.groupBy("key", "same").agg(
         F.min(place).alias("lead"), F.first("bytes").alias("bytes"), F.max("again").alias("again"), F.count(F.lit(1)).alias("n"),
     ), "repeat-distinct")
+    sweep(texts.sparkSession)
 
     leads = distinct.where("n > 1").select("key", "same", "lead")
     folded = found.select("key", "same", "first", "tie", "start", "windows").join(leads, ["key", "same"]).where(place != F.col("lead"))
@@ -297,6 +306,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     spans = repeated_spans(alone.select(F.col("at").alias("first"), "tie", "text"), length, **how)
     marks = spans.groupBy(F.col("first").alias("m1"), F.col("tie").alias("m2")).agg(F.collect_list(F.struct("start", "stop")).alias("marks"))
     marks = stored(marks, "repeat-marks")
+    del spans
+    sweep(docs.sparkSession)
     joined = rows.join(marks, (F.col("at") == F.col("m1")) & (F.col("tie") == F.col("m2")), "left").select("id", "text", "marks", "copy")
     kind = joined.schema["id"].dataType.simpleString()
     return joined.mapInArrow(partial(_cut, hand_on=hand_on), f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

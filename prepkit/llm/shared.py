@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import gc
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prepkit.sources.frozen import frozen
@@ -16,6 +18,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return frozen(df, name)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of steps whose results are stored.
+
+    It removes what the driver no longer refers to, which it learns when it collects garbage.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def measured(df: DataFrame, *texts: str) -> tuple[int, int]:
     """Rows, and bytes of the named text or binary columns plus 16 a row, by one aggregate."""
     size = F.lit(16)

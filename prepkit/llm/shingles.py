@@ -24,10 +24,19 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, U)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+    """1, base, base^2 ... modulo 2^64; a task keeps the longest asked for, up to a piece of text."""
+    held = _POWERS.get(int(base))
+    if held is None or len(held) < n:
+        held = np.full(max(n, 1024), base, U)
+        held[0] = 1
+        held = np.multiply.accumulate(held)
+        if len(held) <= PIECE:
+            _POWERS[int(base)] = held
+    return held[:n]
 
 
 def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
