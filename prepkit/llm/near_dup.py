@@ -199,7 +199,7 @@ def jaccard_classes(docs: DataFrame, width: int = WIDTH, similarity: float = SIM
     signed = stored(texts.mapInArrow(_signatures(bands, rows, width), schema), "minhash")
     one = F.min_by(F.struct("id", "mark", "bands", "n_words"), F.struct(F.col("id").isNull(), "id", "mark"))
     nodes = signed.where("n_words > 0").groupBy("node", "check").agg(one.alias("r"), F.count(F.lit(1)).alias("copies"))
-    nodes = stored(nodes.select("node", "copies", "r.id", "r.mark", "r.n_words", "r.bands"), "minhash-nodes")
+    nodes = stored(nodes.select("node", "check", "copies", "r.id", "r.mark", "r.n_words", "r.bands"), "minhash-nodes")
 
     spread = nodes.select("node", "n_words", F.posexplode("bands").alias("band", "bucket"))
     mark = F.xxhash64("node")
@@ -231,17 +231,17 @@ def jaccard_classes(docs: DataFrame, width: int = WIDTH, similarity: float = SIM
 
     roots = components(checked.where("y IS NOT NULL").select("x", "y"))
     links = checked.where("n IS NOT NULL").groupBy(F.col("x").alias("node")).agg(F.sum("n").alias("links"))
-    named = nodes.select("node", "copies", "id", "mark").join(roots, "node", "left").join(links, "node", "left")
-    named = stored(named.select("node", "copies", "id", "mark", F.coalesce("root", "node").alias("root"), F.coalesce("links", F.lit(0)).alias("links")), "minhash-roots")
+    named = nodes.select("node", "check", "copies", "id", "mark").join(roots, "node", "left").join(links, "node", "left")
+    named = stored(named.select("node", "check", "copies", "id", "mark", F.coalesce("root", "node").alias("root"), F.coalesce("links", F.lit(0)).alias("links")), "minhash-roots")
     first = F.min_by(F.struct("id", "mark"), F.struct(F.col("id").isNull(), "id", "mark"))
-    classes = named.join(named.groupBy("root").agg(first.alias("first")), "root").select("node", "copies", "links", "first")
+    classes = named.join(named.groupBy("root").agg(first.alias("first")), "root").select("node", "check", "copies", "links", "first")
     classes = stored(classes, "minhash-classes")
 
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     rest = signed.where("n_words = 0").select(
         F.col("id").alias("doc_id"), F.col("id").alias("class_id"), zero.alias("n_links"), one.alias("n_copies"),
         F.lit(True).alias("kept"), "mark")
-    joined = signed.where("n_words > 0").select("id", "mark", "node").join(classes, "node")
+    joined = signed.where("n_words > 0").select("id", "mark", "node", "check").join(classes, ["node", "check"])
     kept = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("mark") == F.col("first.mark"))
     return joined.select(
         F.col("id").alias("doc_id"), F.col("first.id").alias("class_id"), (F.col("links") + F.col("copies") - 1).alias("n_links"),
