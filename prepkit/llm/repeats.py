@@ -24,9 +24,9 @@ from prepkit.llm.twice import Repeats, passing
 
 LENGTH, GRAM = 100, 32
 #: Windows to a segment at most, bytes to a shard, segments of a key beyond which its windows are dealt out singly.
-SEGMENT_WINDOWS, SHARD_BYTES, KEY_SEGMENTS = 512, 1 << 19, 4096
+SEGMENT_WINDOWS, SHARD_BYTES, KEY_SEGMENTS = 512, 1 << 18, 4096
 #: Texts held as Python objects at once, and bytes worked on at once.
-AT_ONCE, PIECE = 500, 1 << 19
+AT_ONCE, PIECE = 500, 1 << 17
 
 _BASE, _BASE2 = U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F)
 

@@ -15,7 +15,7 @@ _LOWER[65:91] += 32
 #: Odd multipliers of the polynomial of a word, of the places in a shingle, and of the finishing steps.
 _BASE, _MIX1, _MIX2 = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
 #: Bytes of text worked on at once: temporaries take about 60 times as much.
-PIECE = 2 << 20
+PIECE = 1 << 19
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -28,13 +28,13 @@ _POWERS: dict[int, np.ndarray] = {}
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    """1, base, base^2 ... modulo 2^64; a task keeps the longest asked for, up to a piece of text."""
+    """1, base, base^2 ... modulo 2^64; a task keeps the longest asked for, up to half a piece of text."""
     held = _POWERS.get(int(base))
     if held is None or len(held) < n:
         held = np.full(max(n, 1024), base, U)
         held[0] = 1
         held = np.multiply.accumulate(held)
-        if len(held) <= PIECE:
+        if len(held) <= PIECE // 2:
             _POWERS[int(base)] = held
     return held[:n]
 
