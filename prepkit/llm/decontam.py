@@ -54,11 +54,11 @@ class Index:
         for k, (_, question, answer) in enumerate(items):
             every = np.array([*question, *answer], np.int64).view(U)
             lengths.append(len(every))
-            self.grams.append(self._shingles(every))
-            self.sides.append((self._shingles(np.array(question, np.int64).view(U)), self._shingles(np.array(answer, np.int64).view(U))))
+            self.grams.append(self._runs(every))
+            self.sides.append((self._runs(np.array(question, np.int64).view(U)), self._runs(np.array(answer, np.int64).view(U))))
             words, n = np.unique(every, return_counts=True)
             w = np.array([idf[x] for x in words.view(np.int64).tolist()]) * n * (K1 + 1) / (n + K1 * (1 - B + B * len(every) / mean))
-            missing = int((1 - overlap) * len(self.grams[-1]) + 1e-9)  # words a passage may lack, as each takes a shingle along
+            missing = int((1 - overlap) * len(self.grams[-1][1]) + 1e-9)  # words a passage may lack, as each takes a shingle along
             least = np.sort(w)[: max(0, len(w) - missing)].sum()
             word.append(words), item.append(np.full(len(words), k)), weight.append(w / max(least, 1e-12))
         word, item, weight = np.concatenate(word), np.concatenate(item), np.concatenate(weight)
@@ -73,8 +73,14 @@ class Index:
         self.bound = self.most.max(1).astype(float) if blocks else np.zeros(0)
         self.window = max(lengths)
 
-    def _shingles(self, words: np.ndarray) -> np.ndarray:
-        return np.unique(shingle_hashes(words, np.array([0, len(words)]), self.width)[0])
+    def _shingles(self, words: np.ndarray, width: int | None = None) -> np.ndarray:
+        """Distinct runs of ``width`` words; fewer words than that are one run of them all."""
+        return np.unique(shingle_hashes(words, np.array([0, len(words)]), width or self.width)[0])
+
+    def _runs(self, words: np.ndarray) -> tuple[int, np.ndarray]:
+        """(words to a run, the distinct runs): fewer words than a shingle's are compared as one run of as many words."""
+        width = min(self.width, max(1, len(words)))
+        return width, self._shingles(words, width)
 
     def search(self, terms: np.ndarray) -> list[int]:
         """Items whose score for these distinct terms (places in the vocabulary) reaches their threshold.
@@ -101,9 +107,9 @@ class Index:
                 out += (lo + np.flatnonzero(score >= 1 - 1e-6)).tolist()
         return out
 
-    def passages(self, words: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(item, shingles, its share of them that the passage holds) over passages of a text, each overlapping the next
-        by the longest item; only those whose words' bounds reach a threshold are searched."""
+    def passages(self, words: np.ndarray) -> Iterator[tuple[int, np.ndarray, dict[int, np.ndarray]]]:
+        """(item, words of the passage, its runs by their width as far as asked for) over passages of a text, each
+        overlapping the next by the longest item; only those whose words' bounds reach a threshold are searched."""
         place = np.searchsorted(self.vocabulary, words)
         place[place == len(self.vocabulary)] = 0
         known = self.vocabulary[place] == words
@@ -115,14 +121,17 @@ class Index:
             terms = np.unique(place[lo:hi][known[lo:hi]])
             if self.bound[terms].sum() < 1 - 1e-6:
                 continue
-            found = self.search(terms)
-            if found:
-                grams = self._shingles(words[lo:hi])
-                yield from ((i, grams) for i in found)
-
+            runs: dict[int, np.ndarray] = {}
+            yield from ((i, words[lo:hi], runs) for i in self.search(terms))
 
-def _share(mine: np.ndarray, grams: np.ndarray) -> float:
-    return float(np.isin(mine, grams, assume_unique=True).mean()) if len(mine) else 0.0
+    def share(self, mine: tuple[int, np.ndarray], words: np.ndarray, runs: dict[int, np.ndarray]) -> float:
+        """The share of ``mine`` among the passage's runs of as many words."""
+        width, grams = mine
+        if not len(grams):
+            return 0.0
+        if width not in runs:
+            runs[width] = self._shingles(words, width)
+        return float(np.isin(grams, runs[width], assume_unique=True).mean())
 
 
 def _searched(index):
@@ -136,10 +145,10 @@ def _searched(index):
                 words, firsts = word_hashes(data[starts[lo]:starts[hi]], starts[lo:hi + 1] - starts[lo])
                 for k in range(hi - lo):
                     best: dict[int, tuple[float, float, float]] = {}
-                    for i, grams in ix.passages(words[firsts[k]:firsts[k + 1]]):
-                        share = _share(ix.grams[i], grams)
+                    for i, *passage in ix.passages(words[firsts[k]:firsts[k + 1]]):
+                        share = ix.share(ix.grams[i], *passage)
                         if share >= ix.overlap - 1e-9:
-                            best[i] = max(best.get(i, (0.0,)), (share, *[_share(s, grams) for s in ix.sides[i]]))
+                            best[i] = max(best.get(i, (0.0,)), (share, *[ix.share(s, *passage) for s in ix.sides[i]]))
                     rows += [lo + k] * len(best)
                     items += [ix.ids[i] for i in best]
                     shares += best.values()
@@ -157,8 +166,9 @@ def leaks(docs: DataFrame, items: DataFrame, overlap: float = OVERLAP, width: in
 
     An item is found if a passage of the text holds the share ``overlap`` of its ``width``-word shingles, question and
     answer together; the last columns say how much of each. Passages are twice the longest item long, and every
-    stretch as long as that lies wholly in one. Items of fewer words are one shingle; items without a word, null or
-    empty ones among them, are never found. Rows with the same id and text are found alike; rows that share an
+    stretch as long as that lies wholly in one. An item, question or answer of n < ``width`` words is compared with the
+    passage's runs of n words, so a short item is found wherever its words stand in a row, and an item of one word in
+    every text with that word. Items without a word, null or empty ones among them, are never found. Rows with the same id and text are found alike; rows that share an
     item_id are items of their own. Items are searched in indexes of bounded size, one after the other.
     """
     spark = docs.sparkSession

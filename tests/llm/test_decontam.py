@@ -82,3 +82,29 @@ def test_items_are_split_into_question_and_answer():
     assert decontam.split_item("One. Two. Three.") == ("One. Two. ", "Three.")
     assert decontam.split_item("only one.") == ("only one.", "")
     assert decontam.split_item("") == ("", "")
+
+
+def test_short_items_and_sides_are_found_inside_longer_texts(spark, docs, prose):
+    items = [(1, "What is 7*8? 56"), (2, "two words"), (3, prose(20, 1) + "? the answer"), (4, "single"), (5, "a b c d")]
+    rows = [
+        (0, prose(30, 2) + " what is 7*8? 56 " + prose(30, 3), "en", "a"), (1, "What is 7*8? 56", "en", "a"),
+        (2, "What is 7*8? " + prose(9, 4) + " 56", "en", "a"), (3, "words two and two more words", "en", "a"),
+        (4, prose(200, 5) + "\nTwo  words", "en", "a"), (5, prose(50, 6) + " " + items[2][1] + " " + prose(50, 7), "en", "a"),
+        (6, items[2][1].replace("the answer", "the other"), "en", "a"), (7, "a single one", "en", "a"), (8, "a b c", "en", "a"),
+        (9, "x a b c d y", "en", "a"), (10, "a b c e d", "en", "a"),
+    ]
+    want = {0: [1], 1: [1], 2: [], 3: [], 4: [2], 5: [3], 6: [3], 7: [4], 8: [], 9: [5], 10: []}
+
+    def held(short, text):  # the same by comparing runs of as many words
+        w, x = words(text), words(short)
+        return tuple(x) in {tuple(w[k:k + len(x)]) for k in range(len(w))}
+
+    assert all((k in want[i]) == held(x, t) for i, t, *_ in rows for k, x in items if len(words(x)) < 5)
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    for index_items in (1000, 1):
+        got = decontam.decontamination(docs(rows), frame, index_items=index_items).collect()
+        assert {r.doc_id: [int(x) for x in r.item_ids.split(",") if x] for r in got} == want
+    shares = {(r.id, r.item): (r.question, r.answer) for r in decontam.leaks(docs(rows), frame).collect()}
+    assert shares[0, 1] == (1.0, 1.0)
+    assert shares[5, 3] == (1.0, 1.0) and shares[6, 3] == (1.0, 0.0)
+    assert sorted(r.doc_id for r in decontam.decontaminated(docs(rows), frame).collect()) == [2, 3, 8, 10]
