@@ -46,14 +46,13 @@ def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Index:
     """Some of the items: postings with weights in parts of their item's threshold, and their maxima by block of items."""
 
-    def __init__(self, items: list[tuple[int, list[int], list[int]]], idf: dict[int, float], mean: float, overlap: float, width: int):
+    def __init__(self, items: list[tuple[int, list[int], list[int]]], idf: dict[int, float], mean: float, overlap: float, width: int, window: int):
         self.ids = [x[0] for x in items]
-        self.overlap, self.width = overlap, width
-        self.grams, self.sides, lengths = [], [], []
+        self.overlap, self.width, self.window = overlap, width, window
+        self.grams, self.sides = [], []
         word, item, weight = [], [], []
         for k, (_, question, answer) in enumerate(items):
             every = np.array([*question, *answer], np.int64).view(U)
-            lengths.append(len(every))
             self.grams.append(self._runs(every))
             self.sides.append((self._runs(np.array(question, np.int64).view(U)), self._runs(np.array(answer, np.int64).view(U))))
             words, n = np.unique(every, return_counts=True)
@@ -71,7 +70,6 @@ class Index:
         np.maximum.at(self.most, (np.repeat(np.arange(len(self.vocabulary)), np.diff(self.first)), self.item // BLOCK_ITEMS), self.weight.astype(np.float32))
         self.most *= np.float32(1 + 1e-5)  # rounding never lowers a bound
         self.bound = self.most.max(1).astype(float) if blocks else np.zeros(0)
-        self.window = max(lengths)
 
     def _shingles(self, words: np.ndarray, width: int | None = None) -> np.ndarray:
         """Distinct runs of ``width`` words; fewer words than that are one run of them all."""
@@ -168,14 +166,15 @@ def leaks(docs: DataFrame, items: DataFrame, overlap: float = OVERLAP, width: in
     answer together; the last columns say how much of each. Passages are twice the longest item long, and every
     stretch as long as that lies wholly in one. An item, question or answer of n < ``width`` words is compared with the
     passage's runs of n words, so a short item is found wherever its words stand in a row, and an item of one word in
-    every text with that word. Items without a word, null or empty ones among them, are never found. Rows with the same id and text are found alike; rows that share an
-    item_id are items of their own. Items are searched in indexes of bounded size, one after the other.
+    every text with that word. Items without a word, null or empty ones among them, are never found. Rows with the same
+    id and text are found alike; rows that share an item_id are items of their own. Items are searched in indexes of
+    bounded size, one after the other; the longest item is that of all indexes, so their number changes no result.
     """
     spark = docs.sparkSession
     named = items.select(F.col(f"`{item_col}`").cast("long").alias("item"), text_of(item_text).alias("text"))
     listed = stored(named.mapInArrow(_item_words, "item long, question array<long>, answer array<long>"), "items")
     listed = listed.withColumn("words", F.concat("question", "answer")).where(F.size("words") > 0)
-    total = listed.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("words")).alias("words")).first()
+    total = listed.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("words")).alias("words"), F.max(F.size("words")).alias("longest")).first()
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text")).withColumn("mark", F.xxhash64("text"))
     schema = docs.select(F.col(f"`{id_col}`").alias("id")).schema["id"].dataType.simpleString()
     out = f"id {schema}, mark long, item long, overlap double, question double, answer double"
@@ -194,7 +193,7 @@ def leaks(docs: DataFrame, items: DataFrame, overlap: float = OVERLAP, width: in
             continue
         mine.sort(key=lambda x: (x[0] is None, x[0] or 0, x[1], x[2]))
         known = {r["word"]: r["idf"] for r in weights.where(F.col("part") == part).collect()}
-        index = spark.sparkContext.broadcast(Index(mine, known, words / n, overlap, width))
+        index = spark.sparkContext.broadcast(Index(mine, known, words / n, overlap, width, total["longest"]))
         hits = texts.select("id", "text", "mark").mapInArrow(_searched(index), out)
         found = hits if found is None else found.unionByName(hits)
     return found if found is not None else spark.createDataFrame([], out)

@@ -108,3 +108,19 @@ def test_short_items_and_sides_are_found_inside_longer_texts(spark, docs, prose)
     assert shares[0, 1] == (1.0, 1.0)
     assert shares[5, 3] == (1.0, 1.0) and shares[6, 3] == (1.0, 0.0)
     assert sorted(r.doc_id for r in decontam.decontaminated(docs(rows), frame).collect()) == [2, 3, 8, 10]
+
+
+def test_result_does_not_depend_on_the_size_of_indexes(spark, docs, bench, prose):
+    rows, items = bench
+    items = [*items, *((100 + k, prose(12, 2000 + k)) for k in range(20))]
+    rng = random.Random(4)
+    for k in range(40):  # leaks stretched by inserted words, all over a text
+        leak = prose(12, 2000 + k % 20).split()
+        leak[6:6] = ["in"] * rng.randint(1, 12)
+        rows = [*rows, (1000 + k, " ".join([prose(rng.randint(0, 90), 3000 + k), *leak, prose(60, 4000 + k)]), "en", "a")]
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    how = {"overlap": 0.5}
+    want = brute(rows, items, **how)
+    for index_items in (1000, 7):
+        got = decontam.decontamination(docs(rows), frame, index_items=index_items, **how).collect()
+        assert {r.doc_id: [int(x) for x in r.item_ids.split(",") if x] for r in got} == want
