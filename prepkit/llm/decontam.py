@@ -163,8 +163,8 @@ def leaks(docs: DataFrame, items: DataFrame, overlap: float = OVERLAP, width: in
     """(id, mark, item, overlap, question, answer): each test item found in each text; ``mark`` is xxhash64 of the text.
 
     An item is found if a passage of the text holds the share ``overlap`` of its ``width``-word shingles, question and
-    answer together; the last columns say how much of each. Passages are twice the longest item long, and every
-    stretch as long as that lies wholly in one. An item, question or answer of n < ``width`` words is compared with the
+    answer together; the last columns say how much of each, and decide nothing. Passages are twice the longest item
+    long, and every stretch as long as that lies wholly in one. An item, question or answer of n < ``width`` words is compared with the
     passage's runs of n words, so a short item is found wherever its words stand in a row, and an item of one word in
     every text with that word. Items without a word, null or empty ones among them, are never found. Rows with the same
     id and text are found alike; rows that share an item_id are items of their own. Items are searched in indexes of
