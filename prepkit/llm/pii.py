@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,7 @@ SAMPLE, EPOCHS, WINDOW, STRIDE, CONTEXT = 1500, 8, 64, 40, 20
 SURE = 0.9
 
 _TRIGGER = re.compile(r"[0-9@]")
+_RUN = re.compile(r"\S+")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _IP = re.compile(r"([0-9]++(?:\.[0-9]++){3})|[0-9]++")
@@ -121,8 +123,10 @@ def rewritten(text: str, spans, rng: random.Random) -> tuple[str, list[tuple[int
 def stretches(text: str, spans) -> list[tuple[int, int]]:
     """Parts of the text in which the tagger could add a span: context around marks outside the patterns' spans.
 
-    A span it may add has an @, or four digits or more, and overlaps none of the patterns' spans. So a part without
-    such marks is left out, which loses nothing.
+    A span it may add has an @, or four digits or more, and overlaps none of the patterns' spans. Spans of numbers begin
+    and end at their marks; around an @ a part takes in the whole runs of non-blanks on both sides, at most ``CONTEXT``
+    blanks away and up to the next of the patterns' spans, so that long local parts and domains are not cut. Parts do
+    not overlap.
     """
     taken = sorted((a, b) for _, a, b in spans)
     marks, k = [], 0
@@ -132,6 +136,8 @@ def stretches(text: str, spans) -> list[tuple[int, int]]:
             k += 1
         if not (k < len(taken) and taken[k][0] <= p):
             marks.append(p)
+    runs = [m.span() for m in _RUN.finditer(text)] if any(text[p] == "@" for p in marks) else []
+    starts, heads, ends = [a for a, _ in runs], [a for a, _ in taken], sorted(b for _, b in taken)
     out, i = [], 0
     while i < len(marks):
         j = i
@@ -139,11 +145,31 @@ def stretches(text: str, spans) -> list[tuple[int, int]]:
             j += 1
         held = [text[p] for p in marks[i:j + 1]]
         if "@" in held or len(held) >= 4:
-            out.append((max(0, marks[i] - CONTEXT), min(len(text), marks[j] + CONTEXT + 1)))
+            lo, hi = marks[i], marks[j] + 1
+            for p in (p for p in marks[i:j + 1] if text[p] == "@"):
+                a, z = _around(runs, bisect_right(starts, p) - 1, p)
+                before, after = bisect_right(ends, p), bisect_right(heads, p)
+                a, z = max([a, *ends[before - 1:before]]), min([z, *heads[after:after + 1]])
+                lo, hi = min(lo, a), max(hi, z)
+            lo, hi = max(0, lo - CONTEXT), min(len(text), hi + CONTEXT)
+            while out and lo < out[-1][1]:
+                a, z = out.pop()
+                lo, hi = min(lo, a), max(hi, z)
+            out.append((lo, hi))
         i = j + 1
     return out
 
 
+def _around(runs: list[tuple[int, int]], k: int, p: int) -> tuple[int, int]:
+    """From where the non-blanks before the @ at ``p`` begin to where those after it end; ``p`` lies in run ``k``."""
+    a, z = runs[k]
+    if a == p and k and a - runs[k - 1][1] <= CONTEXT:
+        a = runs[k - 1][0]
+    if z == p + 1 and k + 1 < len(runs) and runs[k + 1][0] - z <= CONTEXT:
+        z = runs[k + 1][1]
+    return a, z
+
+
 def _windows(a: int, b: int) -> list[tuple[int, int]]:
     """Overlapping windows over a stretch."""
     out, at = [], a

@@ -117,3 +117,19 @@ def test_stretches_leave_out_only_what_cannot_hold_a_span():
     spans = pii.base_spans(text)
     got = [text[a:z] for a, z in pii.stretches(text, spans)]
     assert len(got) == 2 and "1234" in got[0] and "@ q" in got[1]
+
+
+@pytest.mark.parametrize("address", [
+    "firstname.lastname.department @ mail.subdomain.example.com", "firstname.lastname.department@ mail.subdomain.long.example.com",
+    "firstname.lastname.department  @  a-very-long-department-name.example.com", "first1name.middle.last2name.department @ x.y",
+])
+def test_stretches_take_in_long_local_parts_and_domains(address):
+    text = "words before " * 9 + address + " words after" * 9
+    got = pii.stretches(text, pii.base_spans(text))
+    assert any(address in text[a:z] for a, z in got)
+    assert all(z <= b for (_, z), (b, _) in zip(got, got[1:]))
+
+
+def test_stretches_of_one_run_are_one_and_take_time_by_its_length():
+    text = ("a" * 30 + "@") * 10_000
+    assert pii.stretches(text, pii.base_spans(text)) == [(0, len(text))]
