@@ -211,8 +211,12 @@ def learn(docs: DataFrame, sample: int = SAMPLE, epochs: int = EPOCHS, text_col:
     """
     texts = docs.select(text_of(text_col).alias("text")).where(F.col("text").rlike("[0-9@]"))
     made = texts.mapInArrow(_lessons, "order string, text string, tags array<long>")
-    spanned = F.exists("tags", lambda t: t > 0)
-    made = stored(made.where(F.col("order") < _share(texts, sample)).dropDuplicates(["order"]).withColumn("spanned", spanned), "pii-windows")
+    made = made.withColumn("spanned", F.exists("tags", lambda t: t > 0))
+    counted = made.groupBy("spanned").agg(F.approx_count_distinct("order").alias("n")).collect()
+    low = F.lit(False)
+    for r in counted:
+        low = low | ((F.col("spanned") == r["spanned"]) & (F.col("order") < _share(r["n"], sample // 2)))
+    made = stored(made.where(low).dropDuplicates(["order"]), "pii-windows")
     rows = []
     for side in (True, False):
         rows += made.where(F.col("spanned") == side).orderBy("order").limit(sample // 2).collect()
@@ -227,10 +231,9 @@ def learn(docs: DataFrame, sample: int = SAMPLE, epochs: int = EPOCHS, text_col:
     return tagger
 
 
-def _share(texts: DataFrame, sample: int) -> str:
-    """A bound on window hashes that about a hundred times ``sample`` texts' windows pass, to keep the sort small."""
-    n = texts.count()
-    part = min(1.0, 100.0 * sample / max(1, n))
+def _share(n: int, wanted: int) -> str:
+    """A bound that about four times ``wanted`` of ``n`` window hashes pass, at least 400, to keep the sort small."""
+    part = min(1.0, 4.0 * max(wanted, 100) / max(1, n))
     return "g" if part >= 1 else f"{int(part * 16**8):08x}"
 
 

@@ -133,3 +133,10 @@ def test_stretches_take_in_long_local_parts_and_domains(address):
 def test_stretches_of_one_run_are_one_and_take_time_by_its_length():
     text = ("a" * 30 + "@") * 10_000
     assert pii.stretches(text, pii.base_spans(text)) == [(0, len(text))]
+
+
+def test_half_of_the_windows_hold_a_span_where_spans_are_rare(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(Tagger, "train", lambda self, codes, tags, epochs: seen.append(tags.any(axis=1)))
+    pii.learn(spark.range(20_000).selectExpr("IF(id % 800 = 0, concat('to w', id, '@mail.example.com'), concat('in ', id, ' we went')) AS text"), sample=20)
+    assert seen[0].sum() == 10 and len(seen[0]) == 20
