@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prepkit.llm import decontam, fingerprints, langid, line_dedup, merkle, mixing, near_dup, pii, repeats, secrets, spelling, toxicity
+from prepkit.llm import decontam, fingerprints, langid, licenses, line_dedup, merkle, mixing, near_dup, pii, repeats, secrets, spelling, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -57,12 +57,16 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.tampered_digests(_table(spark, folder, "documents"))
 
 
+def op12_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_digests(_table(spark, folder, "documents"))
+
+
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.slipped_variants(_table(spark, folder, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard, op2_line_dedup, op3_decontaminate, op4_repeated_bytes, op5_personal_data, op6_toxicity, op7_mix_sources,
-    op8_secret_scan, op9_language_id, op10_fingerprints, op11_merkle_manifest, op13_spelling_variants,
+    op8_secret_scan, op9_language_id, op10_fingerprints, op11_merkle_manifest, op12_license_scan, op13_spelling_variants,
 )}
 SQL = {"op2_line_dedup": line_dedup.SQL, "op7_mix_sources": mixing.SQL, "op11_merkle_manifest": merkle.SQL, "op13_spelling_variants": spelling.SQL}
