@@ -108,12 +108,14 @@ def align_by_key(left: DataFrame, right: DataFrame, key: str | Sequence[str]) ->
     """Put the columns of two tables side by side, matched by key instead of by position.
 
     Rows of either side that the other lacks stay, with its columns missing; of a name
-    both sides have, the left column is kept. Missing keys meet each other.
+    both sides have, the left column is kept. A row without a key, or a part of it, stays
+    alone: any number of them on either side add up and never multiply. To match by position,
+    see ``places.side_by_side``.
     """
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in right.columns if c not in left.columns]
     side = right.select(*[F.col(c).alias(f"_{c}") for c in keys], *rest, F.lit(True).alias("_right"))
-    same = reduce(lambda a, b: a & b, [left[c].eqNullSafe(side[f"_{c}"]) for c in keys])
+    same = reduce(lambda a, b: a & b, [(left[c] == side[f"_{c}"]) for c in keys])
     joined = left.withColumn("_left", F.lit(True)).join(side, same, "full_outer")
     own = [F.when(F.col("_left"), left[c]).otherwise(side[f"_{c}"]).alias(c) if c in keys else left[c] for c in left.columns]
     return joined.select(*own, *rest)

@@ -129,6 +129,14 @@ def ingested_first_rows(spark: SparkSession, folder: str) -> DataFrame:
     return rows.first_per_key(whole, ["p_name"], readers.READING_ORDER).select("p_name", "p_partkey")
 
 
+@query(ORDERS_SQL + " ORDER BY o_orderkey LIMIT 899")
+def first_rows_of_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders written in order to several files; the first 899 lines of them all."""
+    path = scratch_path(spark, "orders-csv")
+    writers.write_csv(_orders(spark, folder).repartitionByRange(7, "o_orderkey").sortWithinPartitions("o_orderkey"), path)
+    return readers.read_csv(spark, path, schema=ORDERS, max_rows=899)
+
+
 @query("""
 SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders WHERE o_totalprice >= 1000 GROUP BY 1
 """)

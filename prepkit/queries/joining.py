@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prepkit.functions.cells import AGE_BRACKETS_FINE
-from prepkit.operators import lookup
+from prepkit.operators import lookup, places, ranges
 from prepkit.plans.rates import AGE_RATES_FINE
 from prepkit.queries.cleaning import BRACKET_SQL, FINE_SQL
 from prepkit.queries.registry import DIRTY, dirty, query, rounded, table
@@ -75,3 +75,58 @@ def align_by_key(spark: SparkSession, folder: str) -> DataFrame:
     """Documents and labels side by side, rows of one side only among them."""
     documents = table(spark, folder, "documents").where("lang <> 'es'").select("doc_id", "lang", "n_chars")
     return lookup.align_by_key(documents, table(spark, folder, "labels"), "doc_id")
+
+
+@query("""
+SELECT coalesce(c.place, o.place) AS place, c_custkey, c_name, o_orderkey, o_totalprice
+FROM (SELECT c_custkey, c_name, row_number() OVER (ORDER BY c_custkey) - 1 AS place FROM customer) c
+FULL JOIN (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS place FROM orders) o
+  ON c.place = o.place
+""")
+def side_by_side(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers by key beside orders by price; the longer table's rest stands alone."""
+    customer = table(spark, folder, "customer").select("c_custkey", "c_name")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    return places.side_by_side(customer, orders, "c_custkey", ["o_totalprice", "o_orderkey"])
+
+
+BANDS_SQL = """
+bands AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_totalprice END AS low,
+         CASE WHEN o_orderkey % 89 = 0 THEN NULL ELSE o_totalprice + (o_orderkey % 7) * (o_orderkey % 11) * 25 END AS high
+  FROM orders)
+"""
+
+
+def _bands(spark: SparkSession, folder: str) -> DataFrame:
+    """A range of prices for each order: of many lengths, some a single price, some open on a side, most overlapping."""
+    return table(spark, folder, "orders").selectExpr(
+        "o_orderkey", "CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_totalprice END AS low",
+        "CASE WHEN o_orderkey % 89 = 0 THEN NULL ELSE o_totalprice + (o_orderkey % 7) * (o_orderkey % 11) * 25 END AS high",
+    )
+
+
+@query("WITH" + BANDS_SQL + """
+SELECT o_orderkey, count(*) AS n, round(min(l_extendedprice), 2) AS least, round(max(l_extendedprice), 2) AS most
+FROM bands JOIN lineitem ON (low IS NULL OR l_extendedprice >= low) AND (high IS NULL OR l_extendedprice <= high)
+GROUP BY o_orderkey
+""")
+def range_join(spark: SparkSession, folder: str) -> DataFrame:
+    """As many ranges as there are orders, over all items."""
+    items = table(spark, folder, "lineitem").select("l_extendedprice")
+    met = ranges.range_join(items, "l_extendedprice", _bands(spark, folder), "low", "high")
+    found = met.groupBy("o_orderkey").agg(F.count("*").alias("n"), F.min("l_extendedprice").alias("least"), F.max("l_extendedprice").alias("most"))
+    return rounded(found, 2, "least", "most")
+
+
+@query("""
+WITH steps AS (
+  SELECT min(p_size) AS low, max(p_size) AS high, p_brand AS brand FROM part GROUP BY p_brand, p_partkey % 3)
+SELECT l_orderkey, l_linenumber, (SELECT min(brand) FROM steps WHERE l_quantity >= low AND l_quantity < high) AS brand FROM lineitem
+""")
+def range_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """Brackets read from a table, overlapping, open at their upper end; items outside all have none."""
+    steps = table(spark, folder, "part").groupBy("p_brand", F.col("p_partkey") % 3).agg(F.min("p_size").alias("low"), F.max("p_size").alias("high"))
+    items = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    found = ranges.range_lookup(items, "l_quantity", steps.withColumnRenamed("p_brand", "brand"), "low", "high", ["brand"], closed="left")
+    return found.drop("l_quantity")

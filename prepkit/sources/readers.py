@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import warnings
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prepkit.operators.columns import nan_to_null
+from prepkit.operators.places import READING_ORDER, first_read, reading_order
 from prepkit.operators.rows import union_by_name
 
 Schema = T.StructType | str | None
@@ -62,18 +63,36 @@ def read_csv(
 ) -> DataFrame:
     """CSV files or globs. A schema spares the pass that ``infer`` takes; without both, all text.
 
-    With a header line, the schema's columns are found by name; without one, by place. Over
-    several files ``max_rows`` takes the first rows that come, from whichever file.
+    With a header line, the schema's columns are found by name; without one, by place.
+    ``max_rows`` takes exactly the first rows: of the first file by name, then of the next,
+    however files are cut into splits. Only the files needed for them are read.
     """
-    reader = spark.read.option("ignoreLeadingWhiteSpace", trim).option("ignoreTrailingWhiteSpace", trim)
-    if schema is not None and header:
-        df = _by_header(spark, path, _struct(schema), reader).drop("_metadata")
-    else:
+    def read(of: Sequence[str]) -> DataFrame:
+        reader = spark.read.option("ignoreLeadingWhiteSpace", trim).option("ignoreTrailingWhiteSpace", trim)
+        if schema is not None and header:
+            return _by_header(spark, of, _struct(schema), reader)
         reader = reader.option("header", header)
         reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", infer)
-        df = reader.csv(_paths(path))
-    df = nan_to_null(df)
-    return df if max_rows is None else df.limit(max_rows)
+        return reader.csv(list(of)).select("*", "_metadata")
+
+    if max_rows is None:
+        return nan_to_null(read(_paths(path)).drop("_metadata"))
+    return nan_to_null(first_rows(read, _csv_files(spark, path), max_rows))
+
+
+def first_rows(read: Callable[[Sequence[str]], DataFrame], files: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` rows over the files in their order by name; ``read`` gives a frame with the hidden ``_metadata``.
+
+    Of the files, the first one is counted, then the first four and so on, until they hold enough.
+    """
+    def ordered(k: int) -> DataFrame:
+        df = read(files[:k])
+        return df.select(*[F.col(f"`{c}`") for c in df.columns if c != "_metadata"], *reading_order())
+
+    k = 1
+    while k < len(files) and read(files[:k]).count() < n:
+        k *= 4
+    return first_read(ordered(k), n)
 
 
 def read_csv_checked(
@@ -193,10 +212,6 @@ def ingest_folder(spark: SparkSession, folder: str, schema: Schema, row_tag: str
     return nan_to_null(union_by_name(*parts))
 
 
-# The columns giving the reading order.
-READING_ORDER = ("src_rank", "src_file", "src_block", "src_row")
-
-
 def redistribute(df: DataFrame, partitions: int, *by: str) -> DataFrame:
     """Spread rows over a number of partitions; normally adaptive execution decides."""
     return df.repartition(partitions, *by)
