@@ -105,6 +105,7 @@ def bernoulli_impute(
     df: DataFrame, target: str, chance: Column, key: str | Sequence[str], seed: int = 42
 ) -> DataFrame:
     """Gaps become 1 with the row's chance, else 0; the draw is fixed by the row's key."""
+    df = nan_to_null(df)
     drawn = (unit(key, f"impute {seed}") < chance).cast("int").cast(df.schema[target].dataType)
     return df.withColumn(target, F.coalesce(F.col(target), drawn, F.lit(0).cast(df.schema[target].dataType)))
 
@@ -117,6 +118,7 @@ def quota_impute(
     ``chance`` is a column constant within a group. A group without a chance (no
     bracket) keeps its gaps. Which gaps become 1 is drawn by the row's key.
     """
+    df = nan_to_null(df)
     open_ = F.col(target).isNull() & F.col(chance).isNotNull()
     kind = df.schema[target].dataType
     quota = F.bround(F.col("n") * F.col(chance), 0)
@@ -132,17 +134,16 @@ def rate_by_bracket(value: str | Column, brackets: Sequence[Bracket], rates: Map
     return plain * (factor if isinstance(factor, Column) else F.lit(float(factor)))
 
 
-def check_indexable(df: DataFrame, strings: Sequence[str], limit: int = 10_000) -> None:
-    """Raise if a string column has more values than an index held by the driver and the model should.
+def wide_columns(df: DataFrame, strings: Sequence[str], limit: int = 10_000) -> list[str]:
+    """The string columns with more values than an index that the driver and the model hold should have.
 
-    One approximate pass over all columns; within its error, a column near the limit may go either way.
+    One approximate pass over all columns; within its error, a column near the limit may go either way. Such columns are
+    for ``scale.frequency_index``, which holds no list of values anywhere.
     """
     if not strings:
-        return
+        return []
     found = df.agg(*[F.approx_count_distinct(c).alias(c) for c in strings]).first()
-    wide = {c: found[c] for c in strings if found[c] > limit}
-    if wide:
-        raise ValueError(f"too many values to index, encode them by frequency_index or leave them out: {wide}")
+    return [c for c in strings if found[c] > limit]
 
 
 def index_and_impute(numeric: Sequence[str], strings: Sequence[str]) -> Pipeline:

@@ -70,7 +70,8 @@ def partition_count(df: DataFrame) -> int:
 
 
 def _value_pairs(df: DataFrame, columns: Sequence[str], cast: str) -> DataFrame:
-    """Non-null cells as ``column, value`` rows of one type; 0.0 and -0.0 are one value."""
+    """Non-missing cells as ``column, value`` rows of one type; 0.0 and -0.0 are one value, NaN is none."""
+    df = nan_to_null(df.select(*[F.col(c) for c in columns]))
     floats = columns_of(df, "float")
     casted = df.select(*[(F.col(c) + F.lit(0.0) if c in floats else F.col(c)).cast(df.schema[c].dataType).cast(cast).alias(c)
                          for c in columns])
@@ -85,7 +86,8 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def count_distinct(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
     """``column, n_distinct`` of the non-null values."""
     if approximate:
-        return _long([{"column": F.lit(c), "n_distinct": F.approx_count_distinct(c)} for c in columns], df)
+        cells = nan_to_null(df.select(*[F.col(c) for c in columns]))
+        return _long([{"column": F.lit(c), "n_distinct": F.approx_count_distinct(c)} for c in columns], cells)
     pairs = _value_pairs(df, columns, "string").distinct()
     found = pairs.groupBy("column").agg(F.count("*").alias("n_distinct"))
     names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
@@ -93,7 +95,7 @@ def count_distinct(df: DataFrame, columns: Sequence[str], approximate: bool = Fa
 
 
 def group_mean(df: DataFrame, by: Sequence[str], column: str, name: str) -> DataFrame:
-    return df.groupBy(*by).agg(F.avg(column).alias(name))
+    return nan_to_null(df).groupBy(*by).agg(F.avg(column).alias(name))
 
 
 def missing_by_bracket(df: DataFrame, target: str, value: str, brackets: Sequence[Bracket]) -> DataFrame:
@@ -140,7 +142,7 @@ def modes(df: DataFrame, columns: Sequence[str], ranges: Mapping[str, Any] | Non
 
 def group_modes(df: DataFrame, by: Sequence[str], column: str, name: str = "mode") -> DataFrame:
     """Per group the most frequent non-null value, the smallest on a tie."""
-    counted = df.where(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count("*").alias("_n"))
+    counted = nan_to_null(df).where(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count("*").alias("_n"))
     best = counted.groupBy(*by).agg(F.min(F.struct((-F.col("_n")).alias("neg"), F.col(column).alias("v"))).alias("b"))
     return best.select(*by, F.col("b.v").alias(name), (-F.col("b.neg")).alias("n"))
 
@@ -338,7 +340,7 @@ def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float]
     """``column, prob, value``; exact unless ``approximate``, which takes a single pass."""
     if approximate:
         asked = [float(p) for p in probs]
-        wide = df.agg(*[F.percentile_approx(c, asked, 10_000).alias(c) for c in columns])
+        wide = nan_to_null(df).agg(*[F.percentile_approx(c, asked, 10_000).alias(c) for c in columns])
         rows = [F.struct(F.lit(c).alias("column"), F.lit(p).alias("prob"), F.get(c, F.lit(i)).cast("double").alias("value"))
                 for c in columns for i, p in enumerate(asked)]
         return wide.select(F.inline(F.array(*rows)))
@@ -415,7 +417,7 @@ def corr_matrix(
             return F.when(F.col(c) >= at_least, F.col(c))
         return F.col(c)
 
-    cells = df.select(*[cell(c).cast("double").alias(c) for c in columns])
+    cells = nan_to_null(df).select(*[cell(c).cast("double").alias(c) for c in columns])
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
     if not pairs:
         return df.sparkSession.createDataFrame([], "col_a string, col_b string, r double, n bigint")
@@ -432,7 +434,7 @@ def corr_matrix(
 
 def skew_kurtosis(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``column, skew, kurtosis``: population skewness and excess kurtosis."""
-    return _long([{"column": F.lit(c), "skew": F.skewness(c), "kurtosis": F.kurtosis(c)} for c in columns], df)
+    return _long([{"column": F.lit(c), "skew": F.skewness(c), "kurtosis": F.kurtosis(c)} for c in columns], nan_to_null(df))
 
 
 def adjusted_skew(c: str | Column) -> Column:
@@ -443,19 +445,20 @@ def adjusted_skew(c: str | Column) -> Column:
 
 def binned_stats(df: DataFrame, by: Sequence[str], column: str) -> DataFrame:
     """Per group ``mean, median, std, skew`` (adjusted) ``, n``; rows without a group are left out."""
+    df = nan_to_null(df)
     figures = df.where(F.col(column).isNotNull()).groupBy(*by).agg(
         F.avg(column).alias("mean"),
         F.stddev_samp(column).alias("std"),
         adjusted_skew(column).alias("skew"),
         F.count(column).alias("n"),
     )
-    medians = group_quantiles(df, by, column, [0.5]).select(*by, F.col("value").alias("median"))
+    medians = group_quantiles(df.dropna(subset=list(by)), by, column, [0.5]).select(*by, F.col("value").alias("median"))
     return figures.join(medians, list(by))
 
 
 def normality(df: DataFrame, by: Sequence[str], column: str, more_than: int = 500, alpha: float = 0.05) -> DataFrame:
     """Per group of more than that many values ``n, jb, p, normal`` (Jarque-Bera); rows without a group are left out."""
-    figures = df.dropna(subset=list(by)).groupBy(*by).agg(
+    figures = nan_to_null(df).dropna(subset=list(by)).groupBy(*by).agg(
         F.count(column).alias("n"), F.skewness(column).alias("_g"), F.kurtosis(column).alias("_k")
     ).where(F.col("n") > more_than)
     jb = F.col("n") / 6.0 * (F.col("_g") * F.col("_g") + F.col("_k") * F.col("_k") / 4.0)
@@ -492,6 +495,7 @@ def density(df: DataFrame, column: str, points: int = 50, bins: int = 512) -> Da
 
     The kernels sit on histogram bins, at most ``bins`` rows, not on the data's rows.
     """
+    df = nan_to_null(df.select(F.col(column)))
     row = df.agg(F.count(column), F.stddev_samp(column), F.min(column), F.max(column)).first()
     n, std, lo, hi = row
     if not n or not std:
@@ -518,6 +522,7 @@ def box_summary(df: DataFrame, columns: Sequence[str], positive_only: bool = Fal
 
     Whiskers end at the last value within ``k`` inter-quartile ranges of the box.
     """
+    df = nan_to_null(df.select(*[F.col(c) for c in columns]))
     if positive_only:
         df = df.select(*[F.when(F.col(c) > 0, F.col(c)).alias(c) for c in columns])
     found = quantiles(df, columns, [0.25, 0.5, 0.75])
@@ -530,6 +535,7 @@ def box_summary(df: DataFrame, columns: Sequence[str], positive_only: bool = Fal
 
 def box_by_group(df: DataFrame, by: Sequence[str], column: str, k: float = 1.5) -> DataFrame:
     """The box figures of one column per group; rows without a group are left out."""
+    df = nan_to_null(df)
     found = group_quantiles(df, by, column, [0.25, 0.5, 0.75])
     wide = found.groupBy(*by).agg(*[
         F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for p, n in ((0.25, "q1"), (0.5, "q2"), (0.75, "q3"))
@@ -552,4 +558,4 @@ def word_counts(df: DataFrame, text: str, at_least: int = 1) -> DataFrame:
 
 def best_row(df: DataFrame, measure: str, rank: str) -> DataFrame:
     """The row with the largest measure; on a tie the one listed first by ``rank``."""
-    return df.orderBy(F.col(measure).desc_nulls_last(), F.col(rank)).limit(1)
+    return nan_to_null(df).orderBy(F.col(measure).desc_nulls_last(), F.col(rank)).limit(1)

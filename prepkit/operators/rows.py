@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from prepkit.functions.cells import inside, missing_share
 from prepkit.functions.chance import unit
-from prepkit.operators.columns import columns_of
+from prepkit.operators.columns import columns_of, nan_to_null
 from prepkit.operators.lookup import bounded
 from prepkit.operators.profile import missing_totals, quantiles
 from prepkit.operators.ranking import smallest_marked
@@ -36,6 +36,7 @@ def split_by_null_pattern(
 
     Rows with neither are left out.
     """
+    df = nan_to_null(df)
     both, only_first, only_second = names
     label = (
         F.when(F.col(first).isNotNull() & F.col(second).isNotNull(), both)
@@ -48,6 +49,7 @@ def split_by_null_pattern(
 
 def drop_sparse_rows(df: DataFrame, threshold: float = 0.9, inclusive: bool = False) -> DataFrame:
     """Rows whose share of missing cells is below the threshold, or at it when ``inclusive``."""
+    df = nan_to_null(df)
     share = missing_share(df.columns, columns_of(df, "float"))
     return df.where(share <= threshold if inclusive else share < threshold)
 
@@ -63,7 +65,8 @@ def drop_null_columns(df: DataFrame) -> DataFrame:
 
 
 def mask(df: DataFrame, columns: Sequence[str], test: Callable[[Column], Column]) -> DataFrame:
-    """Cells failing the test become NULL; the rows stay."""
+    """Cells failing the test become NULL, NaN too; the rows stay."""
+    df = nan_to_null(df)
     chosen = set(columns)
     return df.select(*[F.when(test(F.col(c)), F.col(c)).alias(c) if c in chosen else F.col(c) for c in df.columns])
 
@@ -75,7 +78,8 @@ def fit_iqr(df: DataFrame, columns: Sequence[str], k: float = 1.5) -> dict[str,
 
 
 def iqr_mask(df: DataFrame, columns: Sequence[str], k: float = 1.5) -> DataFrame:
-    """Cells outside the column's fences become NULL."""
+    """Cells outside the column's fences become NULL, NaN too."""
+    df = nan_to_null(df)
     fences = fit_iqr(df, columns, k)
     masked = [F.when(F.col(c).between(*fences[c]), F.col(c)).alias(c) if c in fences else F.col(c) for c in df.columns]
     return df.select(*masked)
@@ -84,7 +88,7 @@ def iqr_mask(df: DataFrame, columns: Sequence[str], k: float = 1.5) -> DataFrame
 def zscore_filter(
     df: DataFrame, columns: Sequence[str], k: float = 3.0, tolerance: float = 0.01, mode: str = "simultaneous"
 ) -> DataFrame:
-    """Rows within ``k`` sample deviations of the mean, columns of no spread skipped.
+    """Rows within ``k`` sample deviations of the mean, columns of no spread skipped; a missing cell is within none.
 
     ``simultaneous`` takes all figures from the given rows in one job. ``sequential``
     takes those of a column from the rows the columns before it left, one job each; the
@@ -101,6 +105,7 @@ def zscore_filter(
                 frame = frame.where(F.abs(F.col(c) - F.lit(mean)) / F.lit(std) - F.lit(float(k)) < F.lit(tolerance))
         return frame
 
+    df = nan_to_null(df)
     if mode == "simultaneous":
         return passing(df, columns)
     if mode != "sequential":
@@ -151,8 +156,8 @@ def union_by_name(first: DataFrame, *others: DataFrame) -> DataFrame:
 
 
 def top_rows(df: DataFrame, order: str, n: int = 1, tie: Sequence[str] = ()) -> DataFrame:
-    """The ``n`` rows with the largest ``order`` value, ties settled by ``tie`` ascending."""
-    return df.orderBy(F.col(order).desc_nulls_last(), *tie).limit(n)
+    """The ``n`` rows with the largest ``order`` value, a missing one last, ties settled by ``tie`` ascending."""
+    return nan_to_null(df).orderBy(F.col(order).desc_nulls_last(), *tie).limit(n)
 
 
 def first_rows(df: DataFrame, n: int, order: Sequence[str] = ()) -> DataFrame:

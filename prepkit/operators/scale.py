@@ -6,11 +6,13 @@ from collections.abc import Sequence
 from dataclasses import astuple, dataclass
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from prepkit.operators.lookup import bounded
+from prepkit.operators.columns import nan_to_null
+from prepkit.operators.lookup import BROADCAST_ROWS, bounded
 from prepkit.operators.ranking import running_totals
+from prepkit.sources.frozen import frozen
 
 SCALING_SCHEMA = "name string, data_min double, data_max double, scale double, min double"
 
@@ -29,7 +31,7 @@ class Scaling:
 def fit_minmax(df: DataFrame, columns: Sequence[str]) -> list[Scaling]:
     """One job for all columns; a constant column gets scale 1, and so maps to 0."""
     cells = [F.col(c).cast("double") for c in columns]
-    row = df.agg(*[F.min(c).alias(f"a{i}") for i, c in enumerate(cells)],
+    row = nan_to_null(df.select(*[F.col(c) for c in columns])).agg(*[F.min(c).alias(f"a{i}") for i, c in enumerate(cells)],
                  *[F.max(c).alias(f"b{i}") for i, c in enumerate(cells)]).first()
     out = []
     for i, c in enumerate(columns):
@@ -55,7 +57,7 @@ def load_scalings(table: DataFrame) -> list[Scaling]:
 
 def apply_minmax(df: DataFrame, scalings: Sequence[Scaling]) -> DataFrame:
     by_name = {s.name: s for s in scalings}
-    return df.select(*[
+    return nan_to_null(df).select(*[
         (F.col(c) * F.lit(by_name[c].scale) + F.lit(by_name[c].min)).alias(c) if c in by_name else F.col(c)
         for c in df.columns
     ])
@@ -74,6 +76,7 @@ def standardise(df: DataFrame, columns: Sequence[str], centre: bool = False, pop
 
     A column without spread becomes 0 when centred and is left alone otherwise.
     """
+    df = nan_to_null(df)
     spread = F.stddev_pop if population else F.stddev_samp
     row = df.agg(*[F.avg(c).alias(f"{c} mean") for c in columns], *[spread(c).alias(f"{c} std") for c in columns]).first()
     chosen = set(columns)
@@ -96,23 +99,36 @@ def label_codes(df: DataFrame, column: str) -> DataFrame:
 
 
 def label_encode(df: DataFrame, columns: Sequence[str], suffix: str = "_encoded") -> DataFrame:
-    """Add ``{c}_encoded``, the position of the value among the column's sorted values."""
-    kinds: dict[str, list[str]] = {}
+    """Add ``{c}_encoded``, the position of the value among the column's sorted values, NaN last; NULL stays NULL.
+
+    One pass finds the values of all columns, whatever their types, and one ranking numbers them: by a window where they
+    are few, in slices where they are many.
+    """
+    kinds = {c: df.schema[c].dataType.simpleString() for c in columns}
+    fields = {k: f"v{i}" for i, k in enumerate(dict.fromkeys(kinds.values()))}
+
+    def cell(c: str) -> Column:
+        value = F.struct(*[(F.col(c) if kinds[c] == k else F.lit(None).cast(k)).alias(f) for k, f in fields.items()])
+        return F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("_of"), value.alias("_value")))
+
+    cells = df.select(F.explode(F.array_compact(F.array(*map(cell, columns)))).alias("_cell")).select("_cell.*")
+    values = frozen(cells.groupBy("_of", "_value").agg(F.lit(1).alias("_one")), "labels")
+    few = values.count() <= BROADCAST_ROWS
+    if few:
+        ranked = values.withColumn("before", F.row_number().over(Window.partitionBy("_of").orderBy("_value")) - 1)
+    else:
+        ranked = running_totals(values, "_value", "_one", ["_of"])
     for c in columns:
-        kinds.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
-    for kind, chosen in kinds.items():
-        # one pass finds the values of all columns of a type, and one ranking numbers them within each
-        cells = df.select(*[F.col(c).alias(c) for c in chosen]).unpivot([], chosen, "_of", "_value").where("_value IS NOT NULL")
-        ranked = running_totals(cells.groupBy("_of", "_value").agg(F.lit(1).alias("_one")), "_value", "_one", ["_of"])
-        for c in chosen:
-            codes = bounded(ranked.where(F.col("_of") == c).select("_value", F.col("before").cast("int").alias(f"{c}{suffix}")))
-            df = df.join(codes, df[c] == codes["_value"], "left").drop("_value")
+        codes = ranked.where(F.col("_of") == c).select(F.col(f"_value.{fields[kinds[c]]}").alias("_value"), F.col("before").cast("int").alias(f"{c}{suffix}"))
+        side = F.broadcast(codes) if few else bounded(codes)
+        df = df.join(side, df[c] == side["_value"], "left").drop("_value")
     return df.select(*[c for c in df.columns if not c.endswith(suffix) or c[: -len(suffix)] not in columns],
                      *[f"{c}{suffix}" for c in columns])
 
 
 def frequency_index(df: DataFrame, column: str, name: str) -> DataFrame:
     """Add the position of the value by falling frequency (ties by value); missing gets the next one."""
+    df = nan_to_null(df)
     counted = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_value")).agg(F.count("*").alias("_n"))
     # The order key is the count and the value in one column, so that slices can be cut on it.
     keyed = counted.select(F.struct((-F.col("_n")).alias("n"), "_value").alias("_order"), F.lit(1).alias("_one"))

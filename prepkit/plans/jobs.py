@@ -7,7 +7,7 @@ caller's choice. Scheduling is left to whatever runs the job.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -226,12 +226,18 @@ def heart_profile(df: DataFrame, roles: Roles) -> dict[str, DataFrame]:
 
 def passengers(
     df: DataFrame, label: str = "Survived", key: str = "PassengerId", ignored: Sequence[str] = ("Name",),
-    grid: dict[str, Sequence[Any]] | None = None, folds: int = 3, share: float = 0.8, seed: int = 7576,
+    grid: dict[str, Sequence[Any]] | None = None, folds: int = 3, share: float = 0.8, seed: int = 7576, indexed: int = 10_000,
 ) -> tuple[models.Search, DataFrame]:
-    """Forest over filled, multiplied and squared columns, chosen by AUC: the search and ``auc, max_depth``."""
+    """Forest over filled, multiplied and squared columns, chosen by AUC: the search and ``auc, max_depth``.
+
+    A string column of more than ``indexed`` values counts by the place of its value by frequency, as a number.
+    """
     roles = Roles.of(df, label, [key, *ignored])
+    wide = impute.wide_columns(df, roles.categorical, indexed)
+    for c in wide:
+        df = scale.frequency_index(df, c, f"{c}_place").drop(c)
+    roles = replace(roles, categorical=tuple(c for c in roles.categorical if c not in wide), numerical=(*roles.numerical, *[f"{c}_place" for c in wide]))
     kept = frozen(df, "passengers")
-    impute.check_indexable(kept, roles.categorical)
     train, test = split.random_split(kept, [share, 1.0 - share], key, seed)
     stages = models.passenger_stages(roles.numerical, roles.categorical)
     search = models.grid_search(train, stages, models.classifier("Random Forest", label, seed=seed),

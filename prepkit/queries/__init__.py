@@ -6,6 +6,7 @@ from prepkit.queries import (  # noqa: F401
     encoding,
     files,
     flagship,
+    gaps,
     jobs,
     joining,
     modelling,
