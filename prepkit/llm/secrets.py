@@ -1,7 +1,7 @@
 """Secret scans behind a trigram inverted index.
 
 From each rule's pattern a Boolean query over trigrams is derived: every match must hold them. Postings of those
-trigrams are gathered, intersected for each document, and only the documents that remain are searched with the pattern
+trigrams are kept by document, intersected there, and only the documents that remain are searched with the pattern
 itself. A pattern that demands no trigram searches all documents. Case plays no part in the index, so it can only let
 through too much, never too little.
 """
@@ -16,7 +16,7 @@ from re import _parser as patterns
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prepkit.llm.shared import SMALL_ROWS, stored, text_of
+from prepkit.llm.shared import text_of
 
 #: Most strings a part of a pattern may stand for before it is cut off there, and largest class spelt out.
 MOST_STRINGS, MOST_CHARS = 64, 6
@@ -126,16 +126,17 @@ def trigram_query(pattern: str) -> Query:
 
 
 def postings(docs: DataFrame, trigrams: list[str]) -> DataFrame:
-    """(gram, id): which documents hold which of the trigrams, in either case."""
-    lowered = docs.select("id", F.lower("text").alias("low"))  # by itself, so that it is done once and not for each trigram
+    """``docs`` (with ``text``) with ``grams``, those of the trigrams that each row holds, in either case.
+
+    The index is kept by row, beside the text, so that looking up a row's postings moves nothing.
+    """
+    lowered = docs.withColumn("low", F.lower("text"))  # by itself, so that it is done once and not for each trigram
     held = F.array_compact(F.array(*[F.when(F.contains("low", F.lit(g)), F.lit(g)) for g in trigrams]))
-    return lowered.select("id", F.explode(held).alias("gram")).select("gram", "id")
+    return lowered.withColumn("grams", held).drop("low")
 
 
 def candidates(index: DataFrame, queries: dict[str, Query]) -> DataFrame:
-    """(id, kinds): for each document the rules whose trigram query its postings satisfy."""
-    held = index.groupBy("id").agg(F.collect_set("gram").alias("grams"))
-
+    """``index`` with ``kinds`` for ``grams``: the rules whose trigram query the row's postings satisfy."""
     def holds(query: Query) -> Column:
         every = F.lit(True)
         for clause in query:
@@ -149,7 +150,7 @@ def candidates(index: DataFrame, queries: dict[str, Query]) -> DataFrame:
         return every
 
     kinds_held = F.array_compact(F.array(*[F.when(holds(q), F.lit(k)) for k, q in queries.items()]))
-    return held.select("id", kinds_held.alias("kinds")).where(F.size("kinds") > 0)
+    return index.withColumn("kinds", kinds_held).drop("grams")
 
 
 def _spans(rule: Rule, rank: int) -> Column:
@@ -186,26 +187,20 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id
     """(doc_id, found): every row of ``docs`` with its spans, an array of (start, rank, stop, kind), by start, then rank.
 
     ``rank`` is the rule's place in ``rules``; ends are exclusive; positions count code points. Null and empty texts have
-    no spans. Rows that share an id are candidates together, but each is searched by itself; a row without an id is
-    always searched. Other columns are not read.
+    no spans. Every row is looked up and searched by itself, whatever its id, in one pass over the texts without a
+    shuffle. Other columns are not read.
     """
     for rule in rules:
         re.compile(rule.pattern)
     queries = {r.kind: q for r in rules if (q := trigram_query(r.pattern))}
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"))
     grams = sorted({g for q in queries.values() for clause in q for alternative in clause for g in alternative})
-    if grams:
-        index = stored(postings(rows, grams), "secret-postings")
-        may = stored(candidates(index.where("id IS NOT NULL"), queries), "secret-candidates")
-        n = may.count()
-        rows = rows.join(F.broadcast(may) if n <= SMALL_ROWS else may, "id", "left")
-    else:
-        rows = rows.withColumn("kinds", F.lit(None).cast("array<string>"))
+    rows = candidates(postings(rows, grams), queries)
     none = F.array().cast("array<struct<start:int,rank:int,stop:int,kind:string>>")
     parts = []
     for rank, rule in enumerate(rules):
         if rule.kind in queries:
-            here = F.col("id").isNull() | F.coalesce(F.array_contains("kinds", rule.kind), F.lit(False))
+            here = F.array_contains("kinds", rule.kind)
         else:
             here = F.col("text").rlike(rule.pattern)
         parts.append(F.when(here, _spans(rule, rank)).otherwise(none))
