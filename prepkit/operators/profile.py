@@ -19,12 +19,15 @@ from pyspark.sql import types as T
 from prepkit.functions.cells import Bracket, bracket, missing, valid_cell
 from prepkit.functions.markup import tokens
 from prepkit.operators.columns import columns_of, nan_to_null
+from prepkit.operators.gram import gram_correlations
 from prepkit.operators.lookup import bounded
 from prepkit.operators.ranking import running_totals
 from prepkit.sources.frozen import frozen
 
 # Distinct values a single exact-percentile buffer may hold.
 BUFFER_VALUES = 200_000
+# Columns whose pairs are each an expression of one aggregate.
+PAIRED_COLUMNS = 16
 # Values of one column gathered to finish a narrowed quantile.
 GATHERED_VALUES = 50_000
 
@@ -403,12 +406,19 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, kinds)
 
 
+def _corr(a: str, b: str) -> Column:
+    """Pearson's r over rows that have both; NULL where one has no spread, for which Spark's own divides by zero."""
+    spread = F.stddev_pop(F.when(F.col(b).isNotNull(), F.col(a))) * F.stddev_pop(F.when(F.col(a).isNotNull(), F.col(b)))
+    return F.try_divide(F.covar_pop(a, b), spread)
+
+
 def corr_matrix(
     df: DataFrame, columns: Sequence[str], above: float | None = None, at_least: float | None = None
 ) -> DataFrame:
-    """``col_a, col_b, r, n`` for each pair, over rows where both cells count.
+    """``col_a, col_b, r, n`` for each pair, over rows where both cells count; no r without spread.
 
-    With ``above`` or ``at_least`` only cells beyond that value count.
+    With ``above`` or ``at_least`` only cells beyond that value count. A few columns are one aggregate of expressions, more
+    than ``PAIRED_COLUMNS`` go through matrix products.
     """
     def cell(c: str) -> Column:
         if above is not None:
@@ -421,11 +431,13 @@ def corr_matrix(
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
     if not pairs:
         return df.sparkSession.createDataFrame([], "col_a string, col_b string, r double, n bigint")
+    if len(columns) > PAIRED_COLUMNS:
+        return gram_correlations(cells, columns)
     return _long([
         {
             "col_a": F.lit(a),
             "col_b": F.lit(b),
-            "r": F.corr(a, b),
+            "r": _corr(a, b),
             "n": F.count_if(F.col(a).isNotNull() & F.col(b).isNotNull()),
         }
         for a, b in pairs

@@ -4,6 +4,7 @@ from prepkit.queries import (  # noqa: F401
     cleaning,
     closed_forms,
     encoding,
+    figures,
     files,
     flagship,
     gaps,
