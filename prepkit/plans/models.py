@@ -31,7 +31,7 @@ from prepkit.operators.rows import union_by_name
 from prepkit.operators.scale import assemble
 from prepkit.operators.split import with_folds
 from prepkit.plans.scoring import classification_scores, metrics_table
-from prepkit.plans.stages import PairwiseMax, PairwiseProduct, SquareProduct
+from prepkit.plans.stages import FourierFeatures, PairwiseMax, PairwiseProduct, SquareProduct
 from prepkit.sources.frozen import frozen
 
 # The parameter grids of the heart-disease and passenger models.
@@ -110,6 +110,11 @@ def feature_stages(
     return [*stages, assemble(chosen, "raw_features"), scaler]
 
 
+def kernel_stages(columns: Sequence[str], gamma: float, n_features: int = 256, seed: int = 42) -> list[Any]:
+    """Features under which a linear machine is one with a Gaussian kernel; ``stages.scale_gamma`` proposes a gamma."""
+    return [FourierFeatures(inputCols=list(columns), outputCol="features", numFeatures=n_features, gamma=gamma, seed=seed)]
+
+
 def passenger_stages(numeric: Sequence[str], strings: Sequence[str]) -> list[Any]:
     """Index, impute, multiply and square, then assemble everything made."""
     filled = [f"Imputed{c}" for c in numeric]
