@@ -21,6 +21,8 @@ from prepkit.llm.shingles import U, bytes_of, mixed, pieces
 
 #: Rows learned from, for each language and in all; size of the hashed counts.
 PER_LANGUAGE, SAMPLE, SIZE = 800, 8_000, 2048
+#: Texts whose counts a task holds at once, however short they are: 16 MB of them.
+AT_ONCE = 1000
 UNKNOWN = "und"
 
 #: Bytes that are no letters: blanks, signs and digits of ASCII; they separate words. Other bytes belong to letters.
@@ -34,7 +36,7 @@ _CODE[~_LETTER] = 32
 def counts(texts: pa.Array, size: int = SIZE) -> Iterator[tuple[int, np.ndarray]]:
     """(first text, rows of counts) by pieces: square roots of the counts of letter pairs and triples, of length 1."""
     data, starts = bytes_of(texts)
-    for lo, hi in pieces(starts):
+    for lo, hi in pieces(starts, texts=AT_ONCE):
         code = _CODE[data[starts[lo]:starts[hi]]].astype(U)
         owner = np.repeat(np.arange(hi - lo), np.diff(starts[lo:hi + 1]))
         out = np.zeros((hi - lo) * size)

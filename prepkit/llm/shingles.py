@@ -50,11 +50,12 @@ def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return held[ends[0]:ends[-1]], ends - ends[0]
 
 
-def pieces(starts: np.ndarray, most: int = PIECE) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``most`` bytes; a longer text is alone."""
+def pieces(starts: np.ndarray, most: int = PIECE, texts: int = 1 << 31) -> Iterator[tuple[int, int]]:
+    """Ranges of at most ``texts`` texts and about ``most`` bytes; a longer text is alone."""
     lo, n = 0, len(starts) - 1
     while lo < n:
         hi = max(lo + 1, int(np.searchsorted(starts, starts[lo] + most, "right")) - 1)
+        hi = min(hi, lo + texts)
         yield lo, hi
         lo = hi
 

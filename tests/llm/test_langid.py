@@ -68,3 +68,10 @@ def test_the_sample_holds_the_smallest_hashes(spark):
     low = ids.where(may_be_among("hash", 500, F.lit(20_000)))
     assert 1_500 < low.count() < 2_500
     assert low.orderBy("hash").limit(500).collect() == ids.orderBy("hash").limit(500).collect()
+
+
+def test_many_tiny_texts_are_counted_in_bounded_pieces():
+    texts = pa.array(["ab", "xyz"] * 6000)
+    parts = list(langid.counts(texts))
+    assert max(len(rows) for _, rows in parts) <= langid.AT_ONCE and sum(len(rows) for _, rows in parts) == 12000
+    assert [lo for lo, _ in parts] == list(range(0, 12000, langid.AT_ONCE))
