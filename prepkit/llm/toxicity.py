@@ -22,8 +22,9 @@ from prepkit.llm.shared import fold_of, may_be_among, packed, stored, text_of, u
 
 WORD = re.compile(r"[^\W_]+")
 QUOTES = re.compile(r"[\"“”„«»‹›]")
-#: Labelled rows a model is learned from, at most; terms of the lexicon, at most.
-SAMPLE, TERMS = 20_000, 2_000
+#: Labelled rows a model is learned from, at most; they bound the lexicon, which holds every word that passes the bars:
+#: the toxic rows with it, their share among all with it, and its likelihood ratio.
+SAMPLE, BAD_ROWS, BAD_SHARE, GAIN = 20_000, 4, 0.8, 25
 #: What a hit counts: plain, or inside a quotation; how far, in characters, a quotation's marks may be.
 PLAIN, QUOTED, REACH = 1.0, 0.25, 240
 #: Shorter terms are met exactly only. Words whose matches a task remembers.
@@ -164,8 +165,7 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(toxic, pa.int32()), pa.array(words, pa.string())], ["toxic", "word"])
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int = TERMS, id_col: str = "doc_id",
-          text_col: str = "text") -> Model:
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """A model from labelled rows outside the held-out fold: those with the ``sample`` smallest hashes of their id.
 
     Rows without a label or an id are left out; an id labelled twice is toxic if either label says so; equal texts
@@ -191,8 +191,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int =
     b, g = F.col("bad"), F.col("good")
     share = b / (b + g)
     gain = 2 * (b * F.log(share / rate) + F.when(g > 0, g * F.log((1 - share) / (1 - rate))).otherwise(0.0))
-    best = counted.where((b >= 4) & (share >= 0.8)).withColumn("gain", gain).where("gain >= 25")
-    found = best.orderBy(F.col("gain").desc(), "word").limit(terms).collect()
+    best = counted.where((b >= BAD_ROWS) & (share >= BAD_SHARE)).withColumn("gain", gain).where(F.col("gain") >= GAIN)
+    found = best.orderBy(F.col("gain").desc(), "word").collect()  # words of at most ``sample`` texts
     lexicon = {r["word"]: math.log((r["bad"] + 0.5) / (r["good"] + 0.5) * good / bad) for r in found}
     if not lexicon:
         return Model(weights=(math.log(rate / (1 - rate)),))
@@ -200,8 +200,11 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int =
     near = counted.mapInArrow(_near(model), "word string, term string, bad long, good long").collect()
     model.apart = frozenset(r["word"] for r in near if r["good"])
     all_bad, all_good = sum(r["bad"] for r in near) + 1, sum(r["good"] for r in near) + 1
+    by_term: dict[str, list] = {}
+    for r in near:
+        by_term.setdefault(r["term"], []).append(r)
     for term, weight in lexicon.items():
-        mine = [r for r in near if r["term"] == term]
+        mine = by_term.get(term, [])
         b = sum(r["bad"] for r in mine) + all_bad / (all_bad + all_good)
         g = sum(r["good"] for r in mine) + all_good / (all_bad + all_good)
         model.close[term] = min(weight, max(0.0, math.log(b / g * good / bad)))
