@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prepkit.functions import cells, markup
-from prepkit.operators import columns, impute, lookup, profile, rows, scale, split
+from prepkit.operators import columns, impute, lookup, profile, rows, scale, shapes, split
 from prepkit.operators.columns import Roles
 from prepkit.plans import models, robustness, scoring
 from prepkit.plans.rates import AGE_RATES_COARSE, AGE_RATES_FINE, SEX_RATES
@@ -192,17 +192,16 @@ def heart_report(
 
 
 def heart_comparison(df: DataFrame, key: str, label: str = "target", fraction: float = 0.1, seed: int = 42) -> DataFrame:
-    """Six models: logistic regression and SVM on plain, squared, and smoke-free gap-free columns."""
+    """Six models: logistic regression and a kernel SVM on plain, squared, and smoke-free gap-free columns."""
     features = [c for c in df.columns if c not in (label, key)]
     whole = rows.drop_null_columns(df.drop("smoke"))
     bare = [c for c in features if c in whole.columns]
     train, test = split.random_split(frozen(df, "heart"), [1.0 - fraction, fraction], key, seed)
     sets = {"1": (features, False), "2": (features, True), "3": (bare, False)}
-    entries = {
-        f"{short}{n}": (models.feature_stages(chosen, squares=squares), models.classifier(name, label))
-        for short, name in (("lr", "Logistic Regression"), ("svm", "Linear SVM"))
-        for n, (chosen, squares) in sets.items()
-    }
+    entries = {f"lr{n}": (models.feature_stages(chosen, squares=squares), models.classifier("Logistic Regression", label))
+               for n, (chosen, squares) in sets.items()}
+    for n, (chosen, squares) in sets.items():
+        entries[f"svm{n}"] = (models.fitted_kernel_stages(train, chosen, squares), models.classifier("Linear SVM", label, regParam=1e-3))
     return models.compare_models(train, test, entries)
 
 
@@ -277,7 +276,9 @@ def flights(df: DataFrame, width: float = 50.0, delays: Sequence[str] = DELAYS)
         "shape": profile.skew_kurtosis(rows.drop_nulls(distinct, ["Distance", "AirTime"]), ["Distance", "AirTime"]),
         "by_distance": profile.binned_stats(binned, ["bin"], "AirTime"),
         "normality": profile.normality(binned, ["bin"], "AirTime"),
+        "rank_normality": shapes.rank_normality(binned, ["bin"], "AirTime"),
         "violins": profile.box_by_group(binned, ["bin"], "AirTime"),
+        "curves": shapes.density_by_group(binned, ["bin"], "AirTime"),
     }
 
 

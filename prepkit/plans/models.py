@@ -31,7 +31,7 @@ from prepkit.operators.rows import union_by_name
 from prepkit.operators.scale import assemble
 from prepkit.operators.split import with_folds
 from prepkit.plans.scoring import classification_scores, metrics_table
-from prepkit.plans.stages import FourierFeatures, PairwiseMax, PairwiseProduct, SquareProduct
+from prepkit.plans.stages import FourierFeatures, PairwiseMax, PairwiseProduct, SquareProduct, scale_gamma
 from prepkit.sources.frozen import frozen
 
 # The parameter grids of the heart-disease and passenger models.
@@ -115,6 +115,14 @@ def kernel_stages(columns: Sequence[str], gamma: float, n_features: int = 256, s
     return [FourierFeatures(inputCols=list(columns), outputCol="features", numFeatures=n_features, gamma=gamma, seed=seed)]
 
 
+def fitted_kernel_stages(df: DataFrame, columns: Sequence[str], squares: bool = False, n_features: int = 256) -> list[Any]:
+    """Kernel features of the columns, and of their squares, with the gamma that fits their spread in ``df``."""
+    names = [*derived_names(columns, squares, False, False), *columns]
+    made = [SquareProduct(inputCols=list(columns), outputCols=derived_names(columns, True, False, False))] if squares else []
+    whole = made[0].transform(df) if made else df
+    return [*made, *kernel_stages(names, scale_gamma(whole, names), n_features)]
+
+
 def passenger_stages(numeric: Sequence[str], strings: Sequence[str]) -> list[Any]:
     """Index, impute, multiply and square, then assemble everything made."""
     filled = [f"Imputed{c}" for c in numeric]

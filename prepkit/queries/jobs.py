@@ -163,6 +163,52 @@ def heart_profiled(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(boxes.select("q1", "median", "q3"), 6, "q1", "median", "q3")
 
 
+def _heart_events(spark: SparkSession, folder: str) -> DataFrame:
+    """The events cleaned as heart rows: four columns of numbers, four of codes, all with gaps and spread before."""
+    k = F.col("event_id")
+    given = {
+        "age": F.col("age"), "sex": (F.col("sex") == "male").cast("double"), "trestbps": F.col("value"), "thalach": F.col("value") / 2,
+        "oldpeak": F.when(k % 10 != 0, (k % 60) / 10.0), "thaldur": F.nullif(k % 23, F.lit(0)), "fbs": F.col("flag"),
+        "painloc": F.when(k % 9 != 0, k % 2), "slope": F.when(k % 4 != 0, k % 3 + 1), "cp": F.when(k % 5 != 0, k % 4 + 1),
+    }
+    columns = [given.get(c, F.lit(1.0)).cast("string").alias(c) for c in jobs.HEART_COLUMNS]
+    return jobs.heart_clean(dirty(spark, folder).select("event_id", *columns), "event_id")
+
+
+PROFILED = {"age": "age::double", "trestbps": "CASE WHEN trestbps >= 100 THEN trestbps ELSE m1 END", "thaldur": "coalesce(thaldur, m4)",
+            "thalach": "coalesce(thalach, m2)", "oldpeak": "CASE WHEN oldpeak BETWEEN 0 AND 4 THEN oldpeak ELSE m3 END"}
+PROFILE_SQL = HEART_SQL + ", c AS (SELECT event_id, " + ", ".join(f"{x} AS {c}" for c, x in PROFILED.items()) + " FROM h, fits)" + "".join(f"""
+, q_{c} AS (SELECT quantile_cont({c}, 0.25) AS a, quantile_cont({c}, 0.75) AS b FROM c)
+, k_{c} AS (SELECT event_id, CASE WHEN {c} BETWEEN a - 1.5 * (b - a) AND b + 1.5 * (b - a) THEN {c} END AS x FROM c, q_{c})
+, m_{c} AS (SELECT x AS m FROM k_{c} WHERE x IS NOT NULL GROUP BY x ORDER BY count(*) DESC, x LIMIT 1)""" for c in PROFILED) + """
+, filled AS (SELECT event_id, """ + ", ".join(f"coalesce(k_{c}.x, (SELECT m FROM m_{c})) AS {c}" for c in PROFILED) + """
+  FROM k_age """ + " ".join(f"JOIN k_{c} USING (event_id)" for c in PROFILED if c != "age") + ")"
+
+
+@query(PROFILE_SQL + " UNION ALL ".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, CASE WHEN NOT isnan(corr({a}, {b})) THEN round(corr({a}, {b}), 6) END AS r, count(*) AS n FROM filled"
+    for i, a in enumerate(PROFILED) for b in list(PROFILED)[i + 1:]))
+def heart_profile_correlations(spark: SparkSession, folder: str) -> DataFrame:
+    found = jobs.heart_profile(_heart_events(spark, folder), jobs.HEART_ROLES)["correlations"]
+    return rounded(found, 6, "r")
+
+
+@query(PROFILE_SQL + " UNION ALL ".join(f"""
+SELECT '{c}' AS "column", round(quantile_cont({c}, 0.25), 6) AS q1, round(quantile_cont({c}, 0.5), 6) AS median, round(quantile_cont({c}, 0.75), 6) AS q3
+FROM filled""" for c in PROFILED))
+def heart_profile_boxes(spark: SparkSession, folder: str) -> DataFrame:
+    found = jobs.heart_profile(_heart_events(spark, folder), jobs.HEART_ROLES)["boxes"]
+    return rounded(found.select("column", "q1", "median", "q3"), 6, "q1", "median", "q3")
+
+
+@query(HEART_SQL + ", v AS (SELECT coalesce(CASE WHEN fbs <= 1 THEN fbs END, o1) AS fbs, coalesce(painloc, o2) AS painloc, coalesce(slope, o3) AS slope, "
+       "coalesce(cp, o4) AS cp FROM h, fits) " + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", {c}::varchar AS value, count(*) AS n FROM v GROUP BY 2""" for c in ("fbs", "painloc", "slope", "cp")))
+def heart_profile_counts(spark: SparkSession, folder: str) -> DataFrame:
+    found = jobs.heart_profile(_heart_events(spark, folder), jobs.HEART_ROLES)["counts"]
+    return found.where(F.col("column").isin("fbs", "painloc", "slope", "cp"))
+
+
 RATE_PAGES_SQL = "WITH r AS (SELECT c_custkey, (c_custkey % 90)::int AS k FROM customer) "
 
 
@@ -266,7 +312,9 @@ def _box_sql(source: str) -> str:
           count(*) FILTER (x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1)) AS n_outliers
         FROM (SELECT {c} AS x FROM {source}), (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5) AS q2, quantile_cont({c}, 0.75) AS q3 FROM {source})
         GROUP BY q1, q2, q3""")
-    return FLIGHTS_SQL + ", late_ones AS (SELECT * FROM f WHERE dep >= 0 AND arr >= 0) " + " UNION ALL ".join(rows)
+    return FLIGHTS_SQL + """, late_ones AS (SELECT * FROM f WHERE dep >= 0 AND arr >= 0),
+  positive_ones AS (SELECT CASE WHEN dep > 0 THEN dep END AS dep, CASE WHEN arr > 0 THEN arr END AS arr, CASE WHEN late > 0 THEN late END AS late FROM f)
+""" + " UNION ALL ".join(rows)
 
 
 BOX_FIGURES = ("q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi")
@@ -306,3 +354,36 @@ def flights_by_distance(spark: SparkSession, folder: str) -> DataFrame:
     )
     done = jobs.flights(flights, 10.0, ["DepDelay", "ArrDelay", "LateAircraftDelay"])["by_distance"]
     return rounded(rounded(done, 4, "mean", "std", "median"), 5, "skew")
+
+
+@query(_box_sql("positive_ones"))
+def flight_positive_boxes(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(_flights(spark, folder)["positive_boxes"], 6, *BOX_FIGURES)
+
+
+@query(FLIGHTS_SQL + "SELECT 'Distance' AS col_a, 'AirTime' AS col_b, round(corr(d, a), 6) AS r, count(*) AS n FROM f")
+def flight_distance_air_time(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(_flights(spark, folder)["distance_air_time"], 6, "r")
+
+
+@query(FLIGHTS_SQL + """
+, b AS (SELECT (ceil(d / 10.0::double) - 1)::int AS bin, a FROM f), m AS (SELECT bin, avg(a) AS m, var_pop(a) AS v, count(*) AS n FROM b GROUP BY bin),
+g AS (SELECT bin, max(n) AS n, avg(power(a - m, 3)) / power(max(v), 1.5) AS s, avg(power(a - m, 4)) / power(max(v), 2) - 3 AS k FROM b JOIN m USING (bin) GROUP BY bin),
+j AS (SELECT bin, n, n / 6.0::double * (s * s + k * k / 4) AS jb FROM g WHERE n > 500)
+SELECT bin, n, round(jb, 4) AS jb, round(exp(-jb / 2), 6) AS p, exp(-jb / 2) > 0.05 AS normal FROM j
+""")
+def flight_normality(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(rounded(_flights(spark, folder)["normality"], 4, "jb"), 6, "p")
+
+
+@query(FLIGHTS_SQL + """
+, b AS (SELECT (ceil(d / 10.0::double) - 1)::int AS bin, a FROM f),
+q AS (SELECT bin, quantile_cont(a, 0.25) AS q1, quantile_cont(a, 0.5) AS q2, quantile_cont(a, 0.75) AS q3 FROM b GROUP BY bin)
+SELECT bin, round(q1, 6) AS q1, round(q2, 6) AS median, round(q3, 6) AS q3, round(q3 - q1, 6) AS iqr,
+  round(min(a) FILTER (a BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), 6) AS whisker_lo,
+  round(max(a) FILTER (a BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), 6) AS whisker_hi,
+  count(*) FILTER (a NOT BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS n_outliers
+FROM b JOIN q USING (bin) GROUP BY bin, q1, q2, q3
+""")
+def flight_violins(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(_flights(spark, folder)["violins"], 6, *BOX_FIGURES)

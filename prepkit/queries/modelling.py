@@ -123,6 +123,21 @@ def cross_validation(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.cv_summary(folds, ["accuracy", "precision", "recall", "f1"])
 
 
+@query()
+def heart_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The heart report on labelled documents: grids of two classifiers searched, the best of each scored on held-out rows."""
+    grids = {"Decision Tree": {"maxDepth": [2, 5]}, "Logistic Regression": {"regParam": [0.01, 0.1], "elasticNetParam": [0.0]}}
+    metrics, _ = jobs.heart_report(labelled_features(spark, folder).drop("lang"), "doc_id", "quality", grids, folds=2)
+    return metrics
+
+
+@query()
+def heart_comparison(spark: SparkSession, folder: str) -> DataFrame:
+    """Six models on labelled documents, three of them kernel machines."""
+    data = labelled_features(spark, folder).drop("lang").withColumn("smoke", F.col("doc_id") % 2 * 1.0)
+    return jobs.heart_comparison(data, "doc_id", "quality")
+
+
 @query()
 def passenger_search(spark: SparkSession, folder: str) -> DataFrame:
     """The passenger job on labelled documents with gaps: ``auc, max_depth``."""
