@@ -6,6 +6,7 @@ search leaves out nothing that the check on shingles would confirm.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,8 +19,10 @@ from prepkit.llm.shingles import U, bytes_of, pieces, shingle_hashes, word_hashe
 
 K1, B = 1.2, 0.75
 WIDTH, OVERLAP = 5, 0.8
-#: Items, and words of items, to one index; items to a block of it.
-INDEX_ITEMS, INDEX_WORDS, BLOCK_ITEMS = 1000, 200_000, 16
+#: Items, and words of items, to one index; items to a block of it; words of the indexes that a pass over the texts holds.
+INDEX_ITEMS, INDEX_WORDS, BLOCK_ITEMS, PASS_WORDS = 1000, 200_000, 16, 4_000_000
+#: A score of 1 reaches an item's threshold; sums of many weights may fall short by rounding.
+ENOUGH = 1 - 1e-6
 
 
 def split_item(text: str) -> tuple[str, str]:
@@ -44,7 +47,10 @@ def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Index:
-    """Some of the items: postings with weights in parts of their item's threshold, and their maxima by block of items."""
+    """Some of the items: postings with weights in parts of their item's threshold, and their maxima by block of items.
+
+    Postings and maxima are kept by word one after the other, so an index takes room for its postings alone.
+    """
 
     def __init__(self, items: list[tuple[int, list[int], list[int]]], idf: dict[int, float], mean: float, overlap: float, width: int, window: int):
         self.ids = [x[0] for x in items]
@@ -65,11 +71,14 @@ class Index:
         self.item, self.weight, word = item[order], weight[order], word[order]
         self.vocabulary, self.first = np.unique(word, return_index=True)
         self.first = np.append(self.first, len(word))
-        blocks = -(-len(items) // BLOCK_ITEMS)
-        self.most = np.zeros((len(self.vocabulary), blocks), np.float32)
-        np.maximum.at(self.most, (np.repeat(np.arange(len(self.vocabulary)), np.diff(self.first)), self.item // BLOCK_ITEMS), self.weight.astype(np.float32))
-        self.most *= np.float32(1 + 1e-5)  # rounding never lowers a bound
-        self.bound = self.most.max(1).astype(float) if blocks else np.zeros(0)
+        self.blocks = -(-len(items) // BLOCK_ITEMS)
+        block, head = self.item // BLOCK_ITEMS, np.ones(len(word), bool)
+        head[1:] = (word[1:] != word[:-1]) | (block[1:] != block[:-1])
+        at = np.flatnonzero(head)
+        self.block = block[at]
+        self.most = np.maximum.reduceat(self.weight, at) * (1 + 1e-9)  # rounding never lowers a bound
+        self.block_first = np.searchsorted(at, self.first)
+        self.bound = np.maximum.reduceat(self.most, self.block_first[:-1])
 
     def _shingles(self, words: np.ndarray, width: int | None = None) -> np.ndarray:
         """Distinct runs of ``width`` words; fewer words than that are one run of them all."""
@@ -80,30 +89,58 @@ class Index:
         width = min(self.width, max(1, len(words)))
         return width, self._shingles(words, width)
 
+    @staticmethod
+    def _places(first: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places of all that belongs to the terms, which of the terms each belongs to)."""
+        sizes = first[terms + 1] - first[terms]
+        owner = np.repeat(np.arange(len(terms)), sizes)
+        return np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes - first[terms], sizes), owner
+
     def search(self, terms: np.ndarray) -> list[int]:
-        """Items whose score for these distinct terms (places in the vocabulary) reaches their threshold.
+        """Items whose score for these distinct terms (places in the vocabulary) reaches their threshold, by block-max WAND.
 
-        A block is skipped if its maxima stay under it; within one, terms come by falling bound, and items that the
-        terms to come cannot lift to it are dropped.
+        Blocks whose maxima together stay under it are left out at once, which mostly leaves none. Over the others a
+        cursor a term walks its items: the first item that the terms at or before it could lift to the threshold is the
+        pivot; if the maxima of its block cannot, all cursors go past the block, else it is scored, or the cursors
+        before it move up to it.
         """
-        out = []
-        bounds = self.most[terms]
-        for block in np.flatnonzero(bounds.sum(0) >= 1 - 1e-6).tolist():
-            mine = bounds[:, block]
-            order = np.argsort(-mine)
-            order = order[mine[order] > 0]
-            left = mine[order][::-1].cumsum()[::-1]
-            score, lo = np.zeros(BLOCK_ITEMS), block * BLOCK_ITEMS
-            for k, t in enumerate(terms[order].tolist()):
-                a, b = self.first[t], self.first[t + 1]
-                i, j = a + np.searchsorted(self.item[a:b], [lo, lo + BLOCK_ITEMS])
-                score[self.item[i:j] - lo] += self.weight[i:j]
-                rest = left[k + 1] if k + 1 < len(order) else 0.0
-                if score.max() + rest < 1 - 1e-6:
+        at, owner = self._places(self.block_first, terms)
+        open_ = np.bincount(self.block[at], self.most[at], minlength=self.blocks) >= ENOUGH
+        if not open_.any():
+            return []
+        kept = open_[self.block[at]]
+        top: list[dict[int, float]] = [{} for _ in terms]
+        for t, b, m in zip(owner[kept].tolist(), self.block[at[kept]].tolist(), self.most[at[kept]].tolist()):
+            top[t][b] = m
+        at, owner = self._places(self.first, terms)
+        kept = open_[self.item[at] // BLOCK_ITEMS]
+        at, owner = at[kept], owner[kept]
+        cuts = np.searchsorted(owner, np.arange(len(terms) + 1)).tolist()
+        items, weights = self.item[at].tolist(), self.weight[at].tolist()
+        bound = [max(x.values(), default=0.0) for x in top]
+        cursor, end, out = cuts[:-1], cuts[1:], []
+        while True:
+            live = sorted((items[cursor[t]], t) for t in range(len(terms)) if cursor[t] < end[t])
+            total, pivot = 0.0, None
+            for item, t in live:
+                total += bound[t]
+                if total >= ENOUGH:
+                    pivot = item
                     break
+            if pivot is None:
+                return out
+            upto = [t for item, t in live if item <= pivot]
+            if sum(top[t].get(pivot // BLOCK_ITEMS, 0.0) for t in upto) < ENOUGH:
+                after = (pivot // BLOCK_ITEMS + 1) * BLOCK_ITEMS
+                to = min([after, *[item for item, _ in live[len(upto):len(upto) + 1]]])
+            elif live[0][0] == pivot:
+                if sum(weights[cursor[t]] for t in upto) >= ENOUGH:
+                    out.append(pivot)
+                to = pivot + 1
             else:
-                out += (lo + np.flatnonzero(score >= 1 - 1e-6)).tolist()
-        return out
+                to = pivot
+            for t in upto:
+                cursor[t] = bisect_left(items, to, cursor[t], end[t])
 
     def passages(self, words: np.ndarray) -> Iterator[tuple[int, np.ndarray, dict[int, np.ndarray]]]:
         """(item, words of the passage, its runs by their width as far as asked for) over passages of a text, each
@@ -114,10 +151,10 @@ class Index:
         upto = np.concatenate([[0.0], np.cumsum(np.where(known, self.bound[place], 0.0))])
         for lo in np.arange(0, max(1, len(words) - self.window + 1), self.window).tolist():
             hi = min(len(words), lo + 2 * self.window)
-            if upto[hi] - upto[lo] < 1 - 1e-6:
+            if upto[hi] - upto[lo] < ENOUGH:
                 continue
             terms = np.unique(place[lo:hi][known[lo:hi]])
-            if self.bound[terms].sum() < 1 - 1e-6:
+            if self.bound[terms].sum() < ENOUGH:
                 continue
             runs: dict[int, np.ndarray] = {}
             yield from ((i, words[lo:hi], runs) for i in self.search(terms))
@@ -132,24 +169,25 @@ class Index:
         return float(np.isin(grams, runs[width], assume_unique=True).mean())
 
 
-def _searched(index):
-    """(row, item, overlap, question, answer) of confirmed items, the best passage of each."""
+def _searched(indexes):
+    """(id, mark, item, overlap, question, answer) of confirmed items, the best passage of each, from all indexes at once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ix: Index = index.value
+        every: list[Index] = [x.value for x in indexes]
         for b in batches:
             data, starts = bytes_of(b.column("text"))
             rows, items, shares = [], [], []
             for lo, hi in pieces(starts):
                 words, firsts = word_hashes(data[starts[lo]:starts[hi]], starts[lo:hi + 1] - starts[lo])
                 for k in range(hi - lo):
-                    best: dict[int, tuple[float, float, float]] = {}
-                    for i, *passage in ix.passages(words[firsts[k]:firsts[k + 1]]):
-                        share = ix.share(ix.grams[i], *passage)
-                        if share >= ix.overlap - 1e-9:
-                            best[i] = max(best.get(i, (0.0,)), (share, *[ix.share(s, *passage) for s in ix.sides[i]]))
-                    rows += [lo + k] * len(best)
-                    items += [ix.ids[i] for i in best]
-                    shares += best.values()
+                    for ix in every:
+                        best: dict[int, tuple[float, float, float]] = {}
+                        for i, *passage in ix.passages(words[firsts[k]:firsts[k + 1]]):
+                            share = ix.share(ix.grams[i], *passage)
+                            if share >= ix.overlap - 1e-9:
+                                best[i] = max(best.get(i, (0.0,)), (share, *[ix.share(s, *passage) for s in ix.sides[i]]))
+                        rows += [lo + k] * len(best)
+                        items += [ix.ids[i] for i in best]
+                        shares += best.values()
             columns = [pa.array([s[k] for s in shares], pa.float64()) for k in range(3)]
             yield pa.RecordBatch.from_arrays(
                 [b.column("id").take(pa.array(rows, pa.int64())), b.column("mark").take(pa.array(rows, pa.int64())), pa.array(items, pa.int64()), *columns],
@@ -159,7 +197,8 @@ def _searched(index):
 
 
 def leaks(docs: DataFrame, items: DataFrame, overlap: float = OVERLAP, width: int = WIDTH, id_col: str = "doc_id",
-          text_col: str = "text", item_col: str = "item_id", item_text: str = "text", index_items: int = INDEX_ITEMS) -> DataFrame:
+          text_col: str = "text", item_col: str = "item_id", item_text: str = "text", index_items: int = INDEX_ITEMS,
+          pass_words: int = PASS_WORDS) -> DataFrame:
     """(id, mark, item, overlap, question, answer): each test item found in each text; ``mark`` is xxhash64 of the text.
 
     An item is found if a passage of the text holds the share ``overlap`` of its ``width``-word shingles, question and
@@ -167,8 +206,9 @@ def leaks(docs: DataFrame, items: DataFrame, overlap: float = OVERLAP, width: in
     long, and every stretch as long as that lies wholly in one. An item, question or answer of n < ``width`` words is compared with the
     passage's runs of n words, so a short item is found wherever its words stand in a row, and an item of one word in
     every text with that word. Items without a word, null or empty ones among them, are never found. Rows with the same
-    id and text are found alike; rows that share an item_id are items of their own. Items are searched in indexes of
-    bounded size, one after the other; the longest item is that of all indexes, so their number changes no result.
+    id and text are found alike; rows that share an item_id are items of their own. Items lie in indexes of bounded size,
+    and a pass over the texts searches all indexes of up to ``pass_words`` words together; the longest item is that of all
+    indexes, so neither number changes a result.
     """
     spark = docs.sparkSession
     named = items.select(F.col(f"`{item_col}`").cast("long").alias("item"), text_of(item_text).alias("text"))
@@ -182,19 +222,27 @@ def leaks(docs: DataFrame, items: DataFrame, overlap: float = OVERLAP, width: in
     parts = max(1, -(-n // index_items), -(-words // INDEX_WORDS))
     held = listed.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word").count()
     idf = F.log(1 + (n - F.col("count") + 0.5) / (F.col("count") + 0.5))
-    placed = listed.withColumn("part", F.pmod(F.xxhash64("item", "words"), F.lit(parts)))
+    # rows repeated many times spread like others
+    placed = stored(listed.withColumn("nth", F.monotonically_increasing_id()), "items-numbered")
+    placed = placed.withColumn("part", F.pmod(F.xxhash64("item", "words", "nth"), F.lit(parts))).drop("nth")
     weights = placed.select("part", F.explode(F.array_distinct("words")).alias("word")).distinct().join(
         held.select("word", idf.alias("idf")), "word")
     weights, placed = stored(weights, "item-weights"), stored(placed, "items-placed")
+    sizes = {r["part"]: r["words"] for r in placed.groupBy("part").agg(F.sum(F.size("words")).alias("words")).collect()}
+    passes: list[list[int]] = []
+    for part, size in sorted(sizes.items()):
+        if not passes or sum(sizes[p] for p in passes[-1]) + size > pass_words:
+            passes.append([])
+        passes[-1].append(part)
     found = None
-    for part in range(parts):
-        mine = [(r["item"], r["question"], r["answer"]) for r in placed.where(F.col("part") == part).collect()]
-        if not mine:
-            continue
-        mine.sort(key=lambda x: (x[0] is None, x[0] or 0, x[1], x[2]))
-        known = {r["word"]: r["idf"] for r in weights.where(F.col("part") == part).collect()}
-        index = spark.sparkContext.broadcast(Index(mine, known, words / n, overlap, width, total["longest"]))
-        hits = texts.select("id", "text", "mark").mapInArrow(_searched(index), out)
+    for together in passes:
+        indexes = []
+        for part in together:
+            mine = [(r["item"], r["question"], r["answer"]) for r in placed.where(F.col("part") == part).collect()]
+            mine.sort(key=lambda x: (x[0] is None, x[0] or 0, x[1], x[2]))
+            known = {r["word"]: r["idf"] for r in weights.where(F.col("part") == part).collect()}
+            indexes.append(spark.sparkContext.broadcast(Index(mine, known, words / n, overlap, width, total["longest"])))
+        hits = texts.select("id", "text", "mark").mapInArrow(_searched(indexes), out)
         found = hits if found is None else found.unionByName(hits)
     return found if found is not None else spark.createDataFrame([], out)
 

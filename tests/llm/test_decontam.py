@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from prepkit.llm import decontam
@@ -43,19 +44,35 @@ def bench(prose):
     return rows, items
 
 
-@pytest.mark.parametrize("index_items", [1000, 7])
-def test_equals_brute_force(spark, docs, bench, index_items):
+@pytest.mark.parametrize("how", [{}, {"index_items": 7}, {"index_items": 7, "pass_words": 500}])
+def test_equals_brute_force(spark, docs, bench, how):
     rows, items = bench
     frame = spark.createDataFrame(items, "item_id long, text string")
-    got = decontam.decontamination(docs(rows), frame, index_items=index_items).collect()
-    by_part = {r.doc_id: [int(x) for x in r.item_ids.split(",") if x] for r in got}
-    if index_items == 1000:
-        assert by_part == brute(rows, items)
-    else:  # passages are as long as the longest item of each index
-        assert all(set(k for k in brute([r], items)[r[0]] if dict(items)[k] in r[1]) <= set(by_part[r[0]]) for r in rows)
+    found = decontam.decontamination(docs(rows), frame, **how)
+    got = found.collect()
+    assert {r.doc_id: [int(x) for x in r.item_ids.split(",") if x] for r in got} == brute(rows, items)
     assert all(r.contaminated == bool(r.n_items) == (r.overlap >= 0.8) for r in got)
 
 
+def test_all_indexes_are_searched_in_one_pass(spark, docs, bench):
+    rows, items = bench
+    frame = spark.createDataFrame(items * 30, "item_id long, text string")
+    scans = [decontam.leaks(docs(rows), frame, index_items=k)._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") for k in (7, 1000, 100_000)]
+    assert scans == [1, 1, 1]
+
+
+def test_the_walk_finds_what_scoring_all_finds():
+    rng = np.random.default_rng(5)
+    items = [(k, rng.integers(0, 60, rng.integers(3, 12)).tolist(), rng.integers(0, 60, rng.integers(0, 4)).tolist()) for k in range(150)]
+    index = decontam.Index(items, {w: 1.0 + w / 9 for w in range(60)}, 9.0, 0.8, 5, 15)
+    for _ in range(200):
+        terms = np.unique(rng.integers(0, len(index.vocabulary), rng.integers(1, 40)))
+        score = np.zeros(150)
+        for t in terms:
+            score[index.item[index.first[t]:index.first[t + 1]]] += index.weight[index.first[t]:index.first[t + 1]]
+        assert index.search(terms) == np.flatnonzero(score >= decontam.ENOUGH).tolist()
+
+
 def test_clean_rows_stay_whole(spark, docs, bench):
     rows, items = bench
     frame = spark.createDataFrame(items, "item_id long, text string")
