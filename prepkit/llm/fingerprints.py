@@ -18,8 +18,8 @@ STRONG, LANES = 8, 128
 #: Two lanes a long: their sums never meet, and never overflow, as a text has under 2^31 sentences.
 _PAIR = (1 << 32) | 1
 PARAGRAPH, SENTENCE = "\n", r"(?<=[.!?])\s+"
-#: Rows to a block of neighbours, and most blocks; blocks grow beyond that.
-BLOCK_ROWS, MOST_BLOCKS = 1000, 20_000
+#: Rows to a block of neighbours, most blocks (they grow beyond that: 2 GB of texts each at 100 TB), rows sampled for a cut.
+BLOCK_ROWS, MOST_BLOCKS, SAMPLED = 1000, 50_000, 10
 
 
 def _hash(seed: int, col: Column) -> Column:
@@ -106,47 +106,56 @@ def combined(a: Column, b: Column, sign: int = 1) -> Column:
     return F.concat(*out)
 
 
-def _block_cuts(rows: DataFrame, block_rows: int, most: int) -> list[int]:
-    """Ids at which a new block of neighbours begins, by approximate quantiles: under ``most`` numbers at any size."""
-    blocks = max(1, min(most, rows.count() // block_rows))
+def _block_cuts(rows: DataFrame, block_rows: int, most: int) -> list[tuple[int, int]]:
+    """(id, tie) at which a new block of neighbours begins, falling: quantiles of a sample, under ``most`` at any size."""
+    n = rows.count()
+    blocks = max(1, min(most, n // block_rows))
     if blocks == 1:
         return []
-    return sorted({int(x) for x in rows.approxQuantile("id", [i / blocks for i in range(1, blocks)], 0.25 / blocks)})
+    share = min(1.0, SAMPLED * blocks / n)
+    drawn = sorted(((r["id"], r["tie"]) for r in rows.sample(share, seed=11).collect()), reverse=True)
+    return sorted({drawn[k * len(drawn) // blocks] for k in range(1, blocks)} if drawn else (), reverse=True)
 
 
-def _block_of(cuts: list[int]) -> Column:
-    """How many cuts lie below the id: a binary search in a constant array."""
+def _block_of(cuts: list[tuple[int, int]]) -> Column:
+    """How many cuts come before the row's (id, tie), both falling: a binary search in constant arrays."""
     if not cuts:
         return F.lit(0)
-    listed = F.split(F.lit(",".join(map(str, cuts))), ",").cast("array<bigint>")
+    ids, ties = (F.split(F.lit(",".join(str(c[k]) for c in cuts)), ",").cast("array<bigint>") for k in (0, 1))
     steps = [1 << k for k in reversed(range(len(cuts).bit_length()))]
-    return F.aggregate(
-        F.array(*[F.lit(x) for x in steps]), F.lit(0),
-        lambda at, step: F.when(F.get(listed, at + step - 1) < F.col("id"), at + step).otherwise(at),
-    )
+
+    def onward(at: Column, step: Column) -> Column:
+        one, other = F.get(ids, at + step - 1), F.get(ties, at + step - 1)
+        return F.when((one > F.col("id")) | ((one == F.col("id")) & (other > F.col("tie"))), at + step).otherwise(at)
+
+    return F.aggregate(F.array(*[F.lit(x) for x in steps]), F.lit(0), onward)
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(block, place, lent, id, text, next): each text beside the next one's by descending id, after the last the first.
 
     Texts are shuffled once, to blocks of neighbours. Each block is lent the first row of the block after it (``lent``
-    1, ``next`` null), so that no block looks into another. Rows that share an id stand by text; a null id counts as
-    the smallest.
+    1, ``next`` null), so that no block looks into another. Rows that share an id stand by the hash of their text, then by
+    text; a null id counts as the smallest. Blocks are cut by id and hash, so neither rows without an id nor rows of one
+    id meet in one block, however many there are; only rows equal in both id and text do.
     """
     own = F.col(f"`{id_col}`").cast("long")
     rows = docs.select(F.coalesce(own, F.lit(-(1 << 62))).alias("id"), own.isNull().alias("no_id"), text_of(text_col).alias("text"))
-    ids = rows.select("id")
-    block = _block_of(_block_cuts(ids, block_rows, MOST_BLOCKS))
-    tops = stored(ids.select("id", block.alias("block")).groupBy("block").agg(F.max("id").alias("top")), "fp-blocks")
+    rows = rows.withColumn("tie", F.xxhash64("text"))
+    places = rows.select("id", "tie")
+    block = _block_of(_block_cuts(places, block_rows, MOST_BLOCKS))
+    first = F.max(F.struct("id", "tie")).alias("top")
+    tops = stored(places.select("id", "tie", block.alias("block")).groupBy("block").agg(first), "fp-blocks")
     by_block, every = Window.orderBy("block"), Window.partitionBy()
     loans = tops.select(
-        F.coalesce(F.lag("top").over(by_block), F.max("top").over(every)).alias("lender"), F.col("block").alias("to")
+        F.col("top.id").alias("lender"), F.col("top.tie").alias("lender_tie"),
+        F.coalesce(F.lag("block").over(by_block), F.max("block").over(every)).alias("to"),
     )
-    dealt = rows.join(F.broadcast(loans), rows["id"] == loans["lender"], "left").select(
-        "id", "no_id", "text",
+    dealt = rows.join(F.broadcast(loans), (rows["id"] == loans["lender"]) & (rows["tie"] == loans["lender_tie"]), "left").select(
+        "id", "no_id", "tie", "text",
         F.explode(F.array(F.struct(block.alias("block"), F.lit(0).alias("lent")), F.struct(F.col("to").alias("block"), F.lit(1).alias("lent")))).alias("at"),
-    ).where("at.block IS NOT NULL").select("at.block", "at.lent", "id", "no_id", "text")
-    order = Window.partitionBy("block").orderBy("lent", F.col("id").desc(), "text")
+    ).where("at.block IS NOT NULL").select("at.block", "at.lent", "id", "no_id", "tie", "text")
+    order = Window.partitionBy("block").orderBy("lent", F.col("id").desc(), F.col("tie").desc(), "text")
     return dealt.select(
         "block", F.row_number().over(order).alias("place"), "lent",
         F.when(~F.col("no_id"), F.col("id")).alias("id"), "text",

@@ -60,3 +60,14 @@ def test_odd_rows(odd, odd_rows, empty):
     assert sorted((str(r.doc_id), r.n_chars) for r in got) == sorted((str(i), len(t or "")) for i, t, *_ in odd_rows)
     assert len({r.fingerprint for r in got}) == len({t or "" for _, t, *_ in odd_rows})
     assert fp.fingerprint_edits(empty).collect() == []
+
+
+def test_rows_without_an_id_fill_many_blocks(docs, prose):
+    rows = [(None, prose(4, k), "en", "a") for k in range(1500)] + [(7, prose(4, 5000 + k), "en", "a") for k in range(1500)]
+    frame = docs(rows)
+    sizes = [r["count"] for r in fp.with_next(frame, block_rows=100).where("lent = 0").groupBy("block").count().collect()]
+    assert len(sizes) > 20 and sum(sizes) == 3000 and max(sizes) < 500
+    found = fp.with_next(frame, block_rows=100).where("lent = 0").collect()
+    # one ring over all rows: every text is the next of just one
+    assert sorted(r.next for r in found) == sorted(t for _, t, *_ in rows)
+    assert all(r.id is None or r.id == 7 for r in found)
