@@ -119,8 +119,8 @@ class Index:
         items, weights = self.item[at].tolist(), self.weight[at].tolist()
         bound = [max(x.values(), default=0.0) for x in top]
         cursor, end, out = cuts[:-1], cuts[1:], []
+        live = sorted((items[a], t) for t, (a, z) in enumerate(zip(cursor, end)) if a < z)
         while True:
-            live = sorted((items[cursor[t]], t) for t in range(len(terms)) if cursor[t] < end[t])
             total, pivot = 0.0, None
             for item, t in live:
                 total += bound[t]
@@ -129,18 +129,26 @@ class Index:
                     break
             if pivot is None:
                 return out
-            upto = [t for item, t in live if item <= pivot]
+            n = bisect_left(live, (pivot + 1,))
+            upto = [t for _, t in live[:n]]
             if sum(top[t].get(pivot // BLOCK_ITEMS, 0.0) for t in upto) < ENOUGH:
                 after = (pivot // BLOCK_ITEMS + 1) * BLOCK_ITEMS
-                to = min([after, *[item for item, _ in live[len(upto):len(upto) + 1]]])
+                to = min([after, *[item for item, _ in live[n:n + 1]]])
             elif live[0][0] == pivot:
                 if sum(weights[cursor[t]] for t in upto) >= ENOUGH:
                     out.append(pivot)
                 to = pivot + 1
             else:
                 to = pivot
-            for t in upto:
-                cursor[t] = bisect_left(items, to, cursor[t], end[t])
+            moved = []
+            for item, t in live[:n]:
+                if item < to:
+                    cursor[t] = bisect_left(items, to, cursor[t], end[t])
+                    if cursor[t] < end[t]:
+                        moved.append((items[cursor[t]], t))
+                else:
+                    moved.append((item, t))
+            live = sorted(moved + live[n:])
 
     def passages(self, words: np.ndarray) -> Iterator[tuple[int, np.ndarray, dict[int, np.ndarray]]]:
         """(item, words of the passage, its runs by their width as far as asked for) over passages of a text, each
