@@ -22,9 +22,9 @@ from prepkit.llm.tagger import Tagger, encode
 
 KINDS = ("email", "ip", "card", "phone")
 #: Windows learned from at most; passes over them; characters to a window, from one to the next, and of context.
-SAMPLE, EPOCHS, WINDOW, STRIDE, CONTEXT = 1500, 8, 64, 40, 20
-#: Least mean probability of a span that the tagger adds.
-SURE = 0.9
+SAMPLE, EPOCHS, WINDOW, STRIDE, CONTEXT = 1500, 12, 64, 40, 20
+#: Least mean probability of a span that the tagger adds, and how often a span is rewritten where it may be.
+SURE, REWRITTEN = 0.6, 0.8
 
 _TRIGGER = re.compile(r"[0-9@]")
 _RUN = re.compile(r"\S+")
@@ -34,6 +34,9 @@ _IP = re.compile(r"([0-9]++(?:\.[0-9]++){3})|[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
+#: Groups of digits joined by a few signs or a spelt dot, and how far from a span its groups are looked for.
+_GROUPED = re.compile(r"[0-9]++(?:(?:[ ._/()\[\]-]{1,4}+| dot )[0-9]++)*+")
+GROUPS = 48
 
 
 def luhn(digits: str) -> bool:
@@ -102,7 +105,7 @@ def rewritten(text: str, spans, rng: random.Random) -> tuple[str, list[tuple[int
         if a < at:
             continue
         piece = text[a:b]
-        if rng.random() < 0.5:
+        if rng.random() < REWRITTEN:
             if kind == 3:
                 piece = re.sub(r"[ ().-]+", rng.choice([" ", "-", "."]), piece.removeprefix("+"))
             elif kind == 2:
@@ -282,13 +285,39 @@ def _fits(kind: int, text: str) -> bool:
     return _card_ok(text) if kind == 2 else 10 <= len(_DIGIT.findall(text)) <= 15
 
 
-def _trimmed(kind: int, text: str, a: int, z: int) -> tuple[int, int]:
-    """A span without what cannot begin or end it: blanks, and in numbers all but digits, brackets and a plus."""
-    heads, tails = ("0123456789(+", "0123456789") if kind else ("", "")
-    while a < z and (text[a].isspace() or heads and text[a] not in heads):
+def _snapped(kind: int, text: str, a: int, z: int, lo: int, hi: int) -> tuple[int, int]:
+    """A span with the rest of what it cuts, within ``lo`` and ``hi``, and without what cannot begin or end it.
+
+    An address takes in the runs of non-blanks it begins and ends in, but no signs at their ends. A number takes in its
+    whole digits, and if that holds what its kind needs, all groups of digits that short separators join to it.
+    """
+    while a < z and text[a].isspace():
+        a += 1
+    while z > a and text[z - 1].isspace():
+        z -= 1
+    if kind == 0:
+        while a > lo and not text[a - 1].isspace():
+            a -= 1
+        while z < hi and not text[z].isspace():
+            z += 1
+        while z > a and not text[z - 1].isalnum():
+            z -= 1
+        while a < z and text[a] not in _LOCAL:
+            a += 1
+        return a, z
+    while a < z and text[a] not in "0123456789(+":
         a += 1
-    while z > a and (text[z - 1].isspace() or tails and text[z - 1] not in tails):
+    while z > a and text[z - 1] not in "0123456789":
         z -= 1
+    while lo < a < z and text[a] in "0123456789" and text[a - 1] in "0123456789":
+        a -= 1
+    while a < z < hi and text[z] in "0123456789":
+        z += 1
+    if a < z and not _fits(kind, text[a:z]):
+        from_, to = max(lo, a - GROUPS), min(hi, z + GROUPS)
+        for m in _GROUPED.finditer(text, from_, to):
+            if m.start() < z and m.end() > a and _fits(kind, m[0]):
+                return m.span()
     return a, z
 
 
@@ -301,7 +330,9 @@ def _spans_of(tagger: Tagger | None):
             if tagger:
                 jobs = [(i, t[a:z], a) for i, t in enumerate(texts) for a, z in stretches(t, base[i])]
                 for i, kind, a, z, sure in _decoded(tagger, jobs):
-                    a, z = _trimmed(kind, texts[i], a, z)
+                    lo = max((e for _, s, e in base[i] if s < a), default=0)
+                    hi = min((s for _, s, e in base[i] if e > z), default=len(texts[i]))
+                    a, z = _snapped(kind, texts[i], a, z, lo, hi)
                     if sure >= SURE and _fits(kind, texts[i][a:z]) and all(z <= s or e <= a for _, s, e in base[i]):
                         more[i].append((kind, a, z))
             lists = [[{"kind": k, "start": s, "stop": e, "base": f} for k, s, e, f in sorted(
