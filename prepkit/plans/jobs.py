@@ -201,7 +201,7 @@ def heart_comparison(df: DataFrame, key: str, label: str = "target", fraction: f
     entries = {f"lr{n}": (models.feature_stages(chosen, squares=squares), models.classifier("Logistic Regression", label))
                for n, (chosen, squares) in sets.items()}
     for n, (chosen, squares) in sets.items():
-        entries[f"svm{n}"] = (models.fitted_kernel_stages(train, chosen, squares), models.classifier("Linear SVM", label, regParam=1e-3))
+        entries[f"svm{n}"] = (models.fitted_kernel_stages(train, chosen, squares), models.classifier("Linear SVM", label, regParam=1e-3, maxIter=30))
     return models.compare_models(train, test, entries)
 
 

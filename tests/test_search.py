@@ -91,7 +91,7 @@ def test_a_kernel_machine_separates_what_a_line_cannot(spark):
         angle, far = rng.uniform(0, 2 * math.pi), rng.choice([0.3, 1.0])
         rows.append((i, far * math.cos(angle), far * math.sin(angle), float(far < 0.5)))
     df = spark.createDataFrame(rows, "id int, x double, y double, label double")
-    machine = models.classifier("Linear SVM", "label", regParam=1e-4, maxIter=40)
+    machine = models.classifier("Linear SVM", "label", regParam=1e-3, maxIter=25)
     right = {}
     for name, stages in (("line", models.feature_stages(["x", "y"])), ("kernel", models.kernel_stages(["x", "y"], scale_gamma(df, ["x", "y"]), 64))):
         right[name] = models.train(df, stages, machine).transform(df).where("prediction = label").count()
