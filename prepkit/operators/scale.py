@@ -102,8 +102,10 @@ def label_encode(df: DataFrame, columns: Sequence[str], suffix: str = "_encoded"
     """Add ``{c}_encoded``, the position of the value among the column's sorted values, NaN last; NULL stays NULL.
 
     One pass finds the values of all columns, whatever their types, and one ranking numbers them: by a window where they
-    are few, in slices where they are many.
+    are few, in slices where they are many. Without columns, the rows stay as they are.
     """
+    if not columns:
+        return df
     kinds = {c: df.schema[c].dataType.simpleString() for c in columns}
     fields = {k: f"v{i}" for i, k in enumerate(dict.fromkeys(kinds.values()))}
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
-from prepkit.operators import impute
+from prepkit.operators import impute, scale
 from prepkit.plans import jobs, models, robustness, scoring, stages
 
 
@@ -199,6 +199,16 @@ def test_wine_job(spark):
     assert r["trials"] == 4 and r["ci_lo"] <= r["mean_accuracy"] <= r["ci_hi"] and r["mean_accuracy"] < r["plain_accuracy"]
 
 
+def test_wine_job_without_strings(spark):
+    rng = np.random.default_rng(9)
+    label = rng.integers(0, 2, 200)
+    df = spark.createDataFrame(pd.DataFrame({"id": range(200), "alcohol": 12 + 4 * label + rng.normal(0, 0.7, 200),
+                                             "ash": rng.normal(2, 0.3, 200), "Wine": label}))
+    assert scale.label_encode(df, []).collect() == df.collect()
+    accuracies = {r["variant"]: r["accuracy"] for r in jobs.wines(df, "id", trials=2).accuracies.collect()}
+    assert set(accuracies) == {"plain", "product", "max"} and min(accuracies.values()) > 0.9
+
+
 def test_noise_is_fixed_by_key_and_trial(spark):
     df = spark.range(50).withColumn("x", F.lit(0.0))
     one = sorted(map(tuple, robustness.perturbed(df.repartition(1), ["x"], "id", 1.2, 3).collect()))
