@@ -138,3 +138,18 @@ def test_a_plain_table_is_not_published_over(spark, schema):
     with pytest.raises(ValueError, match="plain"):
         stage.publish(spark, {f"{schema}.plain": spark.range(1)})
     assert stage.version_of(spark, f"{schema}.plain") is None and stage.version_of(spark, f"{schema}.none") is None
+
+
+def test_kernel_features_are_made_after_the_join(spark, tmp_path):
+    from prepkit.queries.closed_forms import kernel_of_neighbours
+
+    rows = [(i, i % 5, 100.0 * (i % 7)) for i in range(40) if i != 20] + [(3, 1, 50.0)]
+    spark.createDataFrame(rows, "c_custkey long, c_nationkey int, c_acctbal double").write.parquet(str(tmp_path / "customer.parquet"))
+    found = kernel_of_neighbours(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # no vector is below the join, so none is shuffled or broadcast
+    above, below = plan.split("Join Inner", 1)
+    assert "UDF" in above and "UDF" not in below
+    want = [(i, round(math.exp(-0.5 * (((u - v) / 5000) ** 2 + ((m - n) / 10) ** 2)), 6), True)
+            for i, m, u in rows for j, n, v in rows if j == i + 1]
+    assert sorted(map(tuple, found.collect())) == sorted(want)
