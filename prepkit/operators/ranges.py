@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from prepkit.operators.columns import nan_to_null
 from prepkit.operators.lookup import bounded
+from prepkit.operators.ranking import running_totals
 from prepkit.sources.frozen import frozen
 
 #: Grid of ranges that hold one value: the value is the cell.
@@ -50,10 +52,15 @@ def range_join(
     range whose ends are the wrong way round, and a missing value (NaN too), meet nothing. With ``how`` "left", rows that
     meet no range stay, the range's columns missing. Of a name both tables have, the one of ``df`` is kept; the ends are
     columns of ``ranges`` as any other.
+
+    With ``how`` "totals", each range that meets a row stands once, beside ``n, least, most`` of the values it meets. The
+    pairs, which may be as many as rows times ranges, are not made for that: the ends are placed among the sorted values.
     """
-    if how not in ("inner", "left") or closed not in ("both", "left", "right", "neither"):
-        raise ValueError("how is inner or left; closed is both, left, right or neither")
+    if how not in ("inner", "left", "totals") or closed not in ("both", "left", "right", "neither"):
+        raise ValueError("how is inner, left or totals; closed is both, left, right or neither")
     kind = df.schema[value].dataType
+    if how == "totals":
+        return _totals(df, value, ranges, low, high, closed)
     own = df.columns
     rest = [c for c in ranges.columns if c not in own]
     base = frozen(df.withColumn("_row", F.monotonically_increasing_id()), "ranged") if how == "left" else df
@@ -96,6 +103,46 @@ def range_join(
     return met.select(*own, *out).unionByName(alone.select(*own, *none))
 
 
+def _totals(df: DataFrame, value: str, ranges: DataFrame, low: str, high: str, closed: str) -> DataFrame:
+    """``ranges`` with ``n, least, most`` of the values they hold, those that hold none left out.
+
+    Values and ends are sorted as one column, an end standing before or after the values equal to it as ``closed`` asks.
+    The values before the two ends then give the count, the value next to each end the least and the most.
+    """
+    for frame, c in ((df, value), (ranges, low), (ranges, high)):
+        _number(F.col(c), frame.schema[c].dataType)  # refuses what is no number or time
+    values = nan_to_null(df.select(F.col(value).alias("_value"))).where("_value IS NOT NULL").groupBy("_value").agg(F.count("*").alias("_n"))
+    before_low, after_high = (0 if closed in ("both", "left") else 2), (2 if closed in ("both", "right") else 0)
+    starts, stops = (ranges.where(F.col(c).isNotNull()).select(F.col(c).alias("_x"), F.lit(side).alias("_side"))
+                     for c, side in ((low, before_low), (high, after_high)))
+    marks = starts.unionByName(stops).distinct().withColumn("_n", F.lit(0).cast("bigint")).withColumn("_value", F.lit(None).cast(df.schema[value].dataType))
+    events = values.select(F.col("_value").alias("_x"), F.lit(1).alias("_side"), "_n", "_value").unionByName(marks)
+    kind = events.schema["_x"].dataType
+    placed = frozen(running_totals(events.select(F.struct("_x", "_side").alias("_order"), "_n", "_value"), "_order", "_n"), "placed")
+    known = placed.where("_order._side = 1")
+    whole = known.agg(F.max("whole").alias("n"), F.min("_value").alias("least"), F.max("_value").alias("most")).first()
+    if whole["n"] is None:
+        return ranges.limit(0).select("*", F.lit(0).cast("bigint").alias("n"), *[F.lit(None).cast(df.schema[value].dataType).alias(c) for c in ("least", "most")])
+
+    def ends(side: int, at: Column, name: str) -> DataFrame:
+        """The ends on a side with the values before them and the one next to them."""
+        mine = placed.where(F.col("_order._side") == side).select(F.col("_order._x").alias(f"_{name}"), F.col("before").alias(f"_at_{name}"))
+        return mine.join(known.select(at.alias(f"_at_{name}"), F.col("_value").alias(name)), f"_at_{name}", "left")
+
+    out = ranges
+    for c, side, at, name in ((low, before_low, F.col("before"), "least"), (high, after_high, F.col("before") + F.col("_n"), "most")):
+        side_ends = ends(side, at, name)
+        out = out.join(side_ends, ranges[c].cast(kind) == side_ends[f"_{name}"], "left")
+    # an end that is missing leaves its side open
+    first = F.when(ranges[low].isNull(), F.lit(0)).otherwise(F.col("_at_least"))
+    last = F.when(ranges[high].isNull(), F.lit(whole["n"])).otherwise(F.col("_at_most"))
+    return out.select(
+        *[ranges[c] for c in ranges.columns], (last - first).alias("n"),
+        F.when(ranges[low].isNull(), F.lit(whole["least"])).otherwise(F.col("least")).alias("least"),
+        F.when(ranges[high].isNull(), F.lit(whole["most"])).otherwise(F.col("most")).alias("most"),
+    ).where("n > 0")
+
+
 def range_lookup(
     df: DataFrame, value: str, ranges: DataFrame, low: str, high: str, columns: Sequence[str], closed: str = "both",
 ) -> DataFrame:

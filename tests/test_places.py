@@ -107,6 +107,33 @@ def test_ranges_equal_every_test(spark, closed):
     assert {r.i for r in left.where("j IS NULL").collect()} == alone
 
 
+@pytest.mark.parametrize("closed", ["both", "left", "right", "neither"])
+def test_totals_of_ranges_equal_the_pairs(spark, closed):
+    values, spans = made(5)
+    df = spark.createDataFrame(values + values[:20], "i int, v double")
+    table = spark.createDataFrame(spans + spans[:9] + [(124, float("nan"), None), (125, None, float("nan"))], "j int, lo double, hi double")
+    pairs = ranges.range_join(df, "v", table, "lo", "hi", closed=closed)
+    want = pairs.groupBy("j").agg(F.count("*").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"))
+    met = ranges.range_join(df, "v", table, "lo", "hi", "totals", closed)
+    assert met.columns == ["j", "lo", "hi", "n", "least", "most"]
+    got = met.groupBy("j").agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) != []
+
+
+def test_totals_of_mixed_types_and_empty_tables(spark):
+    days = spark.sql("SELECT explode(sequence(date'2020-01-01', date'2020-01-31')) AS d")
+    terms = spark.sql("SELECT 'a' AS term, timestamp'2020-01-05 12:00:00' AS lo, timestamp'2020-01-09 00:00:00' AS hi")
+    got = ranges.range_join(days, "d", terms, "lo", "hi", "totals").first()
+    assert (got.n, got.least.day, got.most.day) == (4, 6, 9)
+    large = spark.createDataFrame([(2**53,), (2**53 + 1,)], "v long")
+    spans = spark.createDataFrame([(2**53 + 1, 2**53 + 1)], "lo long, hi long")
+    assert tuple(ranges.range_join(large, "v", spans, "lo", "hi", "totals").first())[2:] == (1, 2**53 + 1, 2**53 + 1)
+    assert ranges.range_join(days.limit(0), "d", terms, "lo", "hi", "totals").collect() == []
+    assert ranges.range_join(days, "d", terms.limit(0), "lo", "hi", "totals").collect() == []
+    with pytest.raises(TypeError):
+        ranges.range_join(terms, "term", terms, "lo", "hi", "totals")
+
+
 def test_range_columns_dates_and_empty_tables(spark):
     days = spark.sql("SELECT explode(sequence(date'2020-01-01', date'2020-01-31')) AS d")
     terms = spark.sql("SELECT 'a' AS term, date'2020-01-05' AS lo, date'2020-01-09' AS hi UNION ALL SELECT 'b', date'2020-01-09', null")
