@@ -148,10 +148,53 @@ def range_lookup(
 ) -> DataFrame:
     """``df`` with ``columns`` of the range that holds ``value``, missing where none does; rows stay as many as they were.
 
-    Where several hold it, the one of the smallest columns counts, as in other lookups.
+    Where several hold it, the one of the smallest columns counts, as in other lookups. That is settled once for each piece
+    between the ranges' ends, so that a row meets its one piece, however many ranges overlap there.
     """
-    base = frozen(df.withColumn("_row", F.monotonically_increasing_id()), "looked-up")
-    side = ranges.select(F.col(low).alias("_l"), F.col(high).alias("_h"), F.struct(*columns).alias("_found"))
-    met = range_join(base.select("_row", F.col(value).alias("_value")), "_value", side, "_l", "_h", "inner", closed)
-    best = met.groupBy("_row").agg(F.min("_found").alias("_found"))
-    return base.join(best, "_row", "left").select(*df.columns, *[F.col(f"_found.{c}").alias(c) for c in columns])
+    base = frozen(df, "looked-up")
+    side = ranges.select(F.col(low).alias("_low"), F.col(high).alias("_high"), F.struct(*columns).alias("_found"))
+    cut = _pieces(side, closed)
+    met = range_join(base, value, cut, "_from", "_to")
+    # a piece is an end, or what lies between two ends
+    inside = (F.col("_from").isNull() | (F.col(value) > F.col("_from"))) & (F.col("_to").isNull() | (F.col(value) < F.col("_to")))
+    met = met.where(F.col("_end") | inside).select(*df.columns, "_found")
+    alone = base.where(_number(F.col(value), df.schema[value].dataType).isNull()).select(*df.columns, F.lit(None).cast(met.schema["_found"].dataType).alias("_found"))
+    return met.unionByName(alone).select(*df.columns, *[F.col(f"_found.{c}").alias(c) for c in columns])
+
+
+def _pieces(ranges: DataFrame, closed: str) -> DataFrame:
+    """``_from, _to, _end, _found``: each end of a range, and each open stretch between neighbouring ends, with the smallest
+    ``_found`` of the ranges that hold it, if any.
+
+    Pieces are numbered along the line. A range holds a run of them, which is cut into at most two whole blocks of each
+    power of two; a piece then looks at the blocks it is in, so that nested ranges are not met one by one.
+    """
+    either = [ranges.where(F.col(c).isNotNull()).select(F.col(c).alias("_x")) for c in ("_low", "_high")]
+    marks = nan_to_null(either[0].unionByName(either[1])).where("_x IS NOT NULL").distinct().withColumn("_one", F.lit(1).cast("bigint"))
+    placed = frozen(running_totals(marks, "_x", "_one").select("_x", F.col("before").alias("_at")), "ends")
+    n = placed.count()
+    levels = F.sequence(F.lit(0), F.lit((2 * n + 1).bit_length()))
+
+    def near(name: str, shift: int) -> DataFrame:
+        return placed.select((F.col("_at") + shift).alias("_at"), F.col("_x").alias(name))
+
+    between = ranges.sparkSession.range(n + 1).select(F.col("id").alias("_at")).join(near("_from", 1), "_at", "left").join(near("_to", 0), "_at", "left")
+    pieces = between.select((F.col("_at") * 2).alias("_piece"), "_from", "_to", F.lit(False).alias("_end")).unionByName(
+        placed.select((F.col("_at") * 2 + 1).alias("_piece"), F.col("_x").alias("_from"), F.col("_x").alias("_to"), F.lit(True).alias("_end")))
+
+    kind = placed.schema["_x"].dataType
+    starts, stops = (placed.select(F.col("_x").alias(f"_{c}"), F.col("_at").alias(f"_at_{c}")) for c in ("start", "stop"))
+    held = ranges.join(starts, F.col("_low").cast(kind) == F.col("_start"), "left").join(stops, F.col("_high").cast(kind) == F.col("_stop"), "left")
+    # of the ends only NaN has no place: above all
+    first = F.when(F.col("_low").isNull(), F.lit(0)).otherwise(F.coalesce(F.col("_at_start") * 2 + (1 if closed in ("both", "left") else 2), F.lit(2 * n + 1)))
+    last = F.coalesce(F.col("_at_stop") * 2 + (2 if closed in ("both", "right") else 1), F.lit(2 * n + 1))
+    runs = held.select("_found", first.cast("bigint").alias("_first"), last.cast("bigint").alias("_last")).where("_first < _last")
+    cut = runs.withColumn("_level", F.explode(levels)).selectExpr(
+        "_found", "_level", "shiftright(_first + shiftleft(1L, _level) - 1, _level) AS _l", "shiftright(_last, _level) AS _r").where("_l < _r")
+    odd = F.array(F.when(F.col("_l") % 2 == 1, F.col("_l")), F.when(F.col("_r") % 2 == 1, F.col("_r") - 1))
+    blocks = cut.select("_level", F.explode(odd).alias("_block"), "_found").where("_block IS NOT NULL")
+    least = blocks.groupBy("_level", "_block").agg(F.min("_found").alias("_found"))
+    numbered = frozen(pieces, "pieces")
+    seen = numbered.select("_piece").withColumn("_level", F.explode(levels)).selectExpr("_piece", "_level", "shiftright(_piece, _level) AS _block")
+    best = seen.join(least, ["_level", "_block"]).groupBy("_piece").agg(F.min("_found").alias("_found"))
+    return frozen(numbered.join(best, "_piece", "left").drop("_piece"), "pieces")

@@ -134,6 +134,33 @@ def test_totals_of_mixed_types_and_empty_tables(spark):
         ranges.range_join(terms, "term", terms, "lo", "hi", "totals")
 
 
+@pytest.mark.parametrize("closed", ["both", "left", "right", "neither"])
+def test_lookup_in_ranges_equals_every_test(spark, closed):
+    values, spans = made(6)
+    # two columns to find, the first shared by ranges and missing in some
+    spans = [(j, lo, hi) for j, lo, hi in spans if lo is not None or hi is not None] + [(130, float("nan"), None), (131, None, float("nan"))]
+    spans = [s for s in spans if s[0] % 3 or s[0] > 125]
+    df = spark.createDataFrame(values + values[:20], "i int, v double")
+    table = spark.createDataFrame([(None if j == 7 else j % 4, -j, lo, hi) for j, lo, hi in spans], "name int, k int, lo double, hi double")
+    pairs = ranges.range_join(df.distinct(), "v", table, "lo", "hi", closed=closed)
+    best = {r.i: tuple(r.b) for r in pairs.groupBy("i").agg(F.min(F.struct("name", "k")).alias("b")).collect()}
+    got = ranges.range_lookup(df, "v", table, "lo", "hi", ["name", "k"], closed)
+    assert got.columns == ["i", "v", "name", "k"] and len(best) > 100
+    assert sorted((r.i, (r.name, r.k)) for r in got.collect()) == sorted(((i, best.get(i, (None, None))) for i, _ in values + values[:20]), key=lambda t: t[0])
+
+
+def test_lookup_meets_one_piece_a_row(spark):
+    df = spark.range(1000).select("id", (F.col("id") % 50 + 0.5).alias("v"))
+    table = spark.range(200).select((-F.col("id")).alias("lo"), (F.col("id") + 60).alias("hi"), F.concat(F.lit("r"), F.col("id")).alias("name"))
+    got = ranges.range_lookup(df, "v", table, "lo", "hi", ["name"], "left")
+    # neither grouped by row nor joined with itself
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and plan.count("Join") == 1
+    assert {r.name for r in got.collect()} == {"r0"} and got.count() == 1000
+    for cut in (table.limit(0), table.select(F.lit(None).cast("long").alias("lo"), F.lit(None).cast("long").alias("hi"), "name")):
+        assert {r.name for r in ranges.range_lookup(df, "v", cut, "lo", "hi", ["name"]).collect()} == ({None} if cut.count() == 0 else {"r0"})
+
+
 def test_range_columns_dates_and_empty_tables(spark):
     days = spark.sql("SELECT explode(sequence(date'2020-01-01', date'2020-01-31')) AS d")
     terms = spark.sql("SELECT 'a' AS term, date'2020-01-05' AS lo, date'2020-01-09' AS hi UNION ALL SELECT 'b', date'2020-01-09', null")
