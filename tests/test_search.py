@@ -140,6 +140,17 @@ def test_a_plain_table_is_not_published_over(spark, schema):
     assert stage.version_of(spark, f"{schema}.plain") is None and stage.version_of(spark, f"{schema}.none") is None
 
 
+def test_kernel_features_are_made_in_parts(spark, monkeypatch):
+    from prepkit.plans import stages
+
+    monkeypatch.setattr(stages, "FEATURE_CELLS", 12)
+    df = spark.range(50).select("id", (F.col("id") / 7).alias("a"), (10 - F.col("id")).cast("int").alias("b")).repartition(3)
+    stage = FourierFeatures(inputCols=["a", "b"], outputCol="z", numFeatures=5, gamma=0.2, seed=3)
+    for r in stage.transform(df).collect():
+        want = [math.sqrt(2 / 5) * math.cos(u * r.a + v * r.b + w) for u, v, w in stage.draws()]
+        assert list(r.z) == pytest.approx(want, abs=1e-12)
+
+
 def test_kernel_features_are_made_after_the_join(spark, tmp_path):
     from prepkit.queries.closed_forms import kernel_of_neighbours
 
