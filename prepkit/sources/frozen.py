@@ -22,13 +22,13 @@ def frozen(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` in a few parts per core.
+def spread(df: DataFrame, per_core: int = 4) -> DataFrame:
+    """``df`` in some parts per core.
 
     A narrow table is read in few parts, whatever work its rows make; put this before a step that makes each row wide or
-    passes over the rows many times.
+    passes over the rows many times. Fewer parts cost less in each pass, more are smaller once the rows are wide.
     """
-    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(per_core * df.sparkSession.sparkContext.defaultParallelism)
 
 
 def release(spark: SparkSession) -> int:

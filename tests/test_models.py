@@ -181,6 +181,18 @@ def test_balanced_weights(spark):
     assert [r["w"] for r in got] == pytest.approx([5.0, 5.0])
 
 
+def test_heart_comparison_passes_over_written_rows(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(jobs.rows, "drop_null_columns", lambda df: seen.append(df) or df)
+    monkeypatch.setattr(models, "fitted_kernel_stages", lambda df, *_: [])
+    monkeypatch.setattr(models, "compare_models", lambda train, test, entries: seen.extend([train, test]) or entries)
+    df = spark.range(40).select("id", (F.col("id") % 5 * 1.0).alias("x"), (F.col("id") % 2 * 1.0).alias("smoke"), (F.col("id") % 3 * 1.0).alias("target"))
+    assert set(jobs.heart_comparison(df, "id")) == {"lr1", "lr2", "lr3", "svm1", "svm2", "svm3"}
+    # one copy serves the search for gaps and all trainings, its rows on all cores
+    assert len({tuple(d.inputFiles()) for d in seen}) == 1 and seen[0].inputFiles()
+    assert {d.rdd.getNumPartitions() for d in seen[1:]} == {spark.sparkContext.defaultParallelism}
+
+
 def test_wine_job(spark):
     rng = np.random.default_rng(9)
     n = 400
