@@ -368,7 +368,8 @@ def group_quantiles(
         return part.groupBy(*by).agg(both.alias("q")).select(*by, F.inline("q"))
 
     spread = values.groupBy(F.struct(*by).alias("_of")).agg(F.approx_count_distinct("_v").alias("d"))
-    large = bounded(spread.where(F.col("d") > buffer_values).select("_of"))
+    # a row a group at most, put aside since it is counted before it is read
+    large = bounded(frozen(spread.where(F.col("d") > buffer_values).select("_of"), "large"))
     if large.isEmpty():
         return buffered(values)
     keyed = values.withColumn("_key", F.struct(*by))
@@ -553,7 +554,7 @@ def box_by_group(df: DataFrame, by: Sequence[str], column: str, k: float = 1.5)
         F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for p, n in ((0.25, "q1"), (0.5, "q2"), (0.75, "q3"))
     ])
     cells = df.where(F.col(column).isNotNull()).select(*by, F.col(column).cast("double").alias("_v"))
-    joined = cells.join(bounded(wide), list(by))
+    joined = cells.join(bounded(frozen(wide, "boxes")), list(by))
     box = _box(F.col("_v"), F.col("q1"), F.col("q2"), F.col("q3"), k)
     keep = {n: (F.max(v) if n in ("q1", "median", "q3", "iqr") else v) for n, v in box.items()}
     return joined.groupBy(*by).agg(*[v.alias(n) for n, v in keep.items()])

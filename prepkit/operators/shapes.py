@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from prepkit.operators.columns import nan_to_null
 from prepkit.operators.lookup import bounded
 from prepkit.operators.ranking import running_totals
+from prepkit.sources.frozen import frozen
 
 # Coefficients of the rational approximation of the normal quantile (Acklam), error under 1.2e-9 of the value:
 # numerator and denominator around the middle, then in the tails, highest power first.
@@ -60,7 +61,7 @@ def rank_normality(df: DataFrame, by: Sequence[str], column: str, more_than: int
     scored = ranked.withColumn("_m", normal_quantile((middle - 0.375) / (F.col("whole") + 0.25)))
     # values are taken relative to one of the group, so that sums of squares keep their digits
     base = scored.groupBy(*by).agg(F.avg("_v").alias("_base")).select(F.struct(*by).alias("_of"), "_base")
-    moved = scored.withColumn("_key", F.struct(*by)).join(bounded(base), F.col("_key") == F.col("_of")).withColumn("_x", F.col("_v") - F.col("_base"))
+    moved = scored.withColumn("_key", F.struct(*by)).join(bounded(frozen(base, "bases")), F.col("_key") == F.col("_of")).withColumn("_x", F.col("_v") - F.col("_base"))
     n, x, m = F.col("_n"), F.col("_x"), F.col("_m")
     sums = moved.groupBy(*by).agg(
         F.sum("_n").alias("n"), F.sum(n * x).alias("_sx"), F.sum(n * m).alias("_sm"), F.sum(n * x * x).alias("_xx"),
@@ -92,7 +93,7 @@ def density_by_group(df: DataFrame, by: Sequence[str], column: str, points: int
     side = figures.select(F.struct(*by).alias("_of"), "_n", "_sd", "_lo", "_hi")
     width = (F.col("_hi") - F.col("_lo")) / bins
     index = F.least(F.floor((F.col("_v") - F.col("_lo")) / width).cast("int"), F.lit(bins - 1))
-    joined = cells.withColumn("_key", F.struct(*by)).join(bounded(side), F.col("_key") == F.col("_of"))
+    joined = cells.withColumn("_key", F.struct(*by)).join(bounded(frozen(side, "extents")), F.col("_key") == F.col("_of"))
     counted = joined.select(*by, "_n", "_sd", "_lo", "_hi", index.alias("_bin")).groupBy(*by, "_n", "_sd", "_lo", "_hi", "_bin").agg(F.count("*").alias("_c"))
     held = counted.groupBy(*by, "_n", "_sd", "_lo", "_hi").agg(F.sort_array(F.collect_list(F.struct("_bin", "_c"))).alias("_bins"))
     h = F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))

@@ -155,3 +155,17 @@ def test_empty_table(spark):
     assert [r["n_missing"] for r in profile.missing_counts(df).collect()] == [0, 0]
     assert profile.value_counts(df, ["b"]).collect() == []
     assert profile.describe(df, ["a"]).first()["n"] == 0
+
+
+def test_figures_of_groups_are_counted_and_read_from_a_copy(spark, monkeypatch):
+    from prepkit.operators import shapes
+
+    sides = []
+    for module in (profile, shapes):
+        monkeypatch.setattr(module, "bounded", lambda df, *_: sides.append(df) or df)
+    df = spark.range(3000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7 % 1000 * 1.0).alias("v"))
+    assert profile.box_by_group(df, ["g"], "v").count() == 3
+    assert shapes.rank_normality(df, ["g"], "v").count() == 3
+    assert shapes.density_by_group(df, ["g"], "v", points=5).count() == 15
+    # what decides on broadcasting does not work the groups out a second time
+    assert len(sides) == 4 and all(s.inputFiles() and "Aggregate" not in s._jdf.queryExecution().optimizedPlan().toString() for s in sides)
