@@ -98,7 +98,7 @@ class Reader:
         """(place in code points, term, edits) of each hit."""
         low, known, trie, apart = text.lower(), self.known, self.trie, self.model.apart
         out = []
-        found = []
+        found = {}  # this text's own matches: those remembered may go before its last word is read
         for word in set(WORD.findall(low)):
             if word not in known:
                 if len(known) >= REMEMBERED:
@@ -106,10 +106,10 @@ class Reader:
                 got = trie.match(word)
                 known[word] = None if got and got[1] and word in apart else got
             if known[word]:
-                found.append(word)
+                found[word] = known[word]
         if found:
             for m in re.finditer(r"(?<![^\W_])(?:" + "|".join(map(re.escape, sorted(found, key=len, reverse=True))) + r")(?![^\W_])", low):
-                out.append((m.start(), *known[m.group()]))
+                out.append((m.start(), *found[m.group()]))
         return out
 
     def features(self, text: str) -> list[float]:

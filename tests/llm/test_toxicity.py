@@ -40,6 +40,18 @@ def test_quotation_counts_less_than_abuse():
     assert reader.hits("Grumblark, grumblarks! grumblark") == [(0, "grumblark", 0), (11, "grumblark", 1), (23, "grumblark", 0)]
 
 
+def test_a_full_memory_loses_no_hit_of_the_text_being_read(monkeypatch):
+    model = Model({t: 5.0 for t in TERMS}, {t: 3.0 for t in TERMS}, weights=(2.0, 2.0, 0.0, 0.0, -2.0))
+    texts = ["you grumblark, bad plodwit", "one snorfing two vexmord three grumblark four five", "nothing here", "bad bad plodwyt"]
+    want = [Reader(model).hits(t) for t in texts]
+    assert list(map(len, want)) == [3, 3, 0, 3]
+    for bound in (1, 2, 3):
+        monkeypatch.setattr(toxicity, "REMEMBERED", bound)
+        reader = Reader(model)
+        assert [reader.hits(t) for t in texts] == want
+        assert len(reader.known) <= bound
+
+
 @pytest.fixture(scope="module")
 def labelled(spark, docs, prose):
     rng = random.Random(6)
