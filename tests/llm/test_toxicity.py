@@ -1,6 +1,7 @@
 import random
 import zlib
 
+import pyarrow as pa
 import pytest
 
 from prepkit.llm import toxicity
@@ -52,6 +53,15 @@ def test_a_full_memory_loses_no_hit_of_the_text_being_read(monkeypatch):
         assert len(reader.known) <= bound
 
 
+def test_batches_score_the_same_whatever_a_task_remembers(monkeypatch):
+    model = Model({t: 5.0 for t in TERMS}, {t: 3.0 for t in TERMS}, weights=(2.0, 2.0, 0.0, 0.0, -2.0))
+    texts = ["a plodwit and a vexmord", None, "", "all is well", "grumblark b snorfinq c bad d"]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])] * 3
+    want = [Reader(model).score(t or "") for t in texts]
+    monkeypatch.setattr(toxicity, "REMEMBERED", 2)
+    assert [b.column("score").to_pylist() for b in toxicity._scored(model)(iter(batches))] == [want] * 3
+
+
 @pytest.fixture(scope="module")
 def labelled(spark, docs, prose):
     rng = random.Random(6)
